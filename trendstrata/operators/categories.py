@@ -18,14 +18,28 @@ def _is_readable(docs: DataFrame) -> Column:
     return F.col(CORRUPT).isNull() if CORRUPT in docs.columns else F.lit(True)
 
 
+def _shaped(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``column`` with the fields of ``want``; those it lacks are NULL."""
+    if not (isinstance(have, T.StructType) and isinstance(want, T.StructType)):
+        return column.cast(want)
+    known = {f.name: f.dataType for f in have.fields}
+    fields = [
+        _shaped(column[f.name], known[f.name], f.dataType) if f.name in known else F.lit(None).cast(f.dataType)
+        for f in want.fields
+    ]
+    shaped = F.struct(*[c.alias(f.name) for c, f in zip(fields, want.fields)])
+    return F.when(column.isNotNull(), shaped)
+
+
 def _whole_document(docs: DataFrame, item: T.StructType) -> Column:
     """The document itself in the shape of an item."""
-    return F.struct(
-        *[
-            (F.col(f"`{f.name}`") if f.name in docs.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in item.fields
-        ]
-    )
+    fields = [
+        _shaped(F.col(f"`{f.name}`"), docs.schema[f.name].dataType, f.dataType)
+        if f.name in docs.columns
+        else F.lit(None).cast(f.dataType)
+        for f in item.fields
+    ]
+    return F.struct(*[c.alias(f.name) for c, f in zip(fields, item.fields)])
 
 
 def flatten_categories(docs: DataFrame) -> DataFrame:

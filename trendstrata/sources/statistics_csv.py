@@ -53,6 +53,9 @@ def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Each side is its own scan of the files.
     """
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    rejects = raw.filter(F.col(CORRUPT).isNotNull()).select("region", CORRUPT)
+    # Spark refuses to read nothing but the corrupt column, so the filter looks
+    # at a data column as well; a length is never negative.
+    parsed = F.length(F.concat_ws("", "video_id")) >= 0
+    good = raw.filter(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT)
+    rejects = raw.filter(F.col(CORRUPT).isNotNull() & parsed).select("region", CORRUPT)
     return good, rejects
