@@ -42,6 +42,11 @@ def _whole_document(docs: DataFrame, item: T.StructType) -> Column:
     return F.struct(*[c.alias(f.name) for c, f in zip(fields, item.fields)])
 
 
+def gives_rows(docs: DataFrame) -> Column:
+    """Readable, and either without a list of items or with items in it."""
+    return _is_readable(docs) & F.coalesce(F.size("items") > 0, F.lit(True))
+
+
 def flatten_categories(docs: DataFrame) -> DataFrame:
     """One flat row per category.
 

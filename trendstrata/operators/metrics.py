@@ -6,7 +6,7 @@ of the statistics feeds a partial aggregate directly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendstrata.functions import as_exact, ratio_half_up
@@ -122,18 +122,31 @@ def category_summary(stats: DataFrame, lookup: DataFrame | None = None) -> DataF
     return named.select(*keys, *[c for c in summary.columns if c not in keys])
 
 
-def view_share(categories: DataFrame) -> DataFrame:
+def day_totals(stats: DataFrame) -> DataFrame:
+    """Views per region and day."""
+    return stats.groupBy("region", "trending_date_parsed").agg(F.sum("views").alias("_day_views"))
+
+
+def view_share(categories: DataFrame, totals: DataFrame) -> DataFrame:
     """Each category's share of its region-day's views, in per cent.
 
-    The window holds one region-day's categories, not its videos.
+    The totals are joined: a window would bring all categories of a region-day
+    into one task, and their number is up to the data.  Joined, a small totals
+    side is broadcast, and a hot region-day is split between tasks.
     """
-    day = Window.partitionBy("region", "trending_date_parsed")
+    days = totals.select(
+        F.col("region").alias("_region"), F.col("trending_date_parsed").alias("_date"), "_day_views"
+    )
+    same = F.col("region").eqNullSafe(F.col("_region")) & F.col("trending_date_parsed").eqNullSafe(F.col("_date"))
     part = F.col("total_views").cast("decimal(20,0)") * 100
-    return categories.withColumn("view_share_pct", ratio_half_up(part, F.sum("total_views").over(day), 2))
+    share = ratio_half_up(part, F.col("_day_views"), 2)
+    shared = categories.join(days, same, "left").withColumn("view_share_pct", share)
+    return shared.drop("_region", "_date", "_day_views")
 
 
 def category_analytics(
     stats: DataFrame, lookup: DataFrame | None = None, at: Column | None = None
 ) -> DataFrame:
     """One row per category, region and day with the share of views."""
-    return _aggregated_at(view_share(category_summary(stats, lookup)), at)
+    shares = view_share(category_summary(stats, lookup), day_totals(stats))
+    return _aggregated_at(shares, at)

@@ -27,7 +27,7 @@ class QualityGateError(RuntimeError):
     """The checks did not pass, so the guarded stage was not run."""
 
 
-def _record(check: str, table: str, passed: Column, message: Column, **values: Column) -> Column:
+def _record(check: str, table: str | Column, passed: Column, message: Column, **values: Column) -> Column:
     values |= {"check": F.lit(check), "table": F.lit(table), "passed": passed, "message": message}
     return F.struct(
         *[
@@ -214,6 +214,11 @@ def gate(results: DataFrame, build: Callable[[], Result]) -> Result:
     return build()
 
 
+def failures(df: DataFrame, check: str, subject: Column, reason: Column) -> DataFrame:
+    """Failed records from rows that name a subject and a reason, such as bad files."""
+    return df.select(F.inline(F.array(_record(check, subject, F.lit(False), reason))))
+
+
 def alerts(results: DataFrame) -> DataFrame:
     """The records somebody should look at."""
     return results.filter(~F.col("passed"))

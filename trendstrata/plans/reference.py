@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from trendstrata.operators.categories import flatten_categories, stamp_reference
+from trendstrata.functions import region_from_key
+from trendstrata.operators.categories import flatten_categories, gives_rows, stamp_reference
 from trendstrata.operators.dedup import latest_file_per_region
 
 # Which file of a region counts.
@@ -19,8 +21,17 @@ def reference_rows(docs: DataFrame, at: Column | None = None) -> DataFrame:
     return stamp_reference(flatten_categories(docs), at)
 
 
-def silver_reference(
-    docs: DataFrame, order: Sequence[str] = BY_KEY, at: Column | None = None
-) -> DataFrame:
-    """Rows of the one document that counts per region."""
-    return latest_file_per_region(reference_rows(docs, at), order).drop("_modified_at")
+def current_documents(docs: DataFrame, order: Sequence[str] = BY_KEY) -> DataFrame:
+    """The documents of each region's last file; files without rows do not count."""
+    usable = docs.filter(gives_rows(docs)).withColumn("_region", region_from_key(F.col("_source_file")))
+    return latest_file_per_region(usable, order, "_region").drop("_region")
+
+
+def silver_reference(docs: DataFrame, order: Sequence[str] = BY_KEY, at: Column | None = None) -> DataFrame:
+    """Rows of the one file that counts per region.
+
+    Files are chosen before any document is taken apart.  ``docs`` is used
+    twice: persist it where it comes straight from files, which also makes both
+    uses agree on what is readable, as Spark parses only the columns in use.
+    """
+    return reference_rows(current_documents(docs, order), at).drop("_modified_at")

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from trendstrata.config import Settings
-from trendstrata.operators.categories import empty_documents
-from trendstrata.operators.dedup import latest_file_per_region
-from trendstrata.operators.quality import QualityGateError, alerts, gate, run_checks
+from trendstrata.operators.audit import expected_regions, landing_audit
+from trendstrata.operators.categories import category_lookup, empty_documents
+from trendstrata.operators.quality import QualityGateError, alerts, failures, gate, run_checks
 from trendstrata.plans.gold import gold_tables
-from trendstrata.plans.reference import BY_KEY, reference_rows
+from trendstrata.plans.reference import reference_rows, silver_reference
 from trendstrata.plans.silver import settle, stage_measures, tallied_statistics
 from trendstrata.schemas import CORRUPT
 from trendstrata.sinks.ledger import append_alerts, append_ledger, ledger_per_file, ledger_row
@@ -49,10 +52,25 @@ class Run:
     def _note(self, stage: str, **values) -> None:
         append_ledger(ledger_row(self.spark, self.run_id, stage, **values), self.places.ledger)
 
+    def _alert(self, failed: DataFrame) -> None:
+        if not failed.isEmpty():
+            append_alerts(failed, self.places.alerts, self.run_id)
+
+    def _alert_one(self, check: str, subject: str, reason: str) -> None:
+        self._alert(failures(self.spark.range(1), check, F.lit(subject), F.lit(reason)))
+
     def prepare(self) -> None:
         for database in (self.settings.silver_db, self.settings.gold_db):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
+    def landing(self, landed: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
+        """Which expected regions landed both kinds of documents; the others raise alerts."""
+        expected = expected_regions(self.spark, regions or self.settings.regions)
+        audit = landing_audit(landed, expected)
+        missing = F.concat(F.lit("did not land: "), "failed_kind")
+        self._alert(failures(audit.filter("status = 'failed'"), "landing", F.col("region"), missing))
+        return audit
+
     def statistics(self, encoding: str = "ISO-8859-1", drop_corrupt: bool = False) -> dict[str, int]:
         """Raw files to the silver statistics table in one pass over the files.
 
@@ -65,45 +83,61 @@ class Run:
             self._note("silver_statistics", rows_written=0)
             return {"rows": 0}
         if drop_corrupt:
-            raw = raw.filter(raw[CORRUPT].isNull())
+            raw = raw.filter(F.col(CORRUPT).isNull())
         name, path = self.settings.statistics_table, f"{self.places.silver}/statistics"
-        counts = self._write_statistics(tallied_statistics(raw, self.settings.job_name), name, path)
-        self._note("silver_statistics", source=name, rows_written=counts["rows_clean"], path=path)
+        accounted = Observation()
+        tallied = tallied_statistics(raw, self.settings.job_name).observe(accounted, *stage_measures())
+        # The deduplication leaves large tasks that hold every region, so each
+        # writes few, large files; balancing would shuffle the widest table
+        # once more.
+        counts = write_table(settle(tallied), self._silver(name), path, balance=False)
+        counts |= accounted.get
+        self._note("silver_statistics", source=name, rows_written=counts["rows"], path=path)
         return counts
 
-    def _write_statistics(self, tallied: DataFrame, name: str, path: str) -> dict[str, int]:
-        # The rows leave the deduplication in large tasks that hold every
-        # region, so each writes few, large files; balancing would shuffle
-        # the widest table once more.
-        counted = Observation()
-        rows = settle(tallied.observe(counted, *stage_measures()))
-        written = write_table(rows, self._silver(name), path, balance=False)
-        return written | dict(counted.get)
-
-    def reference(self, at: Column | None = None, evolve: bool = False) -> dict[str, int]:
+    def reference(
+        self, at: Column | None = None, multi_line: bool = True, evolve: bool = False
+    ) -> dict[str, int]:
         """Category documents to the silver reference table; bad files are noted and passed over."""
-        docs = read_category_json(self.spark, self.places.raw_reference, evolve=evolve)
-        rejects = empty_documents(docs)
-        rows = reference_rows(docs, at)
-        kept = latest_file_per_region(rows, BY_KEY).drop("_modified_at")
-        name, path = self.settings.reference_table, f"{self.places.silver}/reference_data"
-        counts = write_table(kept, self._silver(name), path)
-        entries = ledger_per_file(rows, rejects, self.run_id, "silver_reference", path)
-        append_ledger(entries, self.places.ledger)
-        return counts
+        docs = read_category_json(self.spark, self.places.raw_reference, multi_line, evolve=evolve).persist()
+        try:
+            if docs.isEmpty():
+                self._note("silver_reference", rows_written=0)
+                return {"rows": 0}
+            name, path = self.settings.reference_table, f"{self.places.silver}/reference_data"
+            counts = write_table(silver_reference(docs, at=at), self._silver(name), path)
+            rejects = empty_documents(docs)
+            entries = ledger_per_file(reference_rows(docs), rejects, self.run_id, "silver_reference", path)
+            append_ledger(entries, self.places.ledger)
+            self._alert(failures(rejects, "read_file", F.col("_source_file"), F.col("error")))
+            return counts
+        finally:
+            docs.unpersist()
 
     def checks(self, now: Column | None = None, sample_limit: int | None = None) -> DataFrame:
         """Check records of both silver tables; failed ones are kept as alerts."""
-        tables = (self.settings.statistics_table, self.settings.reference_table)
         openers = {
-            table: lambda table=table: read_table(self.spark, table, self.settings.silver_db) for table in tables
+            table: lambda table=table: read_table(self.spark, table, self.settings.silver_db)
+            for table in (self.settings.statistics_table, self.settings.reference_table)
         }
         results = run_checks(self.spark, openers, self.settings, now, sample_limit)
-        failed = alerts(results)
-        if not failed.isEmpty():
-            append_alerts(failed, self.places.alerts, self.run_id)
+        self._alert(alerts(results))
         return results
 
+    def _reference(self) -> DataFrame | None:
+        """The reference table if there is one that can be read."""
+        name = self.settings.reference_table
+        if not table_exists(self.spark, name, self.settings.silver_db):
+            return None
+        try:
+            reference = read_table(self.spark, name, self.settings.silver_db)
+            lookup = category_lookup(reference)
+            self._note("category_lookup", source=name, rows_written=lookup.count() if lookup else 0)
+            return reference
+        except PySparkException as error:
+            self._note("category_lookup", source=name, error=str(error))
+            return None
+
     def gold(self) -> dict[str, int]:
         """The three summaries with their row counts; empty statistics write nothing.
 
@@ -114,16 +148,14 @@ class Run:
         if stats.isEmpty():
             self._note("gold", rows_written=0)
             return {}
-        name = self.settings.reference_table
-        known = table_exists(self.spark, name, self.settings.silver_db)
-        reference = read_table(self.spark, name, self.settings.silver_db) if known else None
         written = {}
-        for table, build in gold_tables(stats, reference).items():
+        for table, build in gold_tables(stats, self._reference()).items():
             path = f"{self.places.gold}/{table}"
             try:
                 counts = write_table(build(), f"{self.settings.gold_db}.{table}", path)
             except Exception as error:
-                self._note("gold", source=table, path=path, error=str(error)[:2000])
+                self._note("gold", source=table, path=path, error=str(error))
+                self._alert_one("gold", table, str(error))
                 raise
             written[table] = counts["rows"]
             self._note("gold", source=table, rows_written=counts["rows"], path=path)
@@ -134,9 +166,8 @@ class Run:
         self.prepare()
         self.reference()
         self.statistics()
-        results = self.checks(now)
         try:
-            return gate(results, self.gold)
+            return gate(self.checks(now), self.gold)
         except QualityGateError as error:
             self._note("gate", error=str(error))
             raise

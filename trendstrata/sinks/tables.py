@@ -12,8 +12,8 @@ MODES = ("overwrite_partitions", "overwrite", "append")
 
 def _add_new_columns(spark: SparkSession, name: str, df: DataFrame, keys: Sequence[str]) -> None:
     """Additive evolution: columns the table lacks are added, none is changed."""
-    known = {f.name: f.dataType for f in spark.table(name).schema.fields}
-    changed = [f.name for f in df.schema.fields if f.name in known and f.dataType != known[f.name]]
+    known = {f.name: f.dataType.simpleString() for f in spark.table(name).schema.fields}
+    changed = [f.name for f in df.schema.fields if known.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
     if changed:
         raise ValueError(f"{name}: type differs for {', '.join(changed)}")
     added = [f for f in df.schema.fields if f.name not in known]

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trendstrata.operators.categories import empty_documents
-from trendstrata.operators.dedup import latest_file_per_region
-from trendstrata.plans.reference import BY_ARRIVAL, BY_KEY, reference_rows
+from trendstrata.plans.reference import BY_ARRIVAL, BY_KEY, silver_reference
 from trendstrata.sinks.tables import write_table
 from trendstrata.sources.category_json import stream_category_json
 
@@ -49,13 +48,16 @@ def start_reference_stream(
     columns = ORDERS[order]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        docs = batch.withColumn("_document", F.monotonically_increasing_id())
-        rows = latest_file_per_region(reference_rows(docs), columns)
-        if order == "key" and batch.sparkSession.catalog.tableExists(table):
-            rows = _not_older(rows, table)
-        write_table(rows.drop("_modified_at"), table, path)
-        rejects = empty_documents(docs).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        write_table(rejects, path=rejects_path, keys=["batch_id"])
+        docs = batch.withColumn("_document", F.monotonically_increasing_id()).persist()
+        try:
+            rows = silver_reference(docs, columns)
+            if order == "key" and batch.sparkSession.catalog.tableExists(table):
+                rows = _not_older(rows, table)
+            write_table(rows, table, path)
+            rejects = empty_documents(docs).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            write_table(rejects, path=rejects_path, keys=["batch_id"])
+        finally:
+            docs.unpersist()
 
     docs = stream_category_json(spark, source, multi_line, max_files_per_trigger=max_files_per_trigger)
     return (
