@@ -6,12 +6,12 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 from typing import TypeVar
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendstrata.config import Settings
+from trendstrata.errors import SPARK_ERRORS, reason
 from trendstrata.functions import text_to_instant
 from trendstrata.schemas import QUALITY_RECORD
 from trendstrata.sources.tables import dq_input
@@ -169,8 +169,8 @@ def check_tables(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), records)
 
 
-def unreadable(spark: SparkSession, table: str, reason: str) -> DataFrame:
-    failed = _record("read_table", table, F.lit(False), F.lit(reason))
+def unreadable(spark: SparkSession, table: str, why: str) -> DataFrame:
+    failed = _record("read_table", table, F.lit(False), F.lit(why))
     return spark.range(1).select(F.inline(F.array(failed)))
 
 
@@ -190,8 +190,8 @@ def run_checks(
     for name, open_table in tables.items():
         try:
             records = check_table(dq_input(open_table(), sample_limit), name, settings, now).collect()
-        except PySparkException as error:
-            records = unreadable(spark, name, str(error)).collect()
+        except SPARK_ERRORS as error:
+            records = unreadable(spark, name, reason(error)).collect()
         results.extend(records)
     return spark.createDataFrame(results, QUALITY_RECORD)
 
@@ -214,9 +214,9 @@ def gate(results: DataFrame, build: Callable[[], Result]) -> Result:
     return build()
 
 
-def failures(df: DataFrame, check: str, subject: Column, reason: Column) -> DataFrame:
+def failures(df: DataFrame, check: str, subject: Column, why: Column) -> DataFrame:
     """Failed records from rows that name a subject and a reason, such as bad files."""
-    return df.select(F.inline(F.array(_record(check, subject, F.lit(False), reason))))
+    return df.select(F.inline(F.array(_record(check, subject, F.lit(False), why))))
 
 
 def alerts(results: DataFrame) -> DataFrame:

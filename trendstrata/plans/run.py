@@ -6,11 +6,11 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trendstrata.config import Settings
+from trendstrata.errors import SPARK_ERRORS, reason
 from trendstrata.operators.audit import expected_regions, landing_audit
 from trendstrata.operators.categories import category_lookup, empty_documents
 from trendstrata.operators.quality import QualityGateError, alerts, failures, gate, run_checks
@@ -56,8 +56,8 @@ class Run:
         if not failed.isEmpty():
             append_alerts(failed, self.places.alerts, self.run_id)
 
-    def _alert_one(self, check: str, subject: str, reason: str) -> None:
-        self._alert(failures(self.spark.range(1), check, F.lit(subject), F.lit(reason)))
+    def _alert_one(self, check: str, subject: str, why: str) -> None:
+        self._alert(failures(self.spark.range(1), check, F.lit(subject), F.lit(why)))
 
     def prepare(self) -> None:
         for database in (self.settings.silver_db, self.settings.gold_db):
@@ -134,8 +134,8 @@ class Run:
             lookup = category_lookup(reference)
             self._note("category_lookup", source=name, rows_written=lookup.count() if lookup else 0)
             return reference
-        except PySparkException as error:
-            self._note("category_lookup", source=name, error=str(error))
+        except SPARK_ERRORS as error:
+            self._note("category_lookup", source=name, error=reason(error))
             return None
 
     def gold(self) -> dict[str, int]:
@@ -154,8 +154,8 @@ class Run:
             try:
                 counts = write_table(build(), f"{self.settings.gold_db}.{table}", path)
             except Exception as error:
-                self._note("gold", source=table, path=path, error=str(error))
-                self._alert_one("gold", table, str(error))
+                self._note("gold", source=table, path=path, error=reason(error))
+                self._alert_one("gold", table, reason(error))
                 raise
             written[table] = counts["rows"]
             self._note("gold", source=table, rows_written=counts["rows"], path=path)

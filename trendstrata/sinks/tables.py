@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-MODES = ("overwrite_partitions", "overwrite", "append")
+MODES = ("overwrite_partitions", "append")
 
 
 def _add_new_columns(spark: SparkSession, name: str, df: DataFrame, keys: Sequence[str]) -> None:
@@ -69,14 +69,13 @@ def _write(
     spark: SparkSession, df: DataFrame, name: str | None, path: str | None, keys: Sequence[str], mode: str
 ) -> None:
     save_mode = "append" if mode == "append" else "overwrite"
-    scope = "dynamic" if mode == "overwrite_partitions" else "static"
     if name is not None and spark.catalog.tableExists(name):
         _add_new_columns(spark, name, df, keys)
         ordered = _in_table_order(spark, name, df)
-        ordered.write.mode(save_mode).option("partitionOverwriteMode", scope).insertInto(name)
+        ordered.write.mode(save_mode).option("partitionOverwriteMode", "dynamic").insertInto(name)
         return
     writer = df.write.mode(save_mode).partitionBy(*keys).format("parquet").option("compression", "snappy")
-    writer = writer.option("partitionOverwriteMode", scope)
+    writer = writer.option("partitionOverwriteMode", "dynamic")
     if name is None:
         writer.save(path)
     elif path is None:

@@ -16,6 +16,7 @@ ORDERS = {"arrival": BY_ARRIVAL, "key": BY_KEY}
 
 def _not_older(rows: DataFrame, table: str) -> DataFrame:
     """Drop regions for which the table already holds a later key."""
+    rows.sparkSession.catalog.refreshTable(table)
     held = (
         rows.sparkSession.table(table)
         .groupBy(F.col("region").alias("_region"))
@@ -68,7 +69,13 @@ def start_reference_stream(
     )
 
 
-def drain_reference(spark: SparkSession, source: str, table: str, path: str, checkpoint: str,
-                    rejects_path: str, **options) -> None:
-    """``start_reference_stream`` and wait for its end."""
+def drain_reference(
+    spark: SparkSession, source: str, table: str, path: str, checkpoint: str, rejects_path: str, **options
+) -> None:
+    """``start_reference_stream``, wait for its end, and let this session see the new files.
+
+    The batches write in a session of their own.
+    """
     start_reference_stream(spark, source, table, path, checkpoint, rejects_path, **options).awaitTermination()
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
