@@ -46,7 +46,7 @@ def test_parse_trending_date(spark):
     cases = {
         "17.14.11": date(2017, 11, 14), "24.01.02": date(2024, 2, 1), "24.31.02": None, "24.13.13": None,
         "2024-03-05": date(2024, 3, 5), "2024-3-5": date(2024, 3, 5), "2024-03-05 10:00:00": date(2024, 3, 5),
-        "not-a-date": None, "": None, None: None, "17.14.11 ": None, "2024-02-30": None,
+        "not-a-date": None, "": None, None: None, "17.14.11 ": None, "17.14.11\n": None, "2024-02-30": None,
     }
     assert values(spark, list(cases), parse_trending_date) == list(cases.values())
 

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The short form is year.day.month, each of two digits.
-SHORT_DATE = r"^\d{2}\.\d{2}\.\d{2}$"
-SHORT_DATE_FORMAT = "yy.dd.MM"
+# The short form is year.day.month, each of two digits, in 20xx.
+SHORT_DATE = r"^([0-9]{2})\.([0-9]{2})\.([0-9]{2})\z"
+AS_ISO = "20$1-$3-$2"
 
 _ZONE_SUFFIX = r"(?i)(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?)\s*$"
 _DATE_ONLY = r"^\s*\d{4}(-\d{1,2}){0,2}\s*$"
 
 
 def parse_trending_date(col: Column) -> Column:
-    """Date from either the short form or ISO text; unparseable text is NULL."""
-    short = F.try_to_date(col, SHORT_DATE_FORMAT)
-    return F.when(col.rlike(SHORT_DATE), short).otherwise(col.try_cast("date"))
+    """Date from either the short form or ISO text; unparseable text is NULL.
+
+    The short form is rewritten as ISO text, which is read much faster than a
+    date pattern and does not raise on bad days.
+    """
+    return F.regexp_replace(col, SHORT_DATE, AS_ISO).try_cast("date")
 
 
 def text_to_instant(col: Column) -> Column:

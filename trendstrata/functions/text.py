@@ -1,4 +1,9 @@
-"""Lenient text conversions that stay NULL-on-error under ANSI mode."""
+"""Lenient text conversions that stay NULL-on-error under ANSI mode.
+
+Patterns decide before anything is cast.  A failing ``try_cast`` raises and
+catches an exception per row, which on dirty columns costs more than the rest
+of the scan.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +11,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _WHITESPACE = " \t\n\r\f\v"
-# Digits before a decimal point; the fraction must be digits only.
-_FRACTION = r"^\s*([+-]?[0-9]*)\.[0-9]*\s*$"
+_PAD = r"[\s\p{Cntrl}]*"
+# Eighteen digits always fit.
+_INTEGER = rf"^{_PAD}[+-]?[0-9]{{1,18}}{_PAD}\z"
+# Longer numbers, and a fraction that is cut off; there is a digit or a point.
+_NUMBER = rf"^{_PAD}([+-]?[0-9]*)(?:(?<=[0-9])|\.[0-9]*){_PAD}\z"
+
+# The words the cast to boolean knows.
+TRUE_WORDS = ("t", "true", "y", "yes", "1")
+FALSE_WORDS = ("f", "false", "n", "no", "0")
 
 
 def strip(col: Column) -> Column:
@@ -18,15 +30,15 @@ def strip(col: Column) -> Column:
 def to_long(col: Column) -> Column:
     """Text to 64-bit integer; a fraction is cut off, anything else bad is NULL.
 
-    ``12.7`` is 12 and ``.5`` is 0, as in a non-ANSI cast.  The pattern runs
-    only on values that are not plain integers.
+    ``12.7`` is 12 and ``.5`` is 0, as in a non-ANSI cast.
     """
     text = col.cast("string")
-    whole = F.regexp_extract(text, _FRACTION, 1)
+    whole = F.regexp_extract(text, _NUMBER, 1)
     truncated = F.when(whole.isin("", "+", "-"), F.lit(0).cast("long")).otherwise(whole.try_cast("long"))
-    return F.coalesce(text.try_cast("long"), F.when(text.rlike(_FRACTION), truncated))
+    return F.when(text.rlike(_INTEGER), text.try_cast("long")).when(text.rlike(_NUMBER), truncated)
 
 
 def to_boolean(col: Column) -> Column:
     """Text to boolean; an unknown word is NULL."""
-    return col.try_cast("boolean")
+    word = strip(F.lower(col))
+    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)

@@ -78,7 +78,7 @@ def tallied_statistics(
     typed = typed_statistics(marked, [*carry, "_is_corrupt"]).withColumn("_valid", is_valid())
     keyed = typed.withColumns({key: F.when(F.col("_valid"), F.col(key)) for key in SILVER_KEY})
     tallies = {"_copies": F.count(F.lit(1)), "_corrupt_rows": F.count_if("_is_corrupt")}
-    kept = dedup_tallied(keyed, ["_valid", *SILVER_KEY], order, tallies).drop("_is_corrupt")
+    kept = dedup_tallied(keyed, [*SILVER_KEY, "_valid"], order, tallies).drop("_is_corrupt")
     return _finish(kept, job_name, processed_at)
 
 

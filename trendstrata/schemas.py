@@ -28,7 +28,9 @@ RAW_COLUMNS = (
 LONG_COLUMNS = frozenset({"category_id", "views", "likes", "dislikes", "comment_count"})
 BOOLEAN_COLUMNS = frozenset({"comments_disabled", "ratings_disabled", "video_error_or_removed"})
 COUNTERS = ("views", "likes", "dislikes", "comment_count")
-SILVER_KEY = ("video_id", "region", "trending_date_parsed")
+# Region leads: rows leave the deduplication sorted by key, which is then the
+# order in which a table partitioned by region is written.
+SILVER_KEY = ("region", "video_id", "trending_date_parsed")
 
 
 def _strings(*names: str) -> list[T.StructField]:

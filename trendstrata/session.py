@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The JVM does not compile methods of more than 8000 bytes.  Beyond that, wide
+# projections run faster as several methods than as one whole stage.
+METHOD_LIMIT = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def local_session(cores: int | str = "*", app: str = "trendstrata", memory: str = "8g") -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
     parallelism = "8" if cores == "*" else str(cores)
@@ -23,6 +28,7 @@ def local_session(cores: int | str = "*", app: str = "trendstrata", memory: str
         .config("spark.sql.shuffle.partitions", parallelism)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config(map=METHOD_LIMIT)
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
         .getOrCreate()
     )
