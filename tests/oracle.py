@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 from collections import Counter
 
@@ -14,6 +16,14 @@ TABLES = (
 ).split()
 
 
+def plan(df: DataFrame) -> str:
+    """The formatted physical plan."""
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        df.explain("formatted")
+    return shown.getvalue()
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in TABLES:

@@ -1,7 +1,7 @@
 """Every registered query against its SQL over the same tables."""
 
 import pytest
-from oracle import connect, differences
+from oracle import connect, differences, plan
 
 import __spark_entry__ as contract
 
@@ -15,7 +15,12 @@ def connection(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, connection, name):
-    assert differences(QUERIES[name](spark, sf_dir), connection, ORACLES[name]) == []
+    result = QUERIES[name](spark, sf_dir)
+    assert differences(result, connection, ORACLES[name]) == []
+    # Neither pairs of all rows nor Python per row.
+    steps = plan(result)
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
+        assert operator not in steps
 
 
 def test_every_query_has_an_oracle():
