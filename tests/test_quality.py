@@ -105,6 +105,19 @@ def test_freshness_of_text(spark, stamps, expected):
     assert passed(df, "freshness", table="clean_reference_data") == expected
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_zoneless_stamps_mean_utc(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for text, expected in (("2024-01-29 12:00:00", True), ("2024-01-29 11:59:59", False)):
+            df = spark.range(1).select(F.lit(text).cast("timestamp_ntz").alias("_processed_at"))
+            assert passed(df, "freshness") == expected
+            assert passed(df.select(F.col("_processed_at").cast("string")), "freshness") == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_freshness_without_stamp_and_with_both(spark):
     assert passed(statistics(spark).drop("_processed_at"), "freshness")
     both = statistics(spark).withColumn("_ingestion_timestamp", F.lit("2000-01-01"))

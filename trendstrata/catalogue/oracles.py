@@ -176,8 +176,8 @@ ORACLES["silver_warnings"] = f"{_EVENT} SELECT {_WARNINGS} FROM event_silver"
 
 # --- files ---------------------------------------------------------------------
 
-ORACLES["csv_round_trip"] = f"""
-WITH raw AS (
+_CSV_KEPT = """
+raw AS (
   SELECT 'd' || (doc_id % 50) AS video_id, lang AS region,
     make_date(2024, 1, CAST(doc_id % 7 + 1 AS integer)) AS trending_date_parsed,
     'the "text", ' || doc_id AS title, source AS channel_title, n_chars % 30 AS category_id, n_chars AS views,
@@ -187,7 +187,9 @@ WITH raw AS (
 kept AS (
   SELECT * FROM raw QUALIFY row_number() OVER (
     PARTITION BY video_id, region, trending_date_parsed
-    ORDER BY views DESC, likes DESC, comment_count DESC, dislikes DESC, title DESC) = 1)
+    ORDER BY views DESC, likes DESC, comment_count DESC, dislikes DESC, title DESC) = 1)"""
+ORACLES["csv_round_trip"] = f"""
+WITH {_CSV_KEPT}
 SELECT * REPLACE ({_CALENDAR} AS trending_date_parsed), {_RATIOS} FROM kept"""
 ORACLES["csv_rejects"] = """
 SELECT lang AS region, count(*) FILTER (n_chars % 10 NOT IN (3, 7)) AS good_rows,
@@ -195,6 +197,8 @@ SELECT lang AS region, count(*) FILTER (n_chars % 10 NOT IN (3, 7)) AS good_rows
 FROM documents GROUP BY lang"""
 ORACLES["path_region"] = "SELECT page_id, CAST(page_id % 7 AS varchar) AS region FROM pages"
 
+ORACLES["decoded_key"] = "SELECT page_id, url || ' a+b=ü%' AS key FROM pages"
+
 # --- category documents --------------------------------------------------------
 
 ORACLES["reference_flatten"] = f"{_TEXT} SELECT * EXCLUDE (region) FROM text_rows"
@@ -205,7 +209,9 @@ SELECT conv_id, turn, role AS said_role, CAST(length(text) AS integer) AS said_t
 _NEWEST = "_source_file IN (SELECT max(_source_file) FROM text_rows GROUP BY region)"
 ORACLES["newest_file"] = f"""{_TEXT}
   SELECT region, _source_file, id, snippet_title FROM text_rows WHERE {_NEWEST}"""
-ORACLES["reference_silver"] = f"{_TEXT} SELECT * FROM text_rows WHERE {_NEWEST}"
+ORACLES["reference_silver"] = f"""{_TEXT}
+  SELECT *, strftime(TIMESTAMP '{NOW}', '%Y-%m-%dT%H:%M:%S.000000+00:00') AS _ingestion_timestamp
+  FROM text_rows WHERE {_NEWEST}"""
 ORACLES["reference_round_trip"] = f"{_TEXT} SELECT * EXCLUDE (_source_file) FROM text_rows"
 ORACLES["reference_evolution"] = """
 SELECT CAST(turn AS varchar) AS id, role AS kind, text AS snippet_title,
@@ -293,6 +299,10 @@ ORACLES["category_counts"] = f"""
 SELECT category_name, region, count(*) AS trending_count
 FROM ({_category(_EVENT, 'event_silver')}) GROUP BY category_name, region"""
 
+ORACLES["run_to_gold"] = f"""
+SELECT * REPLACE ('Unknown' AS categories)
+FROM ({_channel(f"WITH {_CSV_KEPT}, rated AS (SELECT *, {_RATIOS} FROM kept)", "rated")})"""
+
 # --- data quality --------------------------------------------------------------
 
 

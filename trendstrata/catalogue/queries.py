@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendstrata.config import Settings
-from trendstrata.functions import flatten_struct, region_from_key, region_from_path
+from trendstrata.functions import decode_key, flatten_struct, region_from_key, region_from_path
 from trendstrata.operators import metrics, quality, serving
 from trendstrata.operators.audit import landing_audit, missing_regions, present_regions
 from trendstrata.operators.categories import (
@@ -33,6 +33,7 @@ from trendstrata.operators.cleanse import (
 from trendstrata.operators.dedup import dedup_latest, latest_file_per_region
 from trendstrata.plans import views
 from trendstrata.plans.reference import reference_rows, silver_reference
+from trendstrata.plans.run import Places, Run
 from trendstrata.plans.silver import (
     silver_statistics,
     stage_measures,
@@ -56,6 +57,16 @@ QUERIES: dict[str, Query] = {}
 NOW = "2024-01-31 00:00:00"
 
 
+def _now() -> Column:
+    """``NOW`` in the session's zone, like the event times it is compared with."""
+    return F.lit(NOW).cast("timestamp_ntz").cast("timestamp")
+
+
+def _landed_at() -> Column:
+    """``NOW`` in UTC, for values that are shown in UTC."""
+    return F.lit(f"{NOW}+00:00").cast("timestamp")
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
@@ -204,6 +215,13 @@ def path_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.select("page_id", region_from_path(path).alias("region"))
 
 
+@query
+def decoded_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys as an arrival notice spells them, back to plain text."""
+    pages = views.table(spark, sf_dir, "pages")
+    return pages.select("page_id", decode_key(F.url_encode(F.concat("url", F.lit(" a+b=ü%")))).alias("key"))
+
+
 # --- category documents --------------------------------------------------------
 
 
@@ -240,8 +258,7 @@ def newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reference_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.lit(NOW).cast("timestamp_ntz").cast("timestamp")
-    return silver_reference(_documents(spark, sf_dir), at=at).drop("_ingestion_timestamp")
+    return silver_reference(_documents(spark, sf_dir), at=_landed_at())
 
 
 @query
@@ -387,11 +404,23 @@ def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.category_counts(metrics.category_summary(_event_silver(spark, sf_dir), lookup))
 
 
-# --- data quality --------------------------------------------------------------
+@query
+def run_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files through the silver table into the gold table, without a reference table."""
+    root = fresh_folder(spark, "run")
+    database = "run_" + root.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    places = Places(*[f"{root}/{p}" for p in ("raw", "reference", "silver", "gold", "ledger", "alerts")])
+    _write_csv(views.document_statistics(spark, sf_dir), places.raw_statistics)
+    run = Run(spark, places, Settings(silver_db=database, gold_db=database))
+    run.statistics(encoding="UTF-8")
+    run.gold()
+    # The tables are external: their files stay.
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return _without_stamp(spark.read.parquet(f"{places.gold}/channel_analytics"))
 
 
-def _now() -> Column:
-    return F.lit(NOW).cast("timestamp_ntz").cast("timestamp")
+# --- data quality --------------------------------------------------------------
 
 
 def _text_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -504,7 +533,7 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def landing_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run-time folder values and the item count of each document."""
-    landed = with_envelope(_documents(spark, sf_dir), "test tables", _now())
+    landed = with_envelope(_documents(spark, sf_dir), "test tables", _landed_at())
     meta = F.col("_pipeline_metadata")
     return landed.select(
         F.col("_document").alias("doc_id"), "region", "date", "hour",
@@ -517,7 +546,7 @@ def landing_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the landing folders hold, by partition."""
     path = fresh_folder(spark, "raw")
-    land_raw(_documents(spark, sf_dir), path, "test tables", _now())
+    land_raw(_documents(spark, sf_dir), path, "test tables", _landed_at())
     stored = spark.read.json(path)
     return stored.groupBy("region", F.col("date").cast("string").alias("date"), F.col("hour").cast("int").alias("hour")).agg(
         F.count(F.lit(1)).alias("documents"),

@@ -7,6 +7,7 @@ from trendstrata.functions.dates import (
     landing_hour,
     parse_trending_date,
     text_to_instant,
+    zoneless_to_instant,
 )
 from trendstrata.functions.keys import decode_key, decode_path, region_from_key, region_from_path
 from trendstrata.functions.nested import flatten_struct
@@ -31,4 +32,5 @@ __all__ = [
     "text_to_instant",
     "to_boolean",
     "to_long",
+    "zoneless_to_instant",
 ]

@@ -26,7 +26,12 @@ def text_to_instant(col: Column) -> Column:
     """ISO text to timestamp.  Text without a zone means UTC in any session."""
     parsed = F.try_to_timestamp(col)
     zoned = col.rlike(_ZONE_SUFFIX) & ~col.rlike(_DATE_ONLY)
-    return F.when(zoned, parsed).otherwise(F.from_utc_timestamp(parsed, F.current_timezone()))
+    return F.when(zoned, parsed).otherwise(zoneless_to_instant(parsed))
+
+
+def zoneless_to_instant(col: Column) -> Column:
+    """A wall-clock time taken as UTC, whatever the session's zone."""
+    return F.from_utc_timestamp(col.cast("timestamp"), F.current_timezone())
 
 
 def _utc(at: Column) -> Column:

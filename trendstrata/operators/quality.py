@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from trendstrata.config import Settings
 from trendstrata.errors import SPARK_ERRORS, reason
-from trendstrata.functions import text_to_instant
+from trendstrata.functions import text_to_instant, zoneless_to_instant
 from trendstrata.schemas import QUALITY_RECORD
 from trendstrata.sources.tables import dq_input
 
@@ -123,8 +123,11 @@ def check_freshness(df: DataFrame, table: str, settings: Settings, now: Column)
     if not stamps:
         return _Check({}, _record("freshness", table, F.lit(True), F.lit("no time stamp column, not checked")))
     stamp = F.col(stamps[0])
-    is_text = isinstance(df.schema[stamps[0]].dataType, T.StringType)
-    instant = text_to_instant(stamp) if is_text else stamp.cast("timestamp")
+    kind = df.schema[stamps[0]].dataType
+    if isinstance(kind, T.StringType):
+        instant = text_to_instant(stamp)
+    else:
+        instant = stamp if isinstance(kind, T.TimestampType) else zoneless_to_instant(stamp)
     cutoff = now - F.make_dt_interval(hours=F.lit(settings.freshness_hours))
     latest, unparsed = F.col("_latest"), F.col("_unparsed")
     readable = unparsed == 0

@@ -40,14 +40,11 @@ def shared_folder(spark: SparkSession) -> str:
     Where the cluster names none (tests, a laptop) one temporary folder is made
     and registered as the checkpoint folder of the context.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    known = spark.sparkContext.getCheckpointDir()
-    if not known:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-        known = spark.sparkContext.getCheckpointDir()
-    return known.rstrip("/")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,12 +52,12 @@ def _additive(declared: T.DataType, found: T.DataType) -> T.DataType:
 
 def read_category_json(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     multi_line: bool = True,
     files: str = "*.json",
     evolve: bool = False,
 ) -> DataFrame:
-    """One row per document under ``path`` (a folder at any depth, or one file).
+    """One row per document under ``path``: a folder of any depth, one file, or several.
 
     ``multi_line`` is for one pretty-printed document per file; without it each
     line is a document.  ``evolve`` adds fields found in the files to the
