@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from functools import reduce
 from typing import TypeVar
 
@@ -27,93 +28,80 @@ class QualityGateError(RuntimeError):
     """The checks did not pass, so the guarded stage was not run."""
 
 
-def _record(check: str, table: str | Column, passed: Column, message: Column, **values: Column) -> Column:
-    values |= {"check": F.lit(check), "table": F.lit(table), "passed": passed, "message": message}
-    return F.struct(
-        *[
-            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in QUALITY_RECORD.fields
-        ]
-    )
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _is_missing(df: DataFrame, name: str) -> Column:
-    floating = isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
-    return F.isnull(name) | F.isnan(name) if floating else F.isnull(name)
+def _record(check: str, table: str, passed: str, message: str, **values: str) -> str:
+    """One record as a SQL expression; the arguments but ``check`` are SQL too.
 
-
-def _counted(condition: Column) -> Column:
-    return F.count_if(F.coalesce(condition, F.lit(False)))
+    Text, since a record has a dozen fields and each Column call is a round
+    trip to the JVM.
+    """
+    values |= {"check": _text(check), "table": table, "passed": passed, "message": message}
+    return "named_struct({})".format(
+        ", ".join(
+            f"'{f.name}', CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
+            for f in QUALITY_RECORD.fields
+        )
+    )
 
 
-class _Check:
-    """What a check measures in the scan, and the record it makes of that."""
+@dataclass(frozen=True)
+class Check:
+    """What a check measures in the scan, and the records it makes of that."""
 
-    def __init__(self, measures: Mapping[str, Column], record: Column):
-        self.measures = measures
-        self.record = record
+    record: str
+    measures: Mapping[str, str | Column] = field(default_factory=dict)
 
 
-def check_row_count(table: str, settings: Settings) -> _Check:
-    rows = F.col("_rows")
-    message = F.concat(rows, F.lit(f" rows, at least {settings.min_rows} wanted"))
-    record = _record(
-        "row_count", table, rows >= settings.min_rows, message, value=rows, threshold=F.lit(settings.min_rows)
-    )
-    return _Check({"_rows": F.count(F.lit(1))}, record)
+def check_row_count(table: str, settings: Settings) -> Check:
+    least = settings.min_rows
+    message = f"concat(_rows, ' rows, at least {least} wanted')"
+    record = _record("row_count", _text(table), f"_rows >= {least}", message, value="_rows", threshold=str(least))
+    return Check(record, {"_rows": "count(1)"})
 
 
-def check_null_pct(df: DataFrame, table: str, column: str, settings: Settings) -> _Check:
+def check_null_pct(df: DataFrame, table: str, column: str, settings: Settings) -> Check:
+    """Share of NULL (and NaN) in a critical column; an absent column fails."""
+    name = _text(column)
     if column not in df.columns:
-        message = F.lit(f"no column {column} in the table")
-        return _Check({}, _record("null_pct", table, F.lit(False), message, column=F.lit(column)))
-    measure = f"_null_{column}"
-    share = F.when(F.col("_rows") > 0, F.col(measure) / F.col("_rows") * 100).otherwise(F.lit(0.0))
-    shown = F.bround(share, 2)
-    message = F.concat(
-        F.lit(f"{column} is "),
-        F.format_string("%.2f", shown),
-        F.lit(f" % NULL, at most {settings.max_null_pct} % allowed"),
-    )
+        return Check(_record("null_pct", _text(table), "false", f"concat('no column ', {name})", column=name))
+    most = f"CAST({settings.max_null_pct} AS double)"
+    measured = f"`_null_{column}`"
+    share = f"if(_rows > 0, {measured} / _rows * 100, 0D)"
+    message = f"format_string('%s is %.2f %% NULL, at most %s %% allowed', {name}, bround({share}, 2), {most})"
     record = _record(
-        "null_pct",
-        table,
-        share <= settings.max_null_pct,
-        message,
-        column=F.lit(column),
-        value=shown,
-        threshold=F.lit(settings.max_null_pct),
+        "null_pct", _text(table), f"{share} <= {most}", message,
+        column=name, value=f"bround({share}, 2)", threshold=most,
     )
-    return _Check({measure: _counted(_is_missing(df, column))}, record)
+    floating = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
+    missing = f"`{column}` IS NULL" + (f" OR isnan(`{column}`)" if floating else "")
+    return Check(record, {f"_null_{column}": f"count_if({missing})"})
 
 
-def check_schema(df: DataFrame, table: str, settings: Settings) -> _Check:
+def check_schema(df: DataFrame, table: str, settings: Settings) -> Check:
+    """All critical columns are there."""
     missing = sorted(set(settings.critical_columns.get(table, ())) - set(df.columns))
-    message = F.lit(f"missing: {', '.join(missing)}" if missing else "all critical columns are there")
-    names = F.array(*[F.lit(name) for name in missing]).cast("array<string>")
-    return _Check({}, _record("schema", table, F.lit(not missing), message, missing_columns=names))
+    message = f"missing: {', '.join(missing)}" if missing else "all critical columns are there"
+    names = f"array({', '.join(map(_text, missing))})"
+    passed = "false" if missing else "true"
+    return Check(_record("schema", _text(table), passed, _text(message), missing_columns=names))
 
 
-def check_value_range(table: str, settings: Settings) -> _Check:
-    negative, extreme = F.col("_negative"), F.col("_extreme")
-    message = F.concat(negative, F.lit(" negative and "), extreme, F.lit(f" above {settings.max_views} views"))
+def check_value_range(table: str, settings: Settings) -> Check:
+    """No views below zero or above the limit."""
+    most = settings.max_views
     record = _record(
-        "value_range",
-        table,
-        (negative == 0) & (extreme == 0),
-        message,
-        column=F.lit("views"),
-        negative_count=negative,
-        extreme_count=extreme,
+        "value_range", _text(table), "_negative = 0 AND _extreme = 0",
+        f"concat(_negative, ' negative and ', _extreme, ' above {most} views')",
+        column="'views'", negative_count="_negative", extreme_count="_extreme",
     )
-    measures = {
-        "_negative": _counted(F.col("views") < 0),
-        "_extreme": _counted(F.col("views") > settings.max_views),
-    }
-    return _Check(measures, record)
+    return Check(record, {"_negative": "count_if(views < 0)", "_extreme": f"count_if(views > {most})"})
 
 
-def check_freshness(df: DataFrame, table: str, settings: Settings, now: Column) -> _Check:
+def check_freshness(df: DataFrame, table: str, settings: Settings, now: Column) -> Check:
     """Newest stamp within the limit.
 
     Fails open where there is nothing to read a time from: no stamp column, or
@@ -121,28 +109,24 @@ def check_freshness(df: DataFrame, table: str, settings: Settings, now: Column)
     """
     stamps = [c for c in STAMP_COLUMNS if c in df.columns]
     if not stamps:
-        return _Check({}, _record("freshness", table, F.lit(True), F.lit("no time stamp column, not checked")))
+        return Check(_record("freshness", _text(table), "true", "'no time stamp column, not checked'"))
     stamp = F.col(stamps[0])
     kind = df.schema[stamps[0]].dataType
     if isinstance(kind, T.StringType):
         instant = text_to_instant(stamp)
     else:
         instant = stamp if isinstance(kind, T.TimestampType) else zoneless_to_instant(stamp)
-    cutoff = now - F.make_dt_interval(hours=F.lit(settings.freshness_hours))
-    latest, unparsed = F.col("_latest"), F.col("_unparsed")
-    readable = unparsed == 0
-    message = F.when(readable, F.concat_ws(" ", F.lit("newest"), latest, F.lit("limit"), cutoff)).otherwise(
-        F.lit("time stamps cannot be read, not checked")
-    )
     record = _record(
-        "freshness",
-        table,
-        ~readable | F.coalesce(latest >= cutoff, F.lit(False)),
-        message,
-        latest_record=F.when(readable, latest),
-        cutoff=F.when(readable, cutoff),
+        "freshness", _text(table), "_unparsed > 0 OR coalesce(_latest >= _cutoff, false)",
+        "if(_unparsed > 0, 'time stamps cannot be read, not checked', concat_ws(' ', 'newest', _latest, 'limit', _cutoff))",
+        latest_record="if(_unparsed > 0, NULL, _latest)", cutoff="if(_unparsed > 0, NULL, _cutoff)",
     )
-    return _Check({"_latest": F.max(instant), "_unparsed": F.count_if(stamp.isNotNull() & instant.isNull())}, record)
+    measures = {
+        "_latest": F.max(instant),
+        "_unparsed": F.count_if(stamp.isNotNull() & instant.isNull()),
+        "_cutoff": now - F.make_dt_interval(hours=F.lit(settings.freshness_hours)),
+    }
+    return Check(record, measures)
 
 
 def check_table(
@@ -159,9 +143,10 @@ def check_table(
     if table in settings.range_checked and "views" in df.columns:
         checks.append(check_value_range(table, settings))
     checks.append(check_freshness(df, table, settings, now))
-    measures = [column.alias(name) for check in checks for name, column in check.measures.items()]
-    records = F.array(*[check.record for check in checks])
-    return df.agg(*measures).select(F.inline(records))
+    measures = {name: measure for check in checks for name, measure in check.measures.items()}
+    columns = [(F.expr(m) if isinstance(m, str) else m).alias(name) for name, m in measures.items()]
+    records = ", ".join(check.record for check in checks)
+    return df.agg(*columns).selectExpr(f"inline(array({records}))")
 
 
 def check_tables(
@@ -173,8 +158,7 @@ def check_tables(
 
 
 def unreadable(spark: SparkSession, table: str, why: str) -> DataFrame:
-    failed = _record("read_table", table, F.lit(False), F.lit(why))
-    return spark.range(1).select(F.inline(F.array(failed)))
+    return failures(spark.range(1), "read_table", F.lit(table), F.lit(why))
 
 
 def run_checks(
@@ -219,7 +203,8 @@ def gate(results: DataFrame, build: Callable[[], Result]) -> Result:
 
 def failures(df: DataFrame, check: str, subject: Column, why: Column) -> DataFrame:
     """Failed records from rows that name a subject and a reason, such as bad files."""
-    return df.select(F.inline(F.array(_record(check, subject, F.lit(False), why))))
+    named = df.select(subject.alias("_subject"), why.alias("_why"))
+    return named.selectExpr(f"inline(array({_record(check, '_subject', 'false', '_why')}))")
 
 
 def alerts(results: DataFrame) -> DataFrame:
@@ -230,8 +215,8 @@ def alerts(results: DataFrame) -> DataFrame:
 def warning_measures(condition: Column | None = None) -> list[Column]:
     """NULL counts and negative views of finished silver rows, as aggregates."""
     among = F.lit(True) if condition is None else condition
-    nulls = [_counted(among & F.isnull(c)).alias(f"null_{c}") for c in WARNING_COLUMNS]
-    return [*nulls, _counted(among & (F.col("views") < 0)).alias("negative_views")]
+    nulls = [F.count_if(among & F.isnull(c)).alias(f"null_{c}") for c in WARNING_COLUMNS]
+    return [*nulls, F.count_if(among & (F.col("views") < 0)).alias("negative_views")]
 
 
 def silver_warnings(stats: DataFrame) -> DataFrame:
