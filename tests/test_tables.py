@@ -130,4 +130,6 @@ def test_ledger(spark, tmp_path, rows):
     append_ledger(ledger_row(spark, "r1", "gold", "t", 5, "p"), path)
     append_ledger(ledger_row(spark, "r1", "gold", "u", error="broken"), path)
     stored = spark.read.parquet(path)
-    assert rows(stored.drop("recorded_at")) == [("r1", "gold", "t", None, 5, "p", None), ("r1", "gold", "u", None, None, None, "broken")]
+    assert rows(stored.drop("recorded_at")) == [
+        ("r1", "gold", "t", None, 5, "p", None), ("r1", "gold", "u", None, None, None, "broken"),
+    ]

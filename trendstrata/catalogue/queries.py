@@ -40,7 +40,7 @@ from trendstrata.plans.silver import (
     tallied_statistics,
     typed_statistics,
 )
-from trendstrata.schemas import COUNTERS, RAW_COLUMNS, SILVER_KEY
+from trendstrata.schemas import COUNTERS, SILVER_KEY
 from trendstrata.session import fresh_folder
 from trendstrata.sinks.landing import land_raw, with_envelope
 from trendstrata.sinks.ledger import append_alerts, append_ledger, ledger_per_file
