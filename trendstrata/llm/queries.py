@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendstrata.llm import chat, language, mixing, pieces, tokens
+from trendstrata.llm import chat, language, mixing, pieces, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
+    "op2_warc": warc.op2_warc,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_token_files": tokens.op4_token_files,
     "op5_language": language.op5_language,
@@ -17,5 +18,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_chat": chat.ORACLE,
+    "op2_warc": warc.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
