@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendstrata.llm import chat, language, mixing, pieces, tokens, warc
+from trendstrata.llm import chat, language, mixing, mtree, neighbours, pieces, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
@@ -14,10 +14,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_token_files": tokens.op4_token_files,
     "op5_language": language.op5_language,
+    "op7_neighbours": neighbours.op7_neighbours,
     "op8_mixing": mixing.op8_mixing,
+    "op10_mtree": mtree.op10_mtree,
 }
 ORACLES: dict[str, str] = {
     "op1_chat": chat.ORACLE,
     "op2_warc": warc.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op10_mtree": mtree.ORACLE,
 }
