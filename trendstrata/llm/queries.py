@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendstrata.llm import chat, language, mixing, mtree, neighbours, pieces, tokens, warc
+from trendstrata.llm import chat, language, mixing, mtree, neighbours, pieces, suffixes, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language": language.op5_language,
     "op7_neighbours": neighbours.op7_neighbours,
     "op8_mixing": mixing.op8_mixing,
+    "op9_suffixes": suffixes.op9_suffixes,
     "op10_mtree": mtree.op10_mtree,
 }
 ORACLES: dict[str, str] = {
