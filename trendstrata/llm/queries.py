@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendstrata.llm import chat, language, mixing, mtree, neighbours, pieces, suffixes, tokens, warc
+from trendstrata.llm import chat, jaccard, language, mixing, mtree, neighbours, pieces, suffixes, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_token_files": tokens.op4_token_files,
     "op5_language": language.op5_language,
+    "op6_jaccard": jaccard.op6_jaccard,
     "op7_neighbours": neighbours.op7_neighbours,
     "op8_mixing": mixing.op8_mixing,
     "op9_suffixes": suffixes.op9_suffixes,

@@ -375,18 +375,23 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return keyed(docs).join(lists, ["did", "h"], "left").drop("did", "h")
 
 
+def _kept(data: bytes, spans) -> tuple[list[tuple[int, int]], bytes]:
+    gone = merged([s["lo"] for s in spans], [s["hi"] for s in spans]) if spans else []
+    kept, at = [], 0
+    for a, b in gone:
+        kept.append(data[at:a])
+        at = b
+    kept.append(data[at:])
+    return gone, b"".join(kept)
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for doc_id, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
             data = (text.as_py() or "").encode()
-            gone = merged([s["lo"] for s in spans.as_py()], [s["hi"] for s in spans.as_py()]) if spans.is_valid else []
-            kept, at = hashlib.sha256(), 0
-            for a, b in gone:
-                kept.update(data[at:a])
-                at = b
-            kept.update(data[at:])
-            rows.append((doc_id, len(data), sum(b - a for a, b in gone), len(gone), kept.hexdigest()))
+            gone, kept = _kept(data, spans.as_py())
+            rows.append((doc_id, len(data), sum(b - a for a, b in gone), len(gone), hashlib.sha256(kept).hexdigest()))
         columns = list(zip(*rows, strict=True)) or [()] * 5
         kinds = [pa.int64()] * 4 + [pa.string()]
         yield pa.RecordBatch.from_arrays(
@@ -395,6 +400,24 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        spans = batch.column(batch.schema.get_field_index("_spans"))
+        texts = []
+        for text, one in zip(batch.column(at), spans, strict=True):
+            # A cut inside a character leaves its other bytes without meaning: they go too.
+            texts.append(_kept(text.as_py().encode(), one.as_py())[1].decode("utf-8", "ignore") if one.is_valid else text.as_py())
+        names = [n for n in batch.schema.names if n != "_spans"]
+        columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(batch.schema.get_field_index(n)) for n in names]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with every byte of a repeated window taken out of ``text``, all other columns as they are."""
+    return with_spans(docs, repeated_spans(docs)).mapInArrow(_cut, docs.schema)
+
+
 def op9_suffixes(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = with_spans(docs, repeated_spans(docs)).select("doc_id", "text", "_spans")
