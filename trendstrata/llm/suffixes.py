@@ -10,8 +10,7 @@ its shard key, and equal windows always meet in one shard.
 2. Shards left with different runs (or one run that repeats a gram) get
    the bytes of one run per content.  A suffix array by Larsson-Sadakane
    refinement, and Kasai's common prefixes of neighbours, show the windows that occur twice.
-3. A shard of more than ``SHARD`` bytes is cut into parts with a suffix array
-   each.  The parts' distinct windows are merged in order of their digests,
+3. A shard of more than ``SHARD`` bytes is cut into parts of their own.  The parts' distinct windows are merged in order of their digests,
    where equal ones of different parts lie side by side.
 
 Nothing is compared pair by pair, and the work is in proportion to the bytes.
@@ -33,7 +32,8 @@ LENGTH = 200  # bytes that make a repeat
 GRAM = 32  # bytes of a gram
 RUN = 1 << 15  # windows of one run at most; longer ones are cut
 SLICE = 1 << 22  # bytes handled at once
-SHARD = 1 << 20  # bytes of one suffix array, about
+SHARD = 1 << 18  # bytes of a shard above which it is cut into parts
+ARRAY = 1 << 21  # bytes of one suffix array, about; it serves several small shards
 SAMPLED = 32  # one of so many documents shows which shards are large (for balance only)
 CROWD = 512  # runs of a large shard that go to one task
 END = 0xFF  # between stretches; no UTF-8 byte
@@ -292,7 +292,7 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lo = 0
         for end, add in zip(ends, np.add.reduceat(sizes, starts), strict=True):
             size += int(add)
-            if size >= 2 * SHARD:
+            if size >= ARRAY:
                 held.append(batch.slice(lo, end - lo))
                 yield from solve(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
                 held, size, lo = [], 0, end
@@ -344,7 +344,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     needed = first.filter("kind = 1").drop("kind", "c")
     sizes = needed.groupBy("v").agg(F.sum((F.col("hi") - F.col("lo")).cast("long")).alias("_bytes"))
     crowded = stored(
-        sizes.filter(F.col("_bytes") > SHARD).select("v", F.ceil(F.col("_bytes") / (SHARD / 2)).cast("int").alias("_parts")),
+        sizes.filter(F.col("_bytes") > SHARD).select("v", F.ceil(F.col("_bytes") / SHARD).cast("int").alias("_parts")),
         "crowded",
     )
     needed = needed.join(crowded, "v", "left").withColumn("parts", F.coalesce("_parts", F.lit(1)))
