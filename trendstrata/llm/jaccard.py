@@ -39,7 +39,7 @@ DEPTH = 4
 ALIKE = 0.62  # share of equal min-hash values that makes a candidate
 NEAR = 0.85  # a part's representative stands for sets with this share
 FAR = 0.4  # representatives of two parts with this share connect them
-BLOCK = 512  # documents of one exact comparison
+BLOCK = 256  # documents of one exact comparison
 SLICE = 1 << 22
 
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, size=(2, HASHES), dtype=np.uint64) | np.uint64(1)
@@ -256,15 +256,23 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between representatives of a node's parts: ``node, rid, sig``; block against block."""
+    """A spanning forest of the close representatives of a node's parts: ``node, rid, sig``; block against block."""
     for rows in _grouped(batches, 1):
         ids, sig = rows.column(1).to_numpy(), _matrix(rows.column(2))
+        tree, a, b = np.arange(len(ids)), [], []
         for i in range(0, len(ids), 256):
             for j in range(0, i + 256, 256):
-                equal = (sig[i : i + 256, None, :] == sig[None, j : j + 256, :]).mean(2)
-                x, y = np.nonzero(equal >= FAR)
-                keep = ids[i + x] != ids[j + y]
-                yield _links(0, ids[i + x][keep], ids[j + y][keep])
+                x, y = np.nonzero((sig[i : i + 256, None, :] == sig[None, j : j + 256, :]).mean(2) >= FAR)
+                x, y = x + i, y + j
+                while True:
+                    apart = tree[x] != tree[y]
+                    if not apart.any():
+                        break
+                    x, y = x[apart], y[apart]
+                    a.append(int(ids[x[0]]))
+                    b.append(int(ids[y[0]]))
+                    tree[tree == tree[y[0]]] = tree[x[0]]
+        yield _links(0, a, b)
 
 
 def candidates(signed: DataFrame) -> DataFrame:
