@@ -35,7 +35,8 @@ MAGIC = b"BITPACK1"
 HEAD = struct.Struct("<8sIIQQQ")
 BLOCK = 8192  # ids of a block, a multiple of 64
 FILE_IDS = 1 << 22  # ids after which a task begins the next file
-CACHE = 400_000  # words whose ids a task remembers
+CACHE = 800_000  # stretches whose ids a worker remembers
+TOGETHER = 64  # texts encoded at once
 
 
 def width_for(vocabulary: int) -> int:
@@ -125,63 +126,88 @@ class BitFile:
 # Positions where a byte-level pre-tokenizer always begins a new piece: before
 # a single space with no white space on either side.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_EDGE = re.compile(r" \s|\s ")
-_WORD = re.compile(r" \S(?:.*\S)?\Z", re.DOTALL)
+# A stretch that is cut safely from neighbours of the same kind.
+_SAFE = re.compile(r" ?\S(?:.*\S)?\Z", re.DOTALL)
+# One piece for the pre-tokenizer, with perhaps one mark behind it: letters below U+0100.
+_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?\Z")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """Fixed values of byte-level vocabularies: the character for each byte.
+
+    Visible bytes stand for themselves, the others for the code points from 256 on, in order.
+    """
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class Encoder:
-    """Whole-text ids of a byte-level tokenizer, remembered by word.
+    """Whole-text ids of a byte-level tokenizer, remembered by stretch.
 
     Such a tokenizer never merges across its pre-tokens, so the ids of a text
-    are those of its stretches between safe cuts, one after the other.
+    are those of its stretches between safe cuts, one after the other.  New
+    plain words go to the tokenizer's model past its slower pre-tokenizer.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._words = Tokenizer(self._tokenizer.model)
+        self._words.pre_tokenizer = pre_tokenizers.Split("\x00", "removed")
+        self._alphabet = byte_alphabet()
         self.vocabulary = self._tokenizer.get_vocab_size()
         # Every character of a byte-level token stands for one byte.
         self._bytes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(self.vocabulary)])
         self._known: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of the words not yet known: all encoded as one text and cut by their lengths in bytes.
-
-        Once ``CACHE`` words are known no more are remembered; the first ones seen are mostly the frequent ones.
-        """
-        new = [p for p in dict.fromkeys(pieces) if p not in self._known]
-        words = [p for p in new if _WORD.match(p)]
-        # A text's first stretch has no leading space, so it cannot follow another.
-        found = {p: self._ids(p).tobytes() for p in set(new).difference(words)}
-        if words:
-            ids = self._ids("".join(words))
-            ends = np.cumsum([len(w.encode()) for w in words])
-            cuts = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
-            for word, lo, hi in zip(words, [0, *cuts[:-1]], cuts, strict=True):
-                found[word] = ids[lo:hi].tobytes()
-        if len(self._known) < CACHE:
-            self._known.update((w, found[w]) for w in words)
-        return found
-
-    def __call__(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, "<u4")
-        if text[0] != " " and text[-1] != " " and "\x00" not in text and not _EDGE.search(text):
-            pieces = text.replace(" ", "\x00 ").split("\x00")
-        else:
-            pieces = _CUT.split(text)
-        known = self._known
-        try:
-            joined = b"".join([known[p] for p in pieces])
-        except KeyError:
-            found = self._learn(pieces)
-            joined = b"".join([known.get(p) or found[p] for p in pieces])
-        return np.frombuffer(joined, "<u4")
+    def _cut(self, coded, stretches: list[str], found: dict[str, bytes]) -> None:
+        """Share the ids of joined stretches out by the stretches' lengths in bytes."""
+        ids = np.array(coded.ids, "<u4")
+        ends = np.cumsum([len(p.encode()) for p in stretches])
+        cuts = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
+        data, last = ids.tobytes(), 0
+        for stretch, cut in zip(stretches, (4 * cuts).tolist(), strict=True):
+            found[stretch] = data[last:cut]
+            last = cut
+
+    def _learn(self, found: dict[str, bytes]) -> None:
+        plain = [p for p in found if _PLAIN.match(p)]
+        odd = [p for p in found if not _PLAIN.match(p)]
+        for i in range(0, len(plain), 2000):
+            part = plain[i : i + 2000]
+            joined = "\x00".join([p if p[-1] not in ".," else f"{p[:-1]}\x00{p[-1]}" for p in part])
+            mapped = joined.encode().decode("latin-1").translate({**self._alphabet, 0: "\x00"})
+            self._cut(self._words.encode_batch_fast([mapped], add_special_tokens=False)[0], part, found)
+        behind = [p for p in odd if p[0] == " " and _SAFE.match(p)]
+        for i in range(0, len(behind), 2000):
+            part = behind[i : i + 2000]
+            self._cut(self._tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0], part, found)
+        # The others cannot follow one another in one text.
+        for p in set(odd).difference(behind):
+            found[p] = np.array(self._tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts.  Up to ``CACHE`` stretches are remembered, mostly the frequent ones: those seen first."""
+        known, found, special, split = self._known, {}, {}, []
+        for text in texts:
+            pieces = text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else [text]
+            new = [p for p in pieces if p not in known]
+            if new and not all(map(_SAFE.match, new)):
+                pieces = _CUT.split(text) if text else []
+                special.update((p, b"") for p in pieces if p not in known)
+                split.append((pieces, special))
+            else:
+                found.update((p, b"") for p in new)
+                split.append((pieces, found))
+        self._learn(found)
+        self._learn(special)
+        out = [np.frombuffer(b"".join([known.get(p) or extra[p] for p in pieces]), "<u4") for pieces, extra in split]
+        if len(known) < CACHE:
+            known.update(found)
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -202,6 +228,12 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         store, inner = arrow_fs.FileSystem.from_uri(folder)
         doc_ids, counts, parts, held, number = [], [], [], 0, 0
 
+        def coded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
+            for i in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(i, TOGETHER)
+                texts = [t or "" for t in some.column(1).to_pylist()]
+                yield from zip(some.column(0).to_pylist(), encode(texts), strict=True)
+
         def flush() -> pa.RecordBatch:
             # The attempt is in the name; only rows of the manifest that Spark commits count.
             name = f"part-{part:06d}-{number:06d}-{attempt}.bits"
@@ -216,8 +248,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "")
+            for doc_id, ids in coded(batch):
                 parts += [ids, end]
                 doc_ids.append(doc_id)
                 counts.append(len(ids) + 1)
