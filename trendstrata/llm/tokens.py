@@ -49,6 +49,8 @@ def pack(ids: np.ndarray, width: int) -> bytes:
     groups = -(-len(ids) // 64)
     padded = np.zeros(groups * 64, np.uint64)
     padded[: len(ids)] = ids
+    if width in (8, 16, 32):  # the same layout, as whole numbers
+        return padded.astype(f"<u{width // 8}").tobytes()
     columns = padded.reshape(groups, 64)
     words = np.zeros((groups, width), np.uint64)
     for j in range(64):
@@ -60,6 +62,8 @@ def pack(ids: np.ndarray, width: int) -> bytes:
 
 
 def unpack(data: bytes, width: int, count: int) -> np.ndarray:
+    if width in (8, 16, 32):
+        return np.frombuffer(data, f"<u{width // 8}", count).astype(np.uint32)
     words = np.frombuffer(data, "<u8").reshape(-1, width)
     out = np.empty((len(words), 64), np.uint32)
     mask = np.uint64((1 << width) - 1)
@@ -73,16 +77,16 @@ def unpack(data: bytes, width: int, count: int) -> np.ndarray:
 
 
 def file_bytes(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, width: int) -> bytes:
-    blocks = [pack(ids[i : i + BLOCK], width) for i in range(0, len(ids), BLOCK)]
-    offsets = np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u8")
+    packed = pack(ids, width)  # a block is a multiple of 64 ids, so blocks are stretches of the whole
+    offsets = np.append(np.arange(0, len(packed), BLOCK // 8 * width), len(packed)).astype("<u8")
     return b"".join(
         [
-            HEAD.pack(MAGIC, width, BLOCK, len(doc_ids), len(ids), len(blocks)),
+            HEAD.pack(MAGIC, width, BLOCK, len(doc_ids), len(ids), len(offsets) - 1),
             np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
             np.array([d is not None for d in doc_ids], "u1").tobytes(),
             np.array(counts, "<u8").tobytes(),
             offsets.tobytes(),
-            *blocks,
+            packed,
         ]
     )
 
@@ -173,40 +177,54 @@ class Encoder:
             found[stretch] = data[last:cut]
             last = cut
 
-    def _learn(self, found: dict[str, bytes]) -> None:
-        plain = [p for p in found if _PLAIN.match(p)]
-        odd = [p for p in found if not _PLAIN.match(p)]
-        for i in range(0, len(plain), 2000):
-            part = plain[i : i + 2000]
+    def _learn(self, plain: dict[str, bytes], behind: dict[str, bytes], alone: dict[str, bytes]) -> None:
+        """Fill in the ids of new stretches: plain ones, others that can follow one another, and the rest."""
+        every = list(plain)
+        for i in range(0, len(every), 2000):
+            part = every[i : i + 2000]
             joined = "\x00".join([p if p[-1] not in ".," else f"{p[:-1]}\x00{p[-1]}" for p in part])
             mapped = joined.encode().decode("latin-1").translate({**self._alphabet, 0: "\x00"})
-            self._cut(self._words.encode_batch_fast([mapped], add_special_tokens=False)[0], part, found)
-        behind = [p for p in odd if p[0] == " " and _SAFE.match(p)]
-        for i in range(0, len(behind), 2000):
-            part = behind[i : i + 2000]
-            self._cut(self._tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0], part, found)
-        # The others cannot follow one another in one text.
-        for p in set(odd).difference(behind):
-            found[p] = np.array(self._tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+            self._cut(self._words.encode_batch_fast([mapped], add_special_tokens=False)[0], part, plain)
+        every = list(behind)
+        for i in range(0, len(every), 2000):
+            part = every[i : i + 2000]
+            self._cut(self._tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0], part, behind)
+        for p in alone:
+            alone[p] = np.array(self._tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts.  Up to ``CACHE`` stretches are remembered, mostly the frequent ones: those seen first."""
-        known, found, special, split = self._known, {}, {}, []
+        plain, behind, alone, work = {}, {}, {}, []
+        get = self._known.get
         for text in texts:
             pieces = text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else [text]
-            new = [p for p in pieces if p not in known]
-            if new and not all(map(_SAFE.match, new)):
+            values = list(map(get, pieces))
+            if None not in values:
+                work.append((values, None))
+                continue
+            missing = [(k, pieces[k]) for k, v in enumerate(values) if v is None]
+            if not all([_SAFE.match(p) for _, p in missing]):
                 pieces = _CUT.split(text) if text else []
-                special.update((p, b"") for p in pieces if p not in known)
-                split.append((pieces, special))
-            else:
-                found.update((p, b"") for p in new)
-                split.append((pieces, found))
-        self._learn(found)
-        self._learn(special)
-        out = [np.frombuffer(b"".join([known.get(p) or extra[p] for p in pieces]), "<u4") for pieces, extra in split]
-        if len(known) < CACHE:
-            known.update(found)
+                values = list(map(get, pieces))
+                missing = [(k, pieces[k]) for k, v in enumerate(values) if v is None]
+            for _, p in missing:
+                if _PLAIN.match(p):
+                    plain[p] = b""
+                elif p[0] == " " and _SAFE.match(p):
+                    behind[p] = b""
+                else:
+                    alone[p] = b""
+            work.append((values, missing))
+        self._learn(plain, behind, alone)
+        found = plain | behind | alone
+        out = []
+        for values, missing in work:
+            for k, p in missing or ():
+                values[k] = found[p]
+            out.append(np.frombuffer(b"".join(values), "<u4"))
+        if len(self._known) < CACHE:
+            self._known.update(plain)
+            self._known.update(behind)
         return out
 
 
