@@ -15,6 +15,7 @@ stretches between are encoded on their own and remembered.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -28,7 +29,7 @@ from trendstrata.llm.common import slices, table, text_sizes
 
 SPACE = "▁"  # fixed value of the format
 UNKNOWN_PENALTY = 10.0  # fixed value: what an unknown character costs below the worst piece
-CACHE = 400_000  # stretches whose ids a task remembers
+CACHE = 600_000  # stretches whose ids a task remembers
 SLICE = 1 << 22  # bytes of text between two batches of output
 
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -62,10 +63,15 @@ class Pieces:
                 self.unknown = i
             elif piece.type == kinds.CONTROL:
                 self.silent.add(i)
+        self._last_special = max([*self.bytes.values(), *self.silent, self.unknown])
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.worst = min(s for s, _ in self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.scores))
-        self.begins = {p[:k] for p in self.scores for k in range(1, len(p) + 1)}
+        # Score of each piece, None for what only begins pieces; scores are never 1.
+        self._table: dict[str, float | None] = {p[:k]: None for p in self.scores for k in range(1, len(p) + 1)}
+        self._table |= {p: score for p, (score, _) in self.scores.items()}
+        if 1.0 in self._table.values():
+            raise ValueError("a score of 1 is no log probability")
         self.divisible = not any(SPACE in p.lstrip(SPACE) for p in self.scores)
         self._known: dict[str, bytes] = {}
         self._text = [s.replace(SPACE, " ") for s in self.surface]
@@ -79,12 +85,12 @@ class Pieces:
         return [self.unknown]
 
     def stream(self, chars: Iterable[str]) -> Iterator[int]:
-        """Ids of a stream of characters, each given as soon as it is certain.
+        """Ids of a stream of text in parts of any size, each given as soon as it is certain.
 
         Held: the last ``longest`` characters and scores, and the back pointers
         since the last boundary that all surviving paths share.
         """
-        scores, begins, worst, longest = self.scores, self.begins, self.worst, self.longest
+        table, worst, longest = self._table, self.worst, self.longest
         source, text, base, ended = iter(chars), "", 0, False  # `text` starts at position `base`
         best: dict[int, float] = {0: 0.0}
         back: dict[int, int] = {}
@@ -96,25 +102,25 @@ class Pieces:
                     ended = True
                 else:
                     text += more
-            if at - base >= len(text):
+            here = at - base
+            if here >= len(text):
                 break
             score = best.pop(at)
-            here = at - base
-            for length in range(1, min(longest, len(text) - here) + 1):
-                piece = text[here : here + length]
-                if piece not in begins:
-                    if length > 1:
-                        break
-                known = scores.get(piece)
-                if known is None:
-                    if length > 1:
-                        continue
-                    value = score + worst
-                else:
-                    value = score + known[0]
-                if at + length not in best or value > best[at + length]:
-                    best[at + length] = value
-                    back[at + length] = at
+            single = table.get(text[here])
+            value = score + (worst if single is None else single)
+            if best.get(at + 1, value - 1) < value:
+                best[at + 1] = value
+                back[at + 1] = at
+            for end in range(here + 2, min(here + longest, len(text)) + 1):
+                known = table.get(text[here:end], 1.0)
+                if known == 1.0:
+                    break
+                if known is not None:
+                    value = score + known
+                    to = base + end
+                    if best.get(to, value - 1) < value:
+                        best[to] = value
+                        back[to] = at
             at += 1
             if at % longest == 0:
                 meet = self._shared(back, best, done)
@@ -143,8 +149,42 @@ class Pieces:
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield from self._ids(text[a - base : b - base])
 
+    def _short(self, text: str) -> list[int]:
+        """What ``stream`` gives for a text of a few windows, with all of it at hand."""
+        get, longest, size = self._table.get, self.longest, len(text)
+        best, back = [-math.inf] * (size + 1), [0] * (size + 1)
+        best[0] = 0.0
+        for at in range(size):
+            score = best[at]
+            value = get(text[at])
+            value = score + (self.worst if value is None else value)
+            if value > best[at + 1]:
+                best[at + 1], back[at + 1] = value, at
+            for end in range(at + 2, min(at + longest, size) + 1):
+                value = get(text[at:end], 1.0)
+                if value is None:
+                    continue
+                if value == 1.0:
+                    break
+                value += score
+                if value > best[end]:
+                    best[end], back[end] = value, at
+        ids, end = [], size
+        while end:
+            ids.append(text[back[end] : end])
+            end = back[end]
+        scores, out = self.scores, []
+        for piece in reversed(ids):
+            known = scores.get(piece)
+            if known:
+                out.append(known[1])
+            else:
+                out += self._ids(piece)
+        return out
+
     def _stretch(self, stretch: str) -> bytes:
-        coded = np.fromiter(self.stream(stretch), "<i4").tobytes()
+        ids = self._short(stretch) if len(stretch) <= 64 else np.fromiter(self.stream((stretch,)), "<i4")
+        coded = np.array(ids, "<i4").tobytes()
         if len(self._known) < CACHE and len(stretch) <= 64:
             self._known[stretch] = coded
         return coded
@@ -154,24 +194,26 @@ class Pieces:
             return np.zeros(0, "<i4")
         text = self.prefix + text.replace(" ", SPACE)
         if not self.divisible:
-            return np.fromiter(self.stream(text), "<i4")
+            return np.fromiter(self.stream((text,)), "<i4")
         known = self._known
         if SPACE + SPACE in text or text[-1] == SPACE or text[0] != SPACE or "\x00" in text:
             stretches = _STRETCH.findall(text)
         else:
             stretches = text.replace(SPACE, "\x00" + SPACE).split("\x00")[1:]
-        return np.frombuffer(b"".join([known.get(s) or self._stretch(s) for s in stretches]), "<i4")
+        values = list(map(known.get, stretches))
+        if None in values:
+            values = [self._stretch(s) if v is None else v for s, v in zip(stretches, values, strict=True)]
+        return np.frombuffer(b"".join(values), "<i4")
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Text of the ids: bytes are put together, control ids are left out, the dummy prefix is taken off."""
-        ids = list(ids)
-        if not ids:
+        if len(ids) == 0:
             return ""
-        if min(ids) > max(self.byte_of, default=-1) and not self.silent.intersection(ids):
-            text = "".join([self._text[i] for i in ids])
+        if int(ids.min()) > self._last_special:
+            text = "".join(map(self._text.__getitem__, ids.tolist()))
         else:
             parts = bytearray()
-            for i in ids:
+            for i in ids.tolist():
                 if i in self.byte_of:
                     parts.append(self.byte_of[i])
                 elif i not in self.silent:
@@ -204,7 +246,9 @@ def _decoder(path: str):
         for whole in batches:
             sizes = np.diff(np.asarray(whole.column(1).offsets))
             for batch in slices(whole, sizes, SLICE):
-                texts = pa.array([decode(ids.as_py() or ()) for ids in batch.column(1)], pa.string())
+                lists = batch.column(1)
+                flat, ends = lists.values.to_numpy(), np.asarray(lists.offsets)
+                texts = pa.array([decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["doc_id", "ids", "decoded"])
 
     return run
