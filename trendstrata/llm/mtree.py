@@ -117,12 +117,16 @@ class MTree:
             scores = self.values[rows] @ query
             for row, score in zip(rows, scores.tolist(), strict=True):
                 one = int(self.ids[row])
-                if one == own:
+                if one == own or (len(top) == k and score < top[0][0]):
                     continue
                 entry = (score, -one)
-                if len(top) < k:
+                same = [old for old in top if old[1] == -one]
+                if same and same[0] < entry:  # another row with this id
+                    top[top.index(same[0])] = entry
+                    heapq.heapify(top)
+                elif not same and len(top) < k:
                     heapq.heappush(top, entry)
-                elif entry > top[0]:
+                elif not same and entry > top[0]:
                     heapq.heapreplace(top, entry)
             if len(top) == k:
                 limit = min(limit, math.sqrt(max(length + square - 2 * top[0][0], 0.0)))

@@ -149,15 +149,20 @@ class _Nearest:
         square = (queries**2).sum(1)[:, None] + (data**2).sum(1)[None] - 2 * queries @ data.T
         own = ids[:, None] == data_ids[None]
         square[own] = np.inf
-        k = min(self.k, len(data))
-        limit = np.partition(square, k - 1, axis=1)[:, k - 1]
+        by_id = np.argsort(data_ids, kind="stable")
+        starts = np.flatnonzero(np.append(True, np.diff(data_ids[by_id]) != 0))
+        # Rows that repeat an id count once, by the nearest.
+        each = square if len(starts) == len(data) else np.minimum.reduceat(square[:, by_id], starts, axis=1)
+        k = min(self.k, each.shape[1])
+        limit = np.partition(each, k - 1, axis=1)[:, k - 1]
         slack = 1e-9 * (1 + np.abs(limit) + (queries**2).sum(1))
         for i in range(len(ids)):
             near = np.flatnonzero((square[i] <= limit[i] + slack[i]) & ~own[i])
             if len(near) == 0:
                 continue
             exact = np.sqrt(((data[near] - queries[i]) ** 2).sum(1))
-            best_ = np.lexsort((data_ids[near], exact))[: self.k]
+            ordered = np.lexsort((data_ids[near], exact))
+            best_ = ordered[np.sort(np.unique(data_ids[near][ordered], return_index=True)[1])[: self.k]]
             held = self.found.setdefault(int(ids[i]), {})
             for at in best_:
                 one, d = int(data_ids[near[at]]), float(exact[at])
