@@ -29,8 +29,8 @@ from trendstrata.llm.common import slices, table, text_sizes
 
 SPACE = "▁"  # fixed value of the format
 UNKNOWN_PENALTY = 10.0  # fixed value: what an unknown character costs below the worst piece
-CACHE = 400_000  # stretches whose ids a task remembers
-SLICE = 1 << 22  # bytes of text between two batches of output
+CACHE = 200_000  # stretches whose ids a task remembers
+SLICE = 1 << 21  # bytes of text between two batches of output
 
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -189,6 +189,9 @@ class Pieces:
             self._known[stretch] = coded
         return coded
 
+    def forget(self) -> None:
+        self._known.clear()
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, "<i4")
@@ -229,13 +232,14 @@ def pieces(path: str) -> Pieces:
 
 def _encoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = pieces(path).encode
+        model = pieces(path)
         for whole in batches:
             for batch in slices(whole, text_sizes(whole.column(1)), SLICE):
-                coded = [encode(t.as_py() or "") for t in batch.column(1)]
+                coded = [model.encode(t.as_py() or "") for t in batch.column(1)]
                 ends = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(coded)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+        model.forget()  # the worker lives on and serves other stages
 
     return run
 

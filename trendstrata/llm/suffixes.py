@@ -31,9 +31,9 @@ from trendstrata.llm.common import mixed, shuffle_parts, slices, stored, table,
 LENGTH = 200  # bytes that make a repeat
 GRAM = 32  # bytes of a gram
 RUN = 1 << 15  # windows of one run at most; longer ones are cut
-SLICE = 1 << 22  # bytes handled at once
+SLICE = 1 << 20  # bytes handled at once; hashing holds some ten times 8 bytes for each
 SHARD = 1 << 18  # bytes of a shard above which it is cut into parts
-ARRAY = 1 << 21  # bytes of one suffix array, about; it serves several small shards
+ARRAY = 1 << 20  # bytes of one suffix array, about; it serves several small shards
 SAMPLED = 32  # one of so many documents shows which shards are large (for balance only)
 CROWD = 512  # runs of a large shard that go to one task
 END = 0xFF  # between stretches; no UTF-8 byte
