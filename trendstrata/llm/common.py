@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Python workers get 1024 rows at a time where the session still has Spark's default of 10,000.
+
+    Rows of these operators hold whole texts; ten thousand of them, on both
+    sides of the pipe and for every core, are most of an executor's spare memory.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1024")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 

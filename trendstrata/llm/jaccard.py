@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendstrata.llm.common import mixed, shuffle_parts, slices, stored, table, text_sizes
+from trendstrata.llm.common import mixed, shuffle_parts, slices, small_batches, stored, table, text_sizes
 from trendstrata.llm.graph import components
 
 WORDS = 5  # of a shingle
@@ -359,6 +359,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     A text without words (also NULL or empty) is alone in its class.
     Repeated rows are copies.  ``did, h`` identify id and text.
     """
+    small_batches(docs.sparkSession)
     unknown = F.col("doc_id").isNull()
     keys = {"did": F.coalesce("doc_id", F.lit(0)), "h": F.xxhash64(unknown, F.coalesce("text", F.lit("")))}
     texts = docs.select("doc_id", "text").withColumns(keys)

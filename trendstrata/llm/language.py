@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendstrata.llm.common import slices, table, text_sizes
+from trendstrata.llm.common import slices, small_batches, table, text_sizes
 
 UNKNOWN = "und"
 BUCKETS = 256  # passages per language
@@ -132,6 +132,7 @@ def predict(docs: DataFrame, content: Mapping[str, bytes]) -> DataFrame:
     without languages gives ``und`` with score 0, rejected.  Columns of the
     three names in ``docs`` are replaced.
     """
+    small_batches(docs.sparkSession)
     rows = docs.drop("lang_pred", "score", "rejected")
     shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted(content.items())))
     fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema.fields]

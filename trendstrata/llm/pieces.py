@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendstrata.llm.common import slices, table, text_sizes
+from trendstrata.llm.common import slices, small_batches, table, text_sizes
 
 SPACE = "▁"  # fixed value of the format
 UNKNOWN_PENALTY = 10.0  # fixed value: what an unknown character costs below the worst piece
@@ -260,6 +260,7 @@ def _decoder(path: str):
 
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     """``doc_id, ids`` of every whole text; a NULL or empty text has no ids.  No shuffle."""
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(_encoder(model), "doc_id long, ids array<int>")
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendstrata.llm.common import mixed, shuffle_parts, slices, stored, table, text_bytes, text_sizes
+from trendstrata.llm.common import mixed, shuffle_parts, slices, small_batches, stored, table, text_bytes, text_sizes
 
 LENGTH = 200  # bytes that make a repeat
 GRAM = 32  # bytes of a gram
@@ -326,6 +326,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     Repeated rows (same id and text) are places of their own.
     """
+    small_batches(docs.sparkSession)
     texts = keyed(docs.select("doc_id", "text")).select("did", "h", "text")
     found = texts.mapInArrow(_runs, RUNS)
     sample = texts.filter(F.pmod(F.xxhash64("did", F.lit(7)), F.lit(SAMPLED)) == 0).mapInArrow(_runs, RUNS)

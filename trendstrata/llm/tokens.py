@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendstrata.llm.common import shuffle_parts, stored, table
+from trendstrata.llm.common import shuffle_parts, small_batches, stored, table
 from trendstrata.session import fresh_folder
 
 MAGIC = b"BITPACK1"
@@ -289,6 +289,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     table writes no file.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = fresh_folder(spark, "ids")
     rows = docs.select("doc_id", "text").withColumns(
         {"_tie": F.xxhash64("text"), "_row": F.monotonically_increasing_id()}
