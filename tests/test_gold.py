@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from trendstrata.operators import ranking
 from trendstrata.operators.categories import category_lookup, name_categories
 from trendstrata.operators.metrics import category_analytics, channel_analytics, rank_channels, trending_analytics
 from trendstrata.operators.ranking import rank_within
@@ -130,9 +129,8 @@ def test_rank_of_one_large_group_over_many_tasks(spark):
     ranked.unpersist()
 
 
-def test_rank_without_broadcast_and_without_rows(spark, monkeypatch):
+def test_rank_with_and_without_rows(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
-    monkeypatch.setattr(ranking, "MAX_OFFSETS", 0)
     ranked = rank_within(df, ["g"], [F.desc("v")], "r")
     assert ranked.filter(F.col("r") != F.floor((F.lit(99) - F.col("v")) / 3) + 1).isEmpty()
     assert rank_within(df.limit(0), ["g"], [F.desc("v")], "r").count() == 0

@@ -157,11 +157,6 @@ def test_gate(spark):
     assert quality.gate(good.limit(0), lambda: "no records pass") == "no records pass"
 
 
-def test_sample_limit(spark):
-    capped = quality.run_checks(spark, {STATISTICS: lambda: statistics(spark)}, now=F.lit(NOW), sample_limit=5)
-    assert {r["check"] for r in quality.alerts(capped).collect()} == {"row_count"}
-
-
 def test_silver_warnings(spark):
     got = quality.silver_warnings(statistics(spark, untitled=3, views=[-1, None])).first().asDict()
     assert got == {"null_video_id": 0, "null_title": 3, "null_channel_title": 0, "null_views": 1, "negative_views": 1}

@@ -166,7 +166,6 @@ def run_checks(
     tables: Mapping[str, Callable[[], DataFrame]],
     settings: Settings | None = None,
     now: Column | None = None,
-    sample_limit: int | None = None,
 ) -> DataFrame:
     """Check each table now; one that cannot be read gives a failed record.
 
@@ -176,7 +175,7 @@ def run_checks(
     results = []
     for name, open_table in tables.items():
         try:
-            records = check_table(dq_input(open_table(), sample_limit), name, settings, now).collect()
+            records = check_table(dq_input(open_table()), name, settings, now).collect()
         except SPARK_ERRORS as error:
             records = unreadable(spark, name, reason(error)).collect()
         results.extend(records)

@@ -8,10 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendstrata.session import broadcast_if_small, materialise
-
-# Per-partition counters beyond this number are joined by shuffle.
-MAX_OFFSETS = 1_000_000
+from trendstrata.session import materialise
 
 
 def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
@@ -47,5 +44,5 @@ def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column], n
         [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)],
         F.col("_part") == F.col("_p"),
     )
-    rank = (F.col("_place") + F.col("_base")).cast("int").alias(name)
-    return placed.join(broadcast_if_small(offsets, MAX_OFFSETS), match).select(*df.columns, rank)
+    rank = (F.col("_place") + F.col("_base")).cast("long").alias(name)
+    return placed.join(offsets, match).select(*df.columns, rank)

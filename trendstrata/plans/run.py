@@ -114,13 +114,13 @@ class Run:
         finally:
             docs.unpersist()
 
-    def checks(self, now: Column | None = None, sample_limit: int | None = None) -> DataFrame:
+    def checks(self, now: Column | None = None) -> DataFrame:
         """Check records of both silver tables; failed ones are kept as alerts."""
         openers = {
             table: lambda table=table: read_table(self.spark, table, self.settings.silver_db)
             for table in (self.settings.statistics_table, self.settings.reference_table)
         }
-        results = run_checks(self.spark, openers, self.settings, now, sample_limit)
+        results = run_checks(self.spark, openers, self.settings, now)
         self._alert(alerts(results))
         return results
 

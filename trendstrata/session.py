@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 # The JVM does not compile methods of more than 8000 bytes.  Beyond that, wide
@@ -37,11 +36,13 @@ def local_session(cores: int | str = "*", app: str = "trendstrata", memory: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Where the cluster names none (tests, a laptop) one temporary folder is made
+    In local mode without it (tests, a laptop) one temporary folder is made
     and registered as the checkpoint folder of the context.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.getCheckpointDir() and context.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return (named or context.getCheckpointDir()).rstrip("/")
@@ -56,12 +57,3 @@ def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it was counted to hold at most ``max_rows`` rows.
-
-    Beyond that the side is left alone and Spark shuffles the join, where
-    adaptive execution splits skewed partitions.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -17,6 +17,6 @@ def read_table(spark: SparkSession, name: str, database: str | None = None) -> D
     return spark.table(_qualified(database, name))
 
 
-def dq_input(df: DataFrame, sample_limit: int | None = None) -> DataFrame:
-    """What the checks look at: the whole table unless a cap is asked for."""
-    return df if sample_limit is None else df.limit(sample_limit)
+def dq_input(df: DataFrame) -> DataFrame:
+    """What the checks look at: always the whole table."""
+    return df
