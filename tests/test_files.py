@@ -75,7 +75,7 @@ def test_nothing_to_read(spark, tmp_path):
         docs = read_category_json(spark, str(tmp_path / place))
         assert silver_reference(docs).count() == 0
         assert empty_documents(docs).count() == 0
-    evolved = read_category_json(spark, str(tmp_path / "absent"), evolve=True)
+    evolved = read_category_json(spark, str(tmp_path / "absent"))
     assert flatten_categories(evolved).count() == 0
 
 
@@ -163,9 +163,9 @@ def test_evolution(spark, tmp_path, rows):
     land(tmp_path / "region=us/a.json", {"items": [item("1", snippet={"title": "t", "color": "red"}, rank=5)]})
     land(tmp_path / "region=gb/b.json", {"items": [item("2")]})
     land(tmp_path / "region=fr/c.json", {"kind": "whole"})
-    plain = reference_rows(read_category_json(spark, str(tmp_path)))
+    plain = reference_rows(read_category_json(spark, str(tmp_path), evolve=False))
     assert "rank" not in plain.columns
-    evolved = reference_rows(read_category_json(spark, str(tmp_path), evolve=True))
+    evolved = reference_rows(read_category_json(spark, str(tmp_path)))
     assert rows(evolved, "region", "id", "rank", "snippet_color", "snippet_title") == [
         ("fr", None, None, None, None), ("gb", "2", None, None, "t"), ("us", "1", 5, "red", "t"),
     ]

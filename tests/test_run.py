@@ -1,6 +1,7 @@
 """Whole runs over temporary folders, in batch and as files arrive."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,7 +85,31 @@ def test_statistics_accounts(spark, run):
         "rows": 26, "rows_read": 28, "rows_corrupt": 2, "rows_clean": 26, "rows_removed": 2,
     }
     strict = run.statistics(drop_corrupt=True)
-    assert (strict["rows_read"], strict["rows_corrupt"], strict["rows"]) == (26, 0, 24)
+    assert (strict["rows_read"], strict["rows_corrupt"], strict["rows"]) == (28, 2, 24)
+    rejects = spark.read.parquet(f"{run.places.silver}/rejects")
+    assert sorted(map(tuple, rejects.select("region", "_corrupt_record").collect())) == [
+        ("gb", "v1,24.01.01,short"), ("us", "v1,24.01.01,short"),
+    ]
+
+
+def test_a_failed_silver_stage_is_noted(spark, run):
+    run.prepare()
+    with pytest.raises(Exception, match="FAILED_READ_FILE|encoding|charset|UNSUPPORTED|INVALID"):
+        run.statistics(encoding="no-such-charset")
+    ledger = spark.read.parquet(run.places.ledger)
+    assert ledger.filter("stage = 'silver_statistics' AND error IS NOT NULL").count() == 1
+    assert [r["check"] for r in spark.read.parquet(run.places.alerts).collect()] == ["silver_statistics"]
+
+
+def test_a_region_that_left_the_feed_is_gone(spark, run, tmp_path):
+    run.everything()
+    run.places = replace(run.places, raw_statistics=str(tmp_path / "raw/region=us"))
+    run.statistics()
+    run.gold()
+    names = [f"{run.settings.silver_db}.clean_statistics"]
+    names += [f"{run.settings.gold_db}.{t}" for t in ("trending_analytics", "channel_analytics", "category_analytics")]
+    for name in names:
+        assert [r[0] for r in spark.table(name).select("region").distinct().collect()] == ["us"]
 
 
 def test_gate_stops_gold(spark, run):

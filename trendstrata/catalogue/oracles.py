@@ -216,6 +216,26 @@ ORACLES["reference_round_trip"] = f"{_TEXT} SELECT * EXCLUDE (_source_file) FROM
 ORACLES["reference_evolution"] = """
 SELECT CAST(turn AS varchar) AS id, role AS kind, text AS snippet_title,
   CASE WHEN turn = 0 THEN conv_id END AS snippet_thread FROM conversations"""
+ORACLES["json_many_documents"] = """
+SELECT lang AS region, CAST(doc_id AS varchar) AS id, text AS snippet_title FROM documents"""
+_KEY = "'raw/' || lang || '_category_id_' || doc_id || '.json' AS _source_file"
+ORACLES["json_trailing_content"] = f"""
+SELECT {_KEY}, CASE WHEN doc_id % 5 > 2 THEN source END AS source,
+  CASE WHEN doc_id % 5 < 3 THEN 'not a readable document' END AS error
+FROM documents, range(2) AS copies(n) WHERE n = 0 OR doc_id % 5 = 3"""
+ORACLES["odd_items"] = f"""
+SELECT {_KEY}, CASE WHEN doc_id % 3 = 0 THEN source END AS kind,
+  CASE WHEN doc_id % 3 > 0 THEN CAST(doc_id AS varchar) END AS id,
+  CASE WHEN doc_id % 3 > 0 THEN CAST(n_chars AS bigint) END AS size,
+  CASE WHEN doc_id % 3 = 0 THEN lang END AS items_lang,
+  CASE WHEN doc_id % 3 > 0 THEN text END AS snippet_title,
+  CASE WHEN doc_id % 3 > 0 AND doc_id % 2 = 1 THEN true END AS snippet_assignable FROM documents"""
+ORACLES["empty_json_documents"] = f"""
+SELECT {_KEY}, CASE WHEN doc_id % 4 = 2 THEN 'not a readable document'
+  ELSE 'no category rows in the document' END AS error FROM documents WHERE doc_id % 4 < 3"""
+ORACLES["relanded_reference"] = """
+SELECT 'r' || c_nationkey AS region, CAST(c_nationkey AS varchar) AS id, 'new ' || count(*) AS snippet_title
+FROM customer GROUP BY c_nationkey"""
 ORACLES["stream_reference"] = "SELECT DISTINCT lang AS region, true AS same FROM documents"
 
 # --- names and gold ------------------------------------------------------------

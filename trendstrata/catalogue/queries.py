@@ -45,7 +45,7 @@ from trendstrata.session import fresh_folder
 from trendstrata.sinks.landing import land_raw, with_envelope
 from trendstrata.sinks.ledger import append_alerts, append_ledger, ledger_per_file
 from trendstrata.sinks.tables import write_table
-from trendstrata.sources.category_json import read_category_json
+from trendstrata.sources.category_json import parse_documents, read_category_json
 from trendstrata.sources.statistics_csv import CSV_FORMAT, read_raw_statistics, split_rejects
 from trendstrata.sources.tables import read_table
 from trendstrata.streaming import drain_reference
@@ -266,7 +266,7 @@ def reference_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents landed as JSON in region folders and read back as categories."""
     path = fresh_folder(spark, "json")
     land_raw(_documents(spark, sf_dir).drop("_source_file", "_document"), path, "test tables")
-    rows = reference_rows(read_category_json(spark, path, multi_line=False))
+    rows = reference_rows(read_category_json(spark, path))
     return rows.drop("_source_file", "_modified_at", "_ingestion_timestamp")
 
 
@@ -284,10 +284,77 @@ def reference_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.col("turn") == 0
     for part, shape in ((turns.filter(~first), plain), (turns.filter(first), extra)):
         part.select("region", F.array(shape).alias("items")).write.mode("append").partitionBy("region").json(path)
-    rows = flatten_categories(read_category_json(spark, path, multi_line=False, evolve=True))
+    rows = flatten_categories(read_category_json(spark, path))
     return rows.select("id", "kind", "snippet_title", "snippet_thread")
 
 
+@query
+def json_many_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of many documents, one per line: the default reader gives all of them."""
+    path = fresh_folder(spark, "lines")
+    docs = views.table(spark, sf_dir, "documents")
+    item = F.struct(F.col("doc_id").cast("string").alias("id"), F.struct(F.col("text").alias("title")).alias("snippet"))
+    landed = docs.select(F.col("lang").alias("region"), F.array(item).alias("items"))
+    landed.write.partitionBy("region").option("maxRecordsPerFile", 1000).json(path)
+    return reference_rows(read_category_json(spark, path)).select("region", "id", "snippet_title")
+
+
+def _texts(spark: SparkSession, sf_dir: str, value: Column) -> DataFrame:
+    """One JSON text per document, as if read from a file named by its id."""
+    docs = views.table(spark, sf_dir, "documents")
+    key = F.concat(F.lit("raw/"), "lang", F.lit("_category_id_"), "doc_id", F.lit(".json"))
+    return docs.select(value.alias("value"), key.alias("_source_file"), F.lit(None).cast("timestamp").alias("_modified_at"))
+
+
+@query
+def json_trailing_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text after a document makes the file a reject; a second document does not."""
+    one = F.to_json(F.struct(F.array(F.struct("source")).alias("items")))
+    kind = F.col("doc_id") % 5
+    value = F.when(kind == 0, F.concat(one, F.lit(" "), "lang")).when(kind == 1, F.concat(one, F.lit("]")))
+    value = value.when(kind == 2, F.concat(one, F.lit("}"))).when(kind == 3, F.concat(one, F.lit("\n"), one)).otherwise(one)
+    docs = parse_documents(_texts(spark, sf_dir, value))
+    good = flatten_categories(docs).select("_source_file", "source", F.lit(None).cast("string").alias("error"))
+    bad = empty_documents(docs).select("_source_file", F.lit(None).cast("string").alias("source"), "error")
+    return good.unionByName(bad)
+
+
+@query
+def odd_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd leaves are NULL, an object in place of the list leaves a whole document, undeclared fields stay."""
+    flag = F.when(F.col("doc_id") % 2 == 0, "neither").otherwise("true")
+    item = F.struct(
+        F.col("doc_id").alias("id"), F.col("n_chars").alias("size"),
+        F.struct(F.col("text").alias("title"), flag.alias("assignable")).alias("snippet"),
+    )
+    listed = F.to_json(F.struct(F.array(item).alias("items")))
+    whole = F.to_json(F.struct(F.col("source").alias("kind"), F.struct("lang").alias("items")))
+    value = F.when(F.col("doc_id") % 3 == 0, whole).otherwise(listed)
+    rows = flatten_categories(parse_documents(_texts(spark, sf_dir, value)))
+    return rows.select("_source_file", "kind", "id", "size", "items_lang", "snippet_title", "snippet_assignable")
+
+
+@query
+def empty_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without any field give no rows and are named."""
+    kind = F.col("doc_id") % 4
+    value = F.when(kind == 0, "{}").when(kind == 1, '{"items": [{}]}').when(kind == 2, "").otherwise('{"kind": "k"}')
+    return empty_documents(parse_documents(_texts(spark, sf_dir, value)))
+
+
+@query
+def relanded_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings on one day: the later one counts, whatever its files are called."""
+    path = fresh_folder(spark, "relanded")
+    counts = views.table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    for label, at in (("old", "2024-01-30 10:00:00"), ("new", "2024-01-30 10:05:00")):
+        title = F.struct(F.concat(F.lit(f"{label} "), "n").alias("title"))
+        item = F.struct(F.col("c_nationkey").cast("string").alias("id"), title.alias("snippet"))
+        docs = counts.select(F.concat(F.lit("r"), "c_nationkey").alias("region"), F.array(item).alias("items"))
+        land_raw(docs, path, "test tables", F.lit(at).cast("timestamp"), keys=["region", "date"])
+    return silver_reference(read_category_json(spark, path)).select("region", "id", "snippet_title")
+
+
 @query
 def stream_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draining the landed files in small batches gives the batch result."""
@@ -297,9 +364,9 @@ def stream_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "streamed_" + path.rsplit("-", 1)[1]
     drain_reference(
         spark, landed, name, path, fresh_folder(spark, "progress"), fresh_folder(spark, "stream-rejects"),
-        order="key", multi_line=False, max_files_per_trigger=3,
+        order="key", max_files_per_trigger=3,
     )
-    batch = silver_reference(read_category_json(spark, landed, multi_line=False))
+    batch = silver_reference(read_category_json(spark, landed))
 
     def digest(df: DataFrame, label: str) -> DataFrame:
         row = F.xxhash64("id", "etag", "snippet_title", "_source_file").cast("decimal(20,0)")

@@ -11,11 +11,12 @@ from trendstrata.functions.dates import (
 )
 from trendstrata.functions.keys import decode_key, decode_path, region_from_key, region_from_path
 from trendstrata.functions.nested import flatten_struct
-from trendstrata.functions.numbers import as_exact, per_hundred, ratio_half_up
+from trendstrata.functions.numbers import as_exact, exact_sum, per_hundred, ratio_half_up
 from trendstrata.functions.text import strip, to_boolean, to_long
 
 __all__ = [
     "as_exact",
+    "exact_sum",
     "decode_key",
     "decode_path",
     "flatten_struct",

@@ -21,6 +21,19 @@ def as_exact(ratio: Column) -> Column:
     return ratio.cast(EXACT_RATIO)
 
 
+def exact_sum(ratio: Column) -> Column:
+    """Sum of four-decimal ratios, exact whatever the row order.
+
+    Ratios below 10,000 are summed as whole ten-thousandths in 64 bits, which
+    hold 9e10 of them; only larger ones need decimals, which cost an object per row.
+    """
+    small = F.sum(F.when(F.abs(ratio) < 10_000, F.round(ratio * 10_000).cast("long")))
+    large = F.sum(F.when(F.abs(ratio) >= 10_000, as_exact(ratio)))
+    zero = F.lit(0).cast("decimal(20,0)")
+    units = F.coalesce(small.cast("decimal(20,0)"), zero) * F.lit("0.0001").cast("decimal(5,4)")
+    return units + F.coalesce(large, zero)
+
+
 def ratio_half_up(numerator: Column, denominator: Column, scale: int) -> Column:
     """``numerator / denominator`` rounded half-up (away from zero), exactly.
 

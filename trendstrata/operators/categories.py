@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,16 +38,26 @@ def _whole_document(docs: DataFrame, item: T.StructType) -> Column:
     """The document itself in the shape of an item."""
     fields = [
         _shaped(F.col(f"`{f.name}`"), docs.schema[f.name].dataType, f.dataType)
-        if f.name in docs.columns
+        if f.name in docs.columns and f.name != "items"
         else F.lit(None).cast(f.dataType)
         for f in item.fields
     ]
     return F.struct(*[c.alias(f.name) for c, f in zip(fields, item.fields)])
 
 
+def _has_field(value: Column, kind: T.DataType) -> Column:
+    """Whether anything inside is not NULL."""
+    if not isinstance(kind, T.StructType):
+        return value.isNotNull()
+    return reduce(or_, [_has_field(value[f.name], f.dataType) for f in kind.fields], F.lit(False))
+
+
 def gives_rows(docs: DataFrame) -> Column:
-    """Readable, and either without a list of items or with items in it."""
-    return _is_readable(docs) & F.coalesce(F.size("items") > 0, F.lit(True))
+    """Readable, and some item, or without a list of them the document itself, has a field."""
+    item = docs.schema["items"].dataType.elementType
+    listed = F.exists("items", lambda entry: _has_field(entry, item))
+    whole = _has_field(_whole_document(docs, item), item)
+    return _is_readable(docs) & F.when(F.col("items").isNull(), whole).otherwise(listed)
 
 
 def flatten_categories(docs: DataFrame) -> DataFrame:
@@ -58,7 +71,7 @@ def flatten_categories(docs: DataFrame) -> DataFrame:
     lineage = [c for c in _LINEAGE if c in docs.columns]
     entries = F.coalesce(F.col("items"), F.array(_whole_document(docs, item)))
     exploded = (
-        docs.filter(_is_readable(docs))
+        docs.filter(gives_rows(docs))
         .withColumn("_entries", entries)
         .withColumn("_has_id", F.exists("_entries", lambda entry: entry["id"].isNotNull()))
         .select(*lineage, "_has_id", F.posexplode("_entries").alias("_position", "_item"))
@@ -73,7 +86,7 @@ def flatten_categories(docs: DataFrame) -> DataFrame:
 def empty_documents(docs: DataFrame) -> DataFrame:
     """Documents that give no rows, with the reason."""
     error = F.when(~_is_readable(docs), F.lit("not a readable document")).when(
-        F.size("items") == 0, F.lit("no category rows in the document")
+        ~gives_rows(docs), F.lit("no category rows in the document")
     )
     return docs.select("_source_file", error.alias("error")).filter(F.col("error").isNotNull())
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendstrata.functions import as_exact, ratio_half_up
+from trendstrata.functions import exact_sum, ratio_half_up
 from trendstrata.operators.categories import name_categories
 from trendstrata.operators.ranking import rank_within
 
@@ -27,10 +27,11 @@ def _totals(*names: str) -> list[Column]:
 
 def _mean_ratio(name: str) -> Column:
     """Mean of row ratios, exact and independent of row order."""
-    return ratio_half_up(F.sum(as_exact(F.col(name))), F.count(name), 4)
+    return ratio_half_up(exact_sum(F.col(name)), F.count(name), 4)
 
 
 def _mean_views() -> Column:
+    # The sum is the one of ``total_views``; Spark computes it once.
     return ratio_half_up(F.sum("views").cast("decimal(20,0)"), F.count("views"), 2)
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,11 +18,10 @@ from trendstrata.operators.quality import QualityGateError, alerts, failures, ga
 from trendstrata.plans.gold import gold_tables
 from trendstrata.plans.reference import reference_rows, silver_reference
 from trendstrata.plans.silver import settle, stage_measures, tallied_statistics
-from trendstrata.schemas import CORRUPT
 from trendstrata.sinks.ledger import append_alerts, append_ledger, ledger_per_file, ledger_row
 from trendstrata.sinks.tables import write_table
 from trendstrata.sources.category_json import read_category_json
-from trendstrata.sources.statistics_csv import read_raw_statistics
+from trendstrata.sources.statistics_csv import read_raw_statistics, split_rejects
 from trendstrata.sources.tables import read_table, table_exists
 
 
@@ -71,48 +71,66 @@ class Run:
         self._alert(failures(audit.filter("status = 'failed'"), "landing", F.col("region"), missing))
         return audit
 
-    def statistics(self, encoding: str = "ISO-8859-1", drop_corrupt: bool = False) -> dict[str, int]:
+    @contextmanager
+    def _watched(self, stage: str, source: str, path: str) -> Iterator[None]:
+        """A failure is noted and alerted before it goes on."""
+        try:
+            yield
+        except Exception as error:
+            self._note(stage, source=source, path=path, error=reason(error))
+            self._alert_one(stage, source, reason(error))
+            raise
+
+    def statistics(
+        self, encoding: str = "ISO-8859-1", drop_corrupt: bool = False, multi_line: bool = True
+    ) -> dict[str, int]:
         """Raw files to the silver statistics table in one pass over the files.
 
-        Corrupt rows are counted and kept, unless ``drop_corrupt``.  A rerun
-        gives the same table, since partitions are replaced.  An empty feed
-        writes nothing.
+        Corrupt rows are counted and kept, unless ``drop_corrupt`` leaves them
+        to ``rejects`` beside the table, with their text.  A rerun gives the
+        same table, since all of it is replaced: regions that left the feed
+        go.  An empty feed writes nothing.
         """
-        raw = read_raw_statistics(self.spark, self.places.raw_statistics, encoding)
+        name, path = self.settings.statistics_table, f"{self.places.silver}/statistics"
+        with self._watched("silver_statistics", name, path):
+            return self._statistics(name, path, encoding, drop_corrupt, multi_line)
+
+    def _statistics(self, name: str, path: str, encoding: str, drop_corrupt: bool, multi_line: bool) -> dict[str, int]:
+        raw = read_raw_statistics(self.spark, self.places.raw_statistics, encoding, multi_line)
         if raw.isEmpty():
             self._note("silver_statistics", rows_written=0)
             return {"rows": 0}
         if drop_corrupt:
-            raw = raw.filter(F.col(CORRUPT).isNull())
-        name, path = self.settings.statistics_table, f"{self.places.silver}/statistics"
+            rejects = split_rejects(raw)[1].withColumn("run_id", F.lit(self.run_id))
+            write_table(rejects, path=f"{self.places.silver}/rejects", keys=["run_id"])
         accounted = Observation()
-        tallied = tallied_statistics(raw, self.settings.job_name).observe(accounted, *stage_measures())
+        tallied = tallied_statistics(raw, self.settings.job_name, drop_corrupt=drop_corrupt)
+        tallied = tallied.observe(accounted, *stage_measures())
         # The deduplication leaves large tasks that hold every region, so each
         # writes few, large files; balancing would shuffle the widest table
         # once more.
-        counts = write_table(settle(tallied), self._silver(name), path, balance=False)
+        counts = write_table(settle(tallied), self._silver(name), path, mode="replace", balance=False)
         counts |= accounted.get
         self._note("silver_statistics", source=name, rows_written=counts["rows"], path=path)
         return counts
 
-    def reference(
-        self, at: Column | None = None, multi_line: bool = True, evolve: bool = False
-    ) -> dict[str, int]:
-        """Category documents to the silver reference table; bad files are noted and passed over."""
-        docs = read_category_json(self.spark, self.places.raw_reference, multi_line, evolve=evolve).persist()
-        try:
+    def reference(self, at: Column | None = None, multi_line: bool = True) -> dict[str, int]:
+        """Category documents to the silver reference table; bad files are noted and passed over.
+
+        The documents are not kept between the passes over them.
+        """
+        name, path = self.settings.reference_table, f"{self.places.silver}/reference_data"
+        with self._watched("silver_reference", name, path):
+            docs = read_category_json(self.spark, self.places.raw_reference, multi_line)
             if docs.isEmpty():
                 self._note("silver_reference", rows_written=0)
                 return {"rows": 0}
-            name, path = self.settings.reference_table, f"{self.places.silver}/reference_data"
             counts = write_table(silver_reference(docs, at=at), self._silver(name), path)
             rejects = empty_documents(docs)
             entries = ledger_per_file(reference_rows(docs), rejects, self.run_id, "silver_reference", path)
             append_ledger(entries, self.places.ledger)
             self._alert(failures(rejects, "read_file", F.col("_source_file"), F.col("error")))
             return counts
-        finally:
-            docs.unpersist()
 
     def checks(self, now: Column | None = None) -> DataFrame:
         """Check records of both silver tables; failed ones are kept as alerts."""
@@ -152,7 +170,7 @@ class Run:
         for table, build in gold_tables(stats, self._reference()).items():
             path = f"{self.places.gold}/{table}"
             try:
-                counts = write_table(build(), f"{self.settings.gold_db}.{table}", path)
+                counts = write_table(build(), f"{self.settings.gold_db}.{table}", path, mode="replace")
             except Exception as error:
                 self._note("gold", source=table, path=path, error=reason(error))
                 self._alert_one("gold", table, reason(error))

@@ -64,18 +64,20 @@ def tallied_statistics(
     job_name: str = "bronze_to_silver",
     order: Sequence[str] = CONTENT_ORDER,
     processed_at: Column | None = None,
+    drop_corrupt: bool = False,
 ) -> DataFrame:
     """As ``silver_statistics``, with the bookkeeping of every raw row.
 
     ``_copies`` and ``_corrupt_rows`` tell how many raw rows each result row
     stands for.  Unusable rows share one key per task and arrive as a single
-    row with ``_valid`` false.  Aggregating ``stage_measures`` over this
+    row with ``_valid`` false; with ``drop_corrupt`` corrupt rows are unusable too.  Aggregating ``stage_measures`` over this
     accounts for all rows read, in the same pass.
     """
     carry = [c for c in order if c not in RAW_COLUMNS]
     broken = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
     marked = raw.withColumn("_is_corrupt", broken)
-    typed = typed_statistics(marked, [*carry, "_is_corrupt"]).withColumn("_valid", is_valid())
+    usable = is_valid() & ~F.col("_is_corrupt") if drop_corrupt else is_valid()
+    typed = typed_statistics(marked, [*carry, "_is_corrupt"]).withColumn("_valid", usable)
     keyed = typed.withColumns({key: F.when(F.col("_valid"), F.col(key)) for key in SILVER_KEY})
     tallies = {"_copies": F.count(F.lit(1)), "_corrupt_rows": F.count_if("_is_corrupt")}
     kept = dedup_tallied(keyed, [*SILVER_KEY, "_valid"], order, tallies).drop("_is_corrupt")

@@ -47,11 +47,19 @@ def land_raw(
     at: Column | None = None,
     keys: Sequence[str] = LANDING_KEYS,
     counted_as: str | None = "video_count",
+    replace: bool = False,
+    documents_per_file: int = 1000,
 ) -> int:
-    """Append the documents as JSON lines below ``region=/date=/hour=``; returns how many."""
+    """Store the documents as JSON lines below ``region=/date=/hour=``; returns how many.
+
+    ``replace`` empties the folders that get documents first, so that landing
+    again on one day leaves the later landing alone.  Readers take a file as a
+    whole, so no file holds more than ``documents_per_file``; there are more files then.
+    """
     landed = with_envelope(docs, source, at, counted_as)
     unused = [c for c in ("date", "hour") if c not in keys]
     counted = Observation()
     rows = landed.drop(*unused).observe(counted, F.count(F.lit(1)).alias("documents"))
-    rows.write.mode("append").partitionBy(*keys).json(path)
+    writer = rows.write.mode("overwrite" if replace else "append").partitionBy(*keys)
+    writer.options(partitionOverwriteMode="dynamic", maxRecordsPerFile=documents_per_file).json(path)
     return counted.get["documents"]

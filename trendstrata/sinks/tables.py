@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-MODES = ("overwrite_partitions", "append")
+MODES = ("overwrite_partitions", "replace", "append")
 
 
 def _add_new_columns(spark: SparkSession, name: str, df: DataFrame, keys: Sequence[str]) -> None:
@@ -42,7 +42,8 @@ def write_table(
 ) -> dict[str, int]:
     """Write ``df`` once and return what was counted on the way, ``rows`` at least.
 
-    ``overwrite_partitions`` replaces only the partitions present in ``df``.
+    ``overwrite_partitions`` replaces only the partitions present in ``df``,
+    ``replace`` the whole table.
     With a ``name`` the catalog table is created or extended by new columns;
     with a ``path`` alone the files are the table.
 
@@ -69,13 +70,14 @@ def _write(
     spark: SparkSession, df: DataFrame, name: str | None, path: str | None, keys: Sequence[str], mode: str
 ) -> None:
     save_mode = "append" if mode == "append" else "overwrite"
+    partitions = "static" if mode == "replace" else "dynamic"
     if name is not None and spark.catalog.tableExists(name):
         _add_new_columns(spark, name, df, keys)
         ordered = _in_table_order(spark, name, df)
-        ordered.write.mode(save_mode).option("partitionOverwriteMode", "dynamic").insertInto(name)
+        ordered.write.mode(save_mode).option("partitionOverwriteMode", partitions).insertInto(name)
         return
     writer = df.write.mode(save_mode).partitionBy(*keys).format("parquet").option("compression", "snappy")
-    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = writer.option("partitionOverwriteMode", partitions)
     if name is None:
         writer.save(path)
     elif path is None:

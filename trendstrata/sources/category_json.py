@@ -2,101 +2,185 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendstrata.functions import decode_path
-from trendstrata.schemas import CATEGORY_DOCUMENT, CORRUPT
+from trendstrata.schemas import CATEGORY_ITEM, CORRUPT, ENVELOPE
 from trendstrata.sources.missing import read_or
 
+# What Spark prints for a VARIANT's objects, apart from quoted names.
+_OBJECT = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<")
 
-def _options(multi_line: bool, files: str) -> dict[str, str]:
-    return {
-        "multiLine": str(multi_line).lower(),
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT,
-        "recursiveFileLookup": "true",
-        "pathGlobFilter": files,
-    }
 
+def _options(files: str) -> dict[str, str]:
+    return {"recursiveFileLookup": "true", "pathGlobFilter": files}
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
-
-def with_lineage(docs: DataFrame) -> DataFrame:
-    """File key, arrival time and a document number beside each document."""
-    return (
-        docs.withColumn("_source_file", decode_path(F.col("_metadata.file_path")))
-        .withColumn("_modified_at", F.col("_metadata.file_modification_time"))
-        .withColumn("_document", F.monotonically_increasing_id())
+def _with_lineage(texts: DataFrame) -> DataFrame:
+    return texts.select(
+        "value",
+        decode_path(F.col("_metadata.file_path")).alias("_source_file"),
+        F.col("_metadata.file_modification_time").alias("_modified_at"),
     )
 
 
+# Names that the tables use themselves.
+_TAKEN = frozenset(
+    {"_source_file", "_modified_at", "_document", "_landed_at", "_pipeline_metadata", "_ingestion_timestamp", "region", CORRUPT}
+)
+
+
 def _additive(declared: T.DataType, found: T.DataType) -> T.DataType:
-    """``declared`` plus the fields only ``found`` has; declared types win."""
-    if isinstance(declared, T.ArrayType) and isinstance(found, T.ArrayType):
-        return T.ArrayType(_additive(declared.elementType, found.elementType))
+    """``declared`` plus the fields only ``found`` has; declared types win.
+
+    Of names that differ by letter case alone, one is kept.
+    """
     if isinstance(declared, T.StructType) and isinstance(found, T.StructType):
         known = {f.name: f for f in found.fields}
         kept = [
             T.StructField(f.name, _additive(f.dataType, known[f.name].dataType) if f.name in known else f.dataType)
             for f in declared.fields
         ]
-        return T.StructType(kept + [f for f in found.fields if f.name not in declared.names])
+        seen = {f.name.lower() for f in kept}
+        for field in found.fields:
+            if field.name.lower() not in seen:
+                seen.add(field.name.lower())
+                kept.append(T.StructField(field.name, _additive(T.StructType(), field.dataType) if isinstance(field.dataType, T.StructType) else field.dataType))
+        return T.StructType(kept)
     return declared
 
 
+def _storable(found: T.DataType) -> T.DataType:
+    """A found type as a column type: mixed or always-null fields are text, fractions are doubles."""
+    if isinstance(found, T.StructType):
+        fields = [T.StructField(f.name, _storable(f.dataType)) for f in found.fields]
+        return T.StructType(fields) if fields else T.StringType()
+    if isinstance(found, T.ArrayType):
+        return T.ArrayType(_storable(found.elementType))
+    if isinstance(found, (T.VariantType, T.NullType)):
+        return T.StringType()
+    return T.DoubleType() if isinstance(found, (T.DecimalType, T.FloatType)) else found
+
+
+def _variant(column: str, shape: str, path: str = "$") -> Column:
+    return F.expr(f"try_variant_get({column}, '{path}', '{shape}')")
+
+
+def _one_document(text: Column) -> Column:
+    """The text as a VARIANT if it is one JSON value and nothing else, or NULL.
+
+    The parser stops at the end of a value.  Inside an array and inside an
+    object it goes on, and only nothing at all can follow a value in both.
+    """
+    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"d":'), text, F.lit("}")))
+    return F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.d", "variant"))
+
+
+def _documents(texts: DataFrame) -> DataFrame:
+    """``_entry_list`` (VARIANTs), ``_whole``, envelope, lineage, and the text of what cannot be read.
+
+    A text is one document, a list of documents, or one document per line; a
+    text with anything else in it is a single reject.
+    """
+    marked = texts.withColumn("value", F.regexp_replace("value", r"^\uFEFF", "")).withColumn("_one", _one_document(F.col("value")))
+    lines = F.filter(F.split("value", "[\r\n]+"), lambda line: F.trim(line) != "")
+    by_line = F.when(F.col("_one").isNull(), F.transform(lines, _one_document))
+    listed = F.coalesce(_variant("_one", "array<variant>"), F.when(F.col("_one").isNotNull(), F.array("_one")), by_line)
+    objects = F.forall("_listed", lambda d: F.try_variant_get(d, "$", "map<string,variant>").isNotNull())
+    split = marked.withColumn("_listed", listed).withColumn("_readable", F.coalesce(objects & (F.size("_listed") > 0), F.lit(False)))
+    each = F.when(F.col("_readable"), F.col("_listed")).otherwise(F.array(F.lit(None).cast("variant")))
+    exploded = split.select(
+        "_source_file", "_modified_at",
+        F.when(~F.col("_readable"), F.col("value")).alias(CORRUPT),
+        F.explode(each).alias("_d"),
+    )
+    items = _variant("_d", "array<variant>", "$.items")
+    return exploded.select(
+        "_source_file", "_modified_at", CORRUPT, "_d",
+        F.when(F.col("_d").isNotNull() & items.isNull(), F.array("_d")).alias("_whole"),
+        items.alias("_items"),
+        _variant("_d", ENVELOPE.simpleString(), "$._pipeline_metadata").alias("_pipeline_metadata"),
+    )
+
+
+def _found_fields(documents: DataFrame) -> T.StructType:
+    """Fields of all items and of all documents without a list of them, in one pass."""
+    entries = documents.select(
+        F.explode(F.coalesce("_items", "_whole")).alias("_entry")
+    ).filter(_variant("_entry", "map<string,variant>").isNotNull())
+    ddl = entries.agg(F.expr("schema_of_variant_agg(_entry)").alias("ddl")).first()["ddl"]
+    ddl = _OBJECT.sub(lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], ddl)
+    found = documents.sparkSession.createDataFrame([], f"found {ddl}").schema["found"].dataType
+    found = _storable(found) if isinstance(found, T.StructType) else None
+    fields = found.fields if isinstance(found, T.StructType) else []
+    return T.StructType([f for f in fields if f.name.lower() not in _TAKEN])
+
+
+def parse_documents(texts: DataFrame, evolve: bool = True) -> DataFrame:
+    """Category documents of the texts ``value`` with ``_source_file`` and ``_modified_at``.
+
+    ``items`` holds the items, or the document itself where it has no list of
+    them; it is NULL, and the corrupt column holds the text, where the text is
+    not JSON through and through.  A value that does not fit its field is NULL.
+    ``evolve`` adds the fields found in the texts to the declared ones, at the
+    price of one more pass; without it they are left out.
+    """
+    documents = _documents(texts)
+    item = _additive(CATEGORY_ITEM, _found_fields(documents)) if evolve else CATEGORY_ITEM
+    ddl = _ddl(item).replace("'", "\\'")
+    typed = F.expr(f"transform(coalesce(_items, _whole), entry -> try_variant_get(entry, '$', '{ddl}'))")
+    return documents.select(
+        typed.alias("items"), "_pipeline_metadata", CORRUPT, "_source_file", "_modified_at",
+        F.coalesce(F.col("_pipeline_metadata.ingestion_timestamp"), F.lit("")).alias("_landed_at"),
+    ).withColumn("_document", F.monotonically_increasing_id())
+
+
+def _ddl(found: T.DataType) -> str:
+    if isinstance(found, T.StructType):
+        fields = [f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType)}" for f in found.fields]
+        return f"struct<{', '.join(fields)}>"
+    return f"array<{_ddl(found.elementType)}>" if isinstance(found, T.ArrayType) else found.simpleString()
+
+
 def read_category_json(
     spark: SparkSession,
     path: str | Sequence[str],
     multi_line: bool = True,
     files: str = "*.json",
-    evolve: bool = False,
+    evolve: bool = True,
 ) -> DataFrame:
     """One row per document under ``path``: a folder of any depth, one file, or several.
 
-    ``multi_line`` is for one pretty-printed document per file; without it each
-    line is a document.  ``evolve`` adds fields found in the files to the
-    declared schema at the price of one more pass over them.
+    A file is read as a whole, by one task: it holds one document, however
+    printed, or one per line.  ``multi_line=False`` takes each line for itself,
+    which splits large files of lines.
     """
-    options = _options(multi_line, files)
+    paths = [path] if isinstance(path, str) else list(path)
 
     def load() -> DataFrame:
-        schema: T.StructType = CATEGORY_DOCUMENT
-        if evolve:
-            found = spark.read.options(**options).json(path).schema
-            extra = T.StructType([f for f in found.fields if f.name != CORRUPT])
-            schema = _additive(schema, extra)
-        return with_lineage(spark.read.schema(_with_corrupt(schema)).options(**options).json(path))
+        return _with_lineage(spark.read.options(**_options(files)).text(paths, wholetext=multi_line))
 
     def empty() -> DataFrame:
-        return (
-            spark.createDataFrame([], _with_corrupt(CATEGORY_DOCUMENT))
-            .withColumn("_source_file", F.lit(""))
-            .withColumn("_modified_at", F.lit(None).cast("timestamp"))
-            .withColumn("_document", F.lit(0).cast("long"))
-        )
+        return spark.createDataFrame([], "value string, _source_file string, _modified_at timestamp")
 
-    return read_or(load, empty)
+    return parse_documents(read_or(load, empty), evolve)
 
 
-def stream_category_json(
+def stream_category_texts(
     spark: SparkSession,
     path: str,
     multi_line: bool = True,
     files: str = "*.json",
     max_files_per_trigger: int | None = None,
-    schema: T.StructType = CATEGORY_DOCUMENT,
 ) -> DataFrame:
-    """Newly landed documents as a stream; the file source remembers what it has seen."""
-    reader = spark.readStream.schema(_with_corrupt(schema)).options(**_options(multi_line, files))
+    """Newly landed texts as a stream, for ``parse_documents``; the file source remembers what it has seen."""
+    reader = spark.readStream.options(**_options(files))
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = reader.json(path)
-    return docs.withColumn("_source_file", decode_path(F.col("_metadata.file_path"))).withColumn(
-        "_modified_at", F.col("_metadata.file_modification_time")
-    )
+    return _with_lineage(reader.text(path, wholetext=multi_line))

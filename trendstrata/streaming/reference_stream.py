@@ -6,24 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from trendstrata.functions import region_from_key
 from trendstrata.operators.categories import empty_documents
-from trendstrata.plans.reference import BY_ARRIVAL, BY_KEY, silver_reference
+from trendstrata.plans.reference import BY_ARRIVAL, BY_KEY, folder_of, silver_reference
 from trendstrata.sinks.tables import write_table
-from trendstrata.sources.category_json import stream_category_json
+from trendstrata.sources.category_json import parse_documents, stream_category_texts
 
 ORDERS = {"arrival": BY_ARRIVAL, "key": BY_KEY}
 
 
-def _not_older(rows: DataFrame, table: str) -> DataFrame:
-    """Drop regions for which the table already holds a later key."""
-    rows.sparkSession.catalog.refreshTable(table)
+def _not_older(docs: DataFrame, table: str) -> DataFrame:
+    """Drop documents of regions for which the table already holds a later key.
+
+    In one folder a landed document replaces what was there, whatever its name.
+    """
+    docs.sparkSession.catalog.refreshTable(table)
     held = (
-        rows.sparkSession.table(table)
-        .groupBy(F.col("region").alias("_region"))
+        docs.sparkSession.table(table)
+        .groupBy(F.col("region").alias("_held_region"))
         .agg(F.max("_source_file").alias("_held"))
     )
-    later = (F.col("region") == F.col("_region")) & (F.col("_source_file") < F.col("_held"))
-    return rows.join(held, later, "left_anti")
+    landed_older = folder_of(F.col("_source_file")) < folder_of(F.col("_held"))
+    older = F.when(F.col("_landed_at") == "", F.col("_source_file") < F.col("_held")).otherwise(landed_older)
+    return docs.join(held, (region_from_key(F.col("_source_file")) == F.col("_held_region")) & older, "left_anti")
 
 
 def start_reference_stream(
@@ -49,18 +54,15 @@ def start_reference_stream(
     columns = ORDERS[order]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        docs = batch.withColumn("_document", F.monotonically_increasing_id()).persist()
-        try:
-            rows = silver_reference(docs, columns)
-            if order == "key" and batch.sparkSession.catalog.tableExists(table):
-                rows = _not_older(rows, table)
-            write_table(rows, table, path)
-            rejects = empty_documents(docs).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            write_table(rejects, path=rejects_path, keys=["batch_id"])
-        finally:
-            docs.unpersist()
-
-    docs = stream_category_json(spark, source, multi_line, max_files_per_trigger=max_files_per_trigger)
+        docs = parse_documents(batch)
+        current = docs
+        if order == "key" and batch.sparkSession.catalog.tableExists(table):
+            current = _not_older(docs, table)
+        write_table(silver_reference(current, columns), table, path)
+        rejects = empty_documents(docs).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        write_table(rejects, path=rejects_path, keys=["batch_id"])
+
+    docs = stream_category_texts(spark, source, multi_line, max_files_per_trigger=max_files_per_trigger)
     return (
         docs.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
