@@ -141,6 +141,18 @@ def test_vectors(spark):
         (1, 6, 38 * 65536), (2, 20, 38 * 65536), (3, 27, 38 * 65536)]
 
 
+def test_neighbours_keep_their_recall_with_many_projections(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "cells", lambda rows: 13)  # as for 50 million rows
+    x = np.random.default_rng(3).normal(size=(1500, 64))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest_neighbours(df, df.filter("vec_id % 30 = 0"), 10).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = {q: set(np.argsort(((x - x[q]) ** 2).sum(1))[1:11].tolist()) for q in range(0, 1500, 30)}
+    assert sum(len(found[q] & want[q]) for q in want if q in found) >= 0.9 * 10 * len(want)
+
+
 def test_merkle(spark):
     a = [(k * 1000, f"d{k}") for k in range(300)]
     b = [r for r in a if r[0] != 5000] + [(5500, "more")]

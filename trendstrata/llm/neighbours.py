@@ -11,10 +11,13 @@ A bucket's vectors and the queries that visit it meet in one task, where exact
 distances give the nearest few; the nearest of all tables are merged.  Buckets
 of more than ``SPLIT`` vectors are dealt to several tasks, whole.
 
-``m`` follows the number of rows and ``w`` the spread of a sample, so buckets
-keep their size as the table grows.  In data without structure (near-isotropic
-vectors of 64 dimensions) the nearest vector is hardly nearer than others, and
-0.9 recall takes candidates from more than half of all rows; see the README.
+``w`` follows the spread of a sample.  ``m`` follows the number of rows as far as
+the recall allows: a sample of queries gets its exact nearest in one pass, and
+``m`` is the largest with which these lie in the buckets visited, for
+``WANTED`` of them.  So buckets keep their size as the table grows where the data
+has structure, and grow with it where it has none: in near-isotropic vectors of 64
+dimensions the nearest vector is hardly nearer than others, and 0.9 recall takes
+candidates from more than half of all rows; see the README.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ TABLES = 12
 PROBES = 64
 WIDTH = 2.0  # cell width in units of the sample's spread
 SAMPLE = 4096  # rows that set the spread, those with the smallest hash
+TRIED = 64  # queries that set the number of projections, those with the smallest hash
+WANTED = 0.95  # share of their nearest in visited buckets, above the 0.9 required since it is a sample's
 SPLIT = 8192  # vectors of a bucket in one task
 CHUNK = 2048  # vectors compared at once
 HELD = 50_000  # queries whose nearest a task holds before it emits them
@@ -43,7 +48,7 @@ SEED = 20_240_229
 
 
 def cells(rows: int) -> int:
-    """Projections per table."""
+    """Projections per table, at most."""
     return max(4, round(math.log2(max(rows, 2)) / 2))
 
 
@@ -237,6 +242,63 @@ def spread(vectors: DataFrame) -> float:
     return math.sqrt(total / count) if count and total else 1.0
 
 
+def _exact(shared, k: int):
+    """The nearest of a few queries among a task's rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nearest = _Nearest(k)
+        asked = shared.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for rows, x in matrices(batch):
+                if x.shape[1] not in asked:
+                    continue
+                q_ids, q = asked[x.shape[1]]
+                for i in range(0, len(x), CHUNK):
+                    nearest.add(q_ids, q, ids[rows[i : i + CHUNK]], x[i : i + CHUNK].astype(np.float64))
+        yield nearest.emit()
+
+    return run
+
+
+def _stacked(rows) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and matrix of collected rows by vector length."""
+    found: dict[int, list] = {}
+    for r in rows:
+        found.setdefault(len(r["vec"]), []).append(r)
+    return {n: (np.array([r["vec_id"] for r in own], np.int64), np.array([r["vec"] for r in own], np.float64)) for n, own in found.items()}
+
+
+def recall(near: dict[int, set[int]], asked: dict, data: dict, m: int, width: float) -> float:
+    """Share of the ``near`` ids of each query that have a vector in a bucket the query visits."""
+    hit = 0
+    for dim, (q_ids, q) in asked.items():
+        if dim not in data:
+            continue
+        keys = bucket_keys(data[dim][1], m, width)
+        for one, visited in zip(q_ids.tolist(), probe_keys(q, m, width), strict=True):
+            met = np.any([np.isin(keys[:, t], visited[t]) for t in range(TABLES)], axis=0)
+            hit += len(near.get(one, set()) & set(data[dim][0][met].tolist()))
+    return hit / max(1, sum(map(len, near.values())))
+
+
+def projections_for(data: DataFrame, asked: DataFrame, k: int, most: int, width: float) -> int:
+    """The largest number of projections, up to ``most``, with ``WANTED`` recall for a sample of the queries; 1 if none has."""
+    drawn = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRIED).collect()
+    sample = _stacked({r["vec_id"]: r for r in drawn}.values())
+    shared = data.sparkSession.sparkContext.broadcast(sample)
+    exact = best(data.mapInArrow(_exact(shared, k), "query_id long, vec_id long, score double"), k, ascending=True).collect()
+    near: dict[int, set[int]] = {}
+    for r in exact:
+        near.setdefault(r["query_id"], set()).add(r["vec_id"])
+    wanted = data.sparkSession.createDataFrame([(v,) for v in set().union(*near.values())], "vec_id long")
+    rows = _stacked(data.join(F.broadcast(wanted), "vec_id").select("vec_id", "vec").collect())
+    for m in range(most, 1, -1):
+        if not near or recall(near, sample, rows, m, width) >= WANTED:
+            return m
+    return 1
+
+
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found, by exact Euclidean distance.
 
@@ -249,7 +311,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFr
     kind = element(vectors)
     data, asked = valid(vectors), valid(queries)
     array = "array<float>" if kind == "<f4" else "array<double>"
-    m, width = cells(data.count()), WIDTH * spread(data)
+    width = WIDTH * spread(data)
+    m = projections_for(data, asked, k, cells(data.count()), width)
     schema = f"key long, kind int, id long, vec {array}"
     crowded = (
         data.mapInArrow(_keys(m, width), "key long, n long")
