@@ -153,6 +153,23 @@ def test_neighbours_keep_their_recall_with_many_projections(spark, monkeypatch):
     assert sum(len(found[q] & want[q]) for q in want if q in found) >= 0.9 * 10 * len(want)
 
 
+def test_far_queries_get_all_their_neighbours(spark):
+    x = np.random.default_rng(5).normal(size=(600, 64))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    x[:12] *= np.arange(4, 28, 2)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000 + i, [10.0**i, -(10.0**i)]) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest_neighbours(df, df.filter("vec_id < 12 OR vec_id >= 1000"), 10).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert {q: len(v) for q, v in found.items()} == dict.fromkeys(range(12), 10) | dict.fromkeys(range(1000, 1005), 4)
+    for q in (11, 1004):  # beyond reach of the rest
+        n = 10 if q < 12 else 4
+        near = x if q < 12 else np.array([v for i, v in rows[600:]])
+        away = ((near - near[q % 1000]) ** 2).sum(1)
+        assert [found[q][k] for k in range(1, n + 1)] == (np.argsort(away)[1 : n + 1] + q // 1000 * 1000).tolist()
+
+
 def test_merkle(spark):
     a = [(k * 1000, f"d{k}") for k in range(300)]
     b = [r for r in a if r[0] != 5000] + [(5500, "more")]

@@ -9,7 +9,9 @@ distance, fill the sets.
 
 A bucket's vectors and the queries that visit it meet in one task, where exact
 distances give the nearest few; the nearest of all tables are merged.  Buckets
-of more than ``SPLIT`` vectors are dealt to several tasks, whole.
+of more than ``SPLIT`` vectors are dealt to several tasks, whole.  Queries that
+met fewer than ``k`` vectors, such as those far from the rest, are compared with
+all rows, block against block.
 
 ``w`` follows the spread of a sample.  ``m`` follows the number of rows as far as
 the recall allows: a sample of queries gets its exact nearest in one pass, and
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendstrata.llm.common import mixed, shuffle_parts, table
+from trendstrata.llm.common import mixed, shuffle_parts, stored, table
 from trendstrata.llm.vectors import best, element, matrices, valid
 
 TABLES = 12
@@ -283,7 +285,7 @@ def recall(near: dict[int, set[int]], asked: dict, data: dict, m: int, width: fl
 
 
 def projections_for(data: DataFrame, asked: DataFrame, k: int, most: int, width: float) -> int:
-    """The largest number of projections, up to ``most``, with ``WANTED`` recall for a sample of the queries; 1 if none has."""
+    """The largest number of projections, up to ``most``, with ``WANTED`` recall for a sample of the queries; 0 if none has."""
     drawn = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRIED).collect()
     sample = _stacked({r["vec_id"]: r for r in drawn}.values())
     shared = data.sparkSession.sparkContext.broadcast(sample)
@@ -293,14 +295,38 @@ def projections_for(data: DataFrame, asked: DataFrame, k: int, most: int, width:
         near.setdefault(r["query_id"], set()).add(r["vec_id"])
     wanted = data.sparkSession.createDataFrame([(v,) for v in set().union(*near.values())], "vec_id long")
     rows = _stacked(data.join(F.broadcast(wanted), "vec_id").select("vec_id", "vec").collect())
-    for m in range(most, 1, -1):
+    for m in range(most, 0, -1):
         if not near or recall(near, sample, rows, m, width) >= WANTED:
             return m
-    return 1
+    return 0
+
+
+def _met(stored_rows: DataFrame, visits: DataFrame, k: int) -> DataFrame:
+    """The best of each query among the vectors with its ``key`` and ``part``."""
+    columns = ["key", "part", "kind", "id", "vec"]
+    met = stored_rows.select(*columns).unionByName(visits.select(*columns))
+    met = met.repartition(shuffle_parts(met.sparkSession), "key", "part").sortWithinPartitions("key", "part", "kind")
+    return best(met.mapInArrow(_searcher(k), "query_id long, vec_id long, score double"), k, ascending=True)
+
+
+def exact_neighbours(data: DataFrame, asked: DataFrame, k: int, rows: int) -> DataFrame:
+    """``nearest_neighbours`` of valid vectors by comparing blocks of queries with blocks of the ``rows`` vectors."""
+    blocks, groups = max(1, -(-rows // SPLIT)), max(1, -(-asked.count() // SPLIT))
+
+    def placed(df: DataFrame, kind: int, own: int, others: int) -> DataFrame:
+        mine = F.pmod(F.xxhash64("vec_id"), F.lit(own)).cast("long")
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long")))
+        block, group = (mine, other) if kind else (other, mine)
+        some = df.select(F.size("vec").cast("long").alias("key"), block.alias("_b"), group.alias("_g"), "vec_id", "vec")
+        return some.select(
+            "key", (F.col("_b") * groups + F.col("_g")).alias("part"), F.lit(kind).alias("kind"), F.col("vec_id").alias("id"), "vec"
+        )
+
+    return _met(placed(data, 1, blocks, groups), placed(asked, 0, groups, blocks), k)
 
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest found, by exact Euclidean distance.
+    """``query_id, rank, vec_id, score``: the ``k`` nearest found, or all candidates if fewer, by exact Euclidean distance.
 
     Both sides have ``vec_id, embedding``.  Rows without an id, and vectors that
     are NULL, empty, zero or hold NULL or non-finite components take no part.
@@ -312,7 +338,10 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFr
     data, asked = valid(vectors), valid(queries)
     array = "array<float>" if kind == "<f4" else "array<double>"
     width = WIDTH * spread(data)
-    m = projections_for(data, asked, k, cells(data.count()), width)
+    rows = data.count()
+    m = projections_for(data, asked, k, cells(rows), width)
+    if m == 0:
+        return exact_neighbours(data, asked, k, rows)
     schema = f"key long, kind int, id long, vec {array}"
     crowded = (
         data.mapInArrow(_keys(m, width), "key long, n long")
@@ -325,11 +354,12 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFr
     stored_rows = stored_rows.withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("_parts", F.lit(1))).cast("int"))
     visits = asked.mapInArrow(_hasher(m, width, True), schema).join(crowded, "key", "left")
     visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-    columns = ["key", "part", "kind", "id", "vec"]
-    met = stored_rows.select(*columns).unionByName(visits.select(*columns))
-    met = met.repartition(shuffle_parts(met.sparkSession), "key", "part").sortWithinPartitions("key", "part", "kind")
-    found = met.mapInArrow(_searcher(k), "query_id long, vec_id long, score double")
-    return best(found, k, ascending=True)
+    found = stored(_met(stored_rows, visits, k), "neighbours")
+    full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k).select("query_id")
+    short = stored(asked.join(full, asked["vec_id"] == full["query_id"], "left_anti"), "short")
+    if short.isEmpty():
+        return found
+    return found.join(full, "query_id", "left_semi").select(*found.columns).unionByName(exact_neighbours(data, short, k, rows))
 
 
 def op7_neighbours(spark, sf_dir: str) -> DataFrame:
