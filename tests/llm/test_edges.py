@@ -3,6 +3,7 @@
 import math
 import random
 import sys
+import zlib
 from pathlib import Path
 
 import numpy as np
@@ -122,6 +123,23 @@ def test_packing(tmp_path, width):
         assert file.doc_ids == [5, None] and (file.ids(8191, 16_400) == ids[8191:16_400]).all() and len(file.ids(3, 3)) == 0
 
 
+def test_literal_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = [f"see {end} here", end, end * 3, f"a {end}{end} b\n ", f"  {end}\n\n{end} x  ", f"w{end}w", "<|endoftext |> <|endoftext", f"one two {end}", "see here", ""]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [3826, 220, 50256, 994]
+    encode = tokens.Encoder(path)
+    assert [i.tolist() for i in encode(texts)] == want == [i.tolist() for t in texts for i in encode([t])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(tokens.read_ids(tokens.write_ids(df, path, 2)).collect())
+    ids = [np.array([*w, 2], "<u4") for w in want]
+    assert [(r["n_tokens"], r["ids_crc32"]) for r in rows] == [(len(i), zlib.crc32(i.tobytes())) for i in ids]
+
+
 def test_streaming_viterbi_is_exact():
     e = pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
     for text in ("", "a", "x" * 700, _text(300, 9), "日本語 テスト 😀\x00", "    ", "tail "):

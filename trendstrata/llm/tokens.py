@@ -152,13 +152,23 @@ class Encoder:
     Such a tokenizer never merges across its pre-tokens, so the ids of a text
     are those of its stretches between safe cuts, one after the other.  New
     plain words go to the tokenizer's model past its slower pre-tokenizer.
+
+    A literal added token (``<|endoftext|>``) stands for itself, as the library
+    has it, and parts the text.  A tokenizer with a normalizer, or with added
+    tokens that look at their neighbours or hold white space, encodes whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        added = self._tokenizer.get_added_tokens_decoder()
+        self._whole = self._tokenizer.normalizer is not None or any(
+            t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content) for t in added.values()
+        )
+        self._added = {t.content: np.array([i], "<u4") for i, t in added.items() if t.content}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._literal = re.compile(f"({'|'.join(map(re.escape, longest))})")
         self._words = Tokenizer(self._tokenizer.model)
         self._words.pre_tokenizer = pre_tokenizers.Split("\x00", "removed")
         self._alphabet = byte_alphabet()
@@ -193,7 +203,20 @@ class Encoder:
             alone[p] = np.array(self._tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts.  Up to ``CACHE`` stretches are remembered, mostly the frequent ones: those seen first."""
+        """Ids of whole texts, as the library's ``encode`` without the tokens it puts around a text."""
+        if self._whole:
+            return [np.array(self._tokenizer.encode(t, add_special_tokens=False).ids, "<u4") for t in texts]
+        parted = {k: self._literal.split(t) for k, t in enumerate(texts) if any(a in t for a in self._added)}
+        if not parted:
+            return self._between(texts)
+        each = [parted.get(k, [t]) for k, t in enumerate(texts)]
+        coded = iter(self._between([p for parts in each for p in parts[::2]]))
+        return [
+            np.concatenate([self._added[p] if k % 2 else next(coded) for k, p in enumerate(parts)]) for parts in each
+        ]
+
+    def _between(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts without literal added tokens.  Up to ``CACHE`` stretches are remembered, mostly the frequent ones: those seen first."""
         plain, behind, alone, work = {}, {}, {}, []
         get = self._known.get
         for text in texts:
