@@ -176,3 +176,23 @@ def test_top_level_list_reads_as_documents(spark, tmp_path, rows):
     assert rows(flatten_categories(read_category_json(spark, str(tmp_path))), "id", "snippet_title") == [
         ("1", "x"), ("2", "y"),
     ]
+
+
+@pytest.mark.parametrize("shape", ["document", "list", "line"])
+def test_more_than_a_variant_holds(spark, tmp_path, rows, shape):
+    items = [item(str(i), title="x" * (10 << 20), more=i) for i in range(14)]
+    envelope = {"_pipeline_metadata": {"ingestion_timestamp": "2024-01-01T00:00:00"}}
+    path = tmp_path / "region=us" / "a.json"
+    if shape == "list":
+        land(path, [{"items": items[:7], **envelope}, {"items": items[7:], **envelope}])
+    elif shape == "document":
+        land(path, {"items": items, **envelope})
+    else:
+        path.parent.mkdir(parents=True)
+        path.write_text(json.dumps({"items": items, **envelope}) + "\n" + json.dumps({"items": [item("z")], **envelope}))
+    assert path.stat().st_size > 128 << 20
+    read = read_category_json(spark, str(tmp_path))
+    found = read.select(F.col(CORRUPT).isNull().alias("whole"), "_landed_at", F.explode_outer("items").alias("i"))
+    want = [(True, "2024-01-01T00:00:00", str(i), 10 << 20, i) for i in range(14)]
+    got = rows(found.select("whole", "_landed_at", "i.id", F.length("i.snippet.title"), "i.more"))
+    assert sorted(got, key=str) == sorted(want + ([(True, "2024-01-01T00:00:00", "z", 1, None)] if shape == "line" else []), key=str)

@@ -82,30 +82,66 @@ def _one_document(text: Column) -> Column:
     return F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.d", "variant"))
 
 
+# Texts above this many bytes may be more than a VARIANT holds, 128 MiB with the offsets that it adds.
+LARGE = 1 << 24
+_HEAD = "struct<items: array<variant>, _pipeline_metadata: variant>"
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str((1 << 31) - 1)}
+
+
+def _in_parts(text: Column, shape: str) -> Column:
+    """A large text as ``shape``, with VARIANTs only inside it, if it is one JSON value of that kind and nothing else, or NULL."""
+    in_array = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{shape}>", _STRICT)
+    in_object = F.from_json(F.concat(F.lit('{"d":'), text, F.lit("}")), f"struct<d: {shape}>", _STRICT)
+    return F.when((F.octet_length(text) > LARGE) & in_array.isNotNull(), in_object["d"])
+
+
+def _entry(variant: Column | None = None, head: Column | None = None) -> Column:
+    """A document as a VARIANT, or a larger one's items and envelope."""
+    variant = F.lit(None).cast("variant") if variant is None else variant
+    return F.struct(variant.alias("d"), (F.lit(None).cast(_HEAD) if head is None else head).alias("head"))
+
+
+def _line(text: Column) -> Column:
+    one = _one_document(text)
+    return _entry(one, F.when(one.isNull(), _in_parts(text, _HEAD)))
+
+
 def _documents(texts: DataFrame) -> DataFrame:
     """``_entry_list`` (VARIANTs), ``_whole``, envelope, lineage, and the text of what cannot be read.
 
     A text is one document, a list of documents, or one document per line; a
-    text with anything else in it is a single reject.
+    text with anything else in it is a single reject.  Where the text is more
+    than one VARIANT holds, its documents, or their items, are VARIANTs each.
     """
     marked = texts.withColumn("value", F.regexp_replace("value", r"^\uFEFF", "")).withColumn("_one", _one_document(F.col("value")))
     lines = F.filter(F.split("value", "[\r\n]+"), lambda line: F.trim(line) != "")
-    by_line = F.when(F.col("_one").isNull(), F.transform(lines, _one_document))
-    listed = F.coalesce(_variant("_one", "array<variant>"), F.when(F.col("_one").isNotNull(), F.array("_one")), by_line)
-    objects = F.forall("_listed", lambda d: F.try_variant_get(d, "$", "map<string,variant>").isNotNull())
+    value, one = F.col("value"), F.col("_one")
+    head = _in_parts(value, _HEAD)
+    listed = F.coalesce(
+        F.transform(_variant("_one", "array<variant>"), lambda d: _entry(d)),
+        F.when(one.isNotNull(), F.array(_entry(one))),
+        F.transform(_in_parts(value, "array<variant>"), lambda d: _entry(d)),
+        F.transform(_in_parts(value, f"array<{_HEAD}>"), lambda h: _entry(head=h)),
+        F.when(head.isNotNull(), F.array(_entry(head=head))),
+        F.transform(lines, _line),
+    )
+    objects = F.forall("_listed", lambda e: F.try_variant_get(e["d"], "$", "map<string,variant>").isNotNull() | e["head"]["items"].isNotNull())
     split = marked.withColumn("_listed", listed).withColumn("_readable", F.coalesce(objects & (F.size("_listed") > 0), F.lit(False)))
-    each = F.when(F.col("_readable"), F.col("_listed")).otherwise(F.array(F.lit(None).cast("variant")))
+    each = F.when(F.col("_readable"), F.col("_listed")).otherwise(F.array(_entry()))
     exploded = split.select(
         "_source_file", "_modified_at",
         F.when(~F.col("_readable"), F.col("value")).alias(CORRUPT),
-        F.explode(each).alias("_d"),
-    )
-    items = _variant("_d", "array<variant>", "$.items")
+        F.explode(each).alias("_e"),
+    ).select("_source_file", "_modified_at", CORRUPT, F.col("_e.d").alias("_d"), F.col("_e.head").alias("_head"))
+    items = F.coalesce(_variant("_d", "array<variant>", "$.items"), F.col("_head.items"))
+    envelope = ENVELOPE.simpleString()
     return exploded.select(
         "_source_file", "_modified_at", CORRUPT, "_d",
         F.when(F.col("_d").isNotNull() & items.isNull(), F.array("_d")).alias("_whole"),
         items.alias("_items"),
-        _variant("_d", ENVELOPE.simpleString(), "$._pipeline_metadata").alias("_pipeline_metadata"),
+        F.coalesce(
+            _variant("_d", envelope, "$._pipeline_metadata"), _variant("_head._pipeline_metadata", envelope)
+        ).alias("_pipeline_metadata"),
     )
 
 
