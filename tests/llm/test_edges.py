@@ -188,6 +188,21 @@ def test_far_queries_get_all_their_neighbours(spark):
         assert [found[q][k] for k in range(1, n + 1)] == (np.argsort(away)[1 : n + 1] + q // 1000 * 1000).tolist()
 
 
+def test_products_of_large_components(spark):
+    x = np.random.default_rng(7).normal(size=(400, 6)).tolist()
+    large = [[1e6, 2.0, 0.0, 0.0, 0.0, 1.0], [-1e6, 0.5, 0.0, 1.0, 0.0, 0.0], [524288.0, 0.0, 1.0, 0.0, 0.0, 0.0], [0.0, -4e12, 0.0, 0.0, 0.0, 3.0], [0.0, 3e12, 0.0, 1.0, 0.0, 0.0]]
+    rows = [*enumerate(x), *[(1000 + i, v) for i, v in enumerate(large)]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(256 * c) for c in v] for i, v in rows}
+    asked = [0, 50, 1000, 1001, 1002, 1003]
+    found = {}
+    for r in mtree.top_products(df, df.filter(df.vec_id.isin(asked)), 4).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    for q in asked:
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)[:4]
+        assert [found[q][k] for k in range(1, 5)] == [(i, -s) for s, i in scores]
+
+
 def test_merkle(spark):
     a = [(k * 1000, f"d{k}") for k in range(300)]
     b = [r for r in a if r[0] != 5000] + [(5500, "more")]

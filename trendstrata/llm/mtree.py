@@ -40,7 +40,7 @@ PIVOTS = 4096  # routing objects of the root, at most
 FANOUT_ROWS = 512  # rows per routing object while there are fewer
 SPLIT = 2048  # rows of one subtree
 PAGE = 64  # entries of a page
-LARGEST = 1 << 27  # scaled components must lie below, so that scores fit 64 bits
+LARGEST = 1 << 62  # products of lengths from here on are scored with Python's integers
 SLACK = 1e-9
 
 
@@ -81,12 +81,13 @@ def _build(points: np.ndarray, rows: np.ndarray, centre: np.ndarray, rng: np.ran
 class MTree:
     """One subtree: ``values`` integer vectors, ``points`` the same on the sphere."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray, square: int, centre: np.ndarray | None):
+    def __init__(self, ids: np.ndarray, values: np.ndarray, square: float, centre: np.ndarray | None):
         order = np.argsort(ids, kind="stable")
         self.ids, self.values = ids[order], values[order]
         points = on_sphere(self.values, square)
         self.centre = points.mean(0) if centre is None else centre
         self.computed, self._square = 0, square
+        self._longest = math.sqrt((self.values.astype(np.float64) ** 2).sum(1).max())
         self.root = _build(points, np.arange(len(points)), self.centre, np.random.default_rng(len(points)))
 
     def search(self, own: int, query: np.ndarray, limit: float, k: int) -> list[tuple[int, int]]:
@@ -98,6 +99,7 @@ class MTree:
         square = self._square
         queue = [(0.0, 0, float(np.sqrt(((self.centre - point) ** 2).sum())), self.root)]
         number = 0
+        fits = self._longest * math.sqrt(length) < LARGEST
         while queue:
             bound, _, to_parent, page = heapq.heappop(queue)
             if bound > limit + slack:
@@ -114,7 +116,7 @@ class MTree:
                         heapq.heappush(queue, (lower, number, d, page.below[i]))
                 continue
             rows = page.rows[near]
-            scores = self.values[rows] @ query
+            scores = self.values[rows] @ query if fits else self.values[rows].astype(object) @ query.astype(object)
             for row, score in zip(rows, scores.tolist(), strict=True):
                 one = int(self.ids[row])
                 if one == own or (len(top) == k and score < top[0][0]):
@@ -133,15 +135,20 @@ class MTree:
         return [(score, -minus) for score, minus in top]
 
 
-def on_sphere(values: np.ndarray, square: int) -> np.ndarray:
+def on_sphere(values: np.ndarray, square: float) -> np.ndarray:
     x = values.astype(np.float64)
     return np.concatenate([x, np.sqrt(np.maximum(square - (x**2).sum(1), 0.0))[:, None]], axis=1)
 
 
 def scaled(df: DataFrame, scale: int = SCALE) -> DataFrame:
     """``vec_id, vec`` with integer components, of the rows that take part."""
-    rows = valid(df, zero=True).withColumn("vec", F.transform("vec", lambda x: F.floor(x.cast("double") * scale)))
-    return rows.filter(~F.exists("vec", lambda x: F.abs(x) >= LARGEST))
+    bounded = F.lit(float(1 << 63))
+
+    def whole(x):
+        x = x.cast("double") * scale
+        return F.when(F.abs(x) < bounded, F.floor(x)).otherwise(F.raise_error(F.lit("a scaled component leaves 64 bits")).cast("long"))
+
+    return valid(df, zero=True).withColumn("vec", F.transform("vec", whole))
 
 
 @dataclass
@@ -151,7 +158,7 @@ class Root:
     ids: dict[int, np.ndarray]
     values: dict[int, np.ndarray]
     first: dict[int, int]
-    square: int
+    square: float
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Node of each vector and the distance to its routing object; lengths without one are node ``-length``."""
@@ -168,7 +175,7 @@ class Root:
         return node, away
 
 
-def root_page(rows: DataFrame, count: int, square: int) -> Root:
+def root_page(rows: DataFrame, count: int, square: float) -> Root:
     wanted = max(1, min(PIVOTS, -(-count // FANOUT_ROWS)))
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).collect()
     ids, values, first, at = {}, {}, {}, 0
@@ -234,7 +241,7 @@ def _router(root, radii, k: int):
     return run
 
 
-def _searcher(k: int, square: int):
+def _searcher(k: int, square: float):
     """Stream over rows sorted by subtree, its vectors before the queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,17 +273,17 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: int = SC
     """``query_id, rank, vec_id, score``: the ``k`` largest integer inner products of each query, exactly.
 
     Both sides have ``vec_id, embedding``.  Rows without an id and vectors that
-    are NULL, empty or hold NULL or non-finite components take no part, nor do
-    those with a scaled component of ``LARGEST`` or more, whose scores might not
-    fit 64 bits.  Only vectors of a query's own length are candidates, never
+    are NULL, empty or hold NULL or non-finite components take no part.  A scaled
+    component, or one of the ``k`` largest scores, that leaves 64 bits raises an
+    error.  Only vectors of a query's own length are candidates, never
     those with its id; rows that repeat an id count once, by the largest score.
     Equal scores go by id.  An empty table gives no rows.
     """
     spark = vectors.sparkSession
     rows, asked = scaled(vectors, scale), scaled(queries, scale)
-    norm = F.aggregate("vec", F.lit(0).cast("long"), lambda s, x: s + x * x)
+    norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     count, square = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
-    root = root_page(rows, count, square or 0)
+    root = root_page(rows, count, square or 0.0)
     page = spark.sparkContext.broadcast(root)
     placed = stored(rows.mapInArrow(_assigner(page), "node long, away double, vec_id long, vec array<bigint>"), "mtree")
     # At most PIVOTS nodes and one per length without a routing object.
@@ -297,7 +304,7 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: int = SC
     )
     met = data.unionByName(routed)
     met = met.repartition(shuffle_parts(spark), "node", "part").sortWithinPartitions("node", "part", "kind")
-    found = met.mapInArrow(_searcher(k, square or 0), "query_id long, vec_id long, score long")
+    found = met.mapInArrow(_searcher(k, square or 0.0), "query_id long, vec_id long, score long")
     return best(found, k, ascending=False)
 
 
