@@ -203,6 +203,17 @@ def test_products_of_large_components(spark):
         assert [found[q][k] for k in range(1, 5)] == [(i, -s) for s, i in scores]
 
 
+@pytest.mark.parametrize("most", [0.5, 2.5, 4.0])
+def test_mix_takes_as_many_passes_as_asked(spark, most):
+    rows = [(i, "w " * (1 + i % 7), "ab"[i % 2]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = mixing.taken_per_document(mixing.mix(df, share=most, most=most)).collect()
+    assert len(taken) == 40
+    for s in "ab":
+        own = [r for r in taken if r["source"] == s]
+        assert sum(r["taken"] for r in own) == math.floor(own[0]["target"]) == math.floor(most * sum(r["size"] for r in own))
+
+
 def test_merkle(spark):
     a = [(k * 1000, f"d{k}") for k in range(300)]
     b = [r for r in a if r[0] != 5000] + [(5500, "more")]

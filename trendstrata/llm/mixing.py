@@ -12,6 +12,7 @@ of about ``BUCKET`` documents for the running sums, so a hot source spreads over
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -139,7 +140,7 @@ def schedule(goals: DataFrame, block: int = BLOCK) -> DataFrame:
     return ranked.unionByName(missing)
 
 
-def pieces(sizes: DataFrame, goals: DataFrame, block: int = BLOCK) -> DataFrame:
+def pieces(sizes: DataFrame, goals: DataFrame, block: int = BLOCK, most: float = 2.0) -> DataFrame:
     """Where each document lies in its source's stream: a row per document and block it reaches into.
 
     ``rank`` is the block, ``tokens`` how many of the document's tokens lie in
@@ -176,7 +177,7 @@ def pieces(sizes: DataFrame, goals: DataFrame, block: int = BLOCK) -> DataFrame:
         there = F.transform(ranks, lambda r: F.struct(r.alias("rank"), lo.alias("lo"), hi.alias("hi")))
         return F.when(hi > lo, there).otherwise(F.array().cast("array<struct<rank:bigint,lo:bigint,hi:bigint>>"))
 
-    at = F.explode_outer(F.concat(reached(0), reached(1))).alias("_at")
+    at = F.explode_outer(F.concat(*[reached(epoch) for epoch in range(max(1, math.ceil(most)))])).alias("_at")
     keep = ["_row", "doc_id", "source", "size", "source_size", "target"]
     cut = docs.select(*keep, *KEY, at).withColumn("rank", F.col("_at.rank"))
     low = F.greatest(F.col("_at.lo"), F.col("rank") * block)
@@ -194,7 +195,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, m
     """
     sizes = stored(measured(docs), "sizes")
     goals = stored(targets(sizes, weights, share, most), "targets")
-    cut = pieces(sizes, goals)
+    cut = pieces(sizes, goals, most=most)
     return cut.join(schedule(goals), [*KEY, "rank"], "left").drop(*KEY)
 
 
