@@ -15,10 +15,17 @@ from pyspark.sql import functions as F
 from trendstrata.llm import jaccard, language, mixing, pieces, suffixes
 from trendstrata.llm.common import stored, table
 
+SHORT = int(1 / language.NARROW)  # bytes below which one byte is more than a narrow margin
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go: those without a letter, and those no language explains better than the next."""
-    return language.predict(docs, language.trained(docs)).filter(~F.col("rejected")).select(*docs.columns)
+    """Rejected documents go: those without a letter, and those no language explains better than the next.
+
+    A text of fewer than ``SHORT`` bytes with a letter stays: its margin is narrow only in a tie or by one byte, which says nothing.
+    """
+    found = language.predict(docs, language.trained(docs))
+    short = (F.octet_length(F.lower("text")) < SHORT) & (F.col("lang_pred") != language.UNKNOWN)
+    return found.filter(~F.col("rejected") | F.coalesce(short, F.lit(False))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -134,5 +134,13 @@ def test_pipeline(spark, sf_dir, documents):
     assert corpus_pipeline.run(spark, sf_dir).columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
 
 
+def test_pipeline_keeps_short_texts(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    short = {r["doc_id"] for r in docs.filter("lang IS NOT NULL AND length(text) < 200 AND text RLIKE '[A-Za-z]'").collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, sf_dir).select("doc_id").collect()}
+    assert short and short <= kept
+
+
 def test_modules_are_the_ones_tested():
     assert jaccard.runs_for() >= 5 and suffixes.LENGTH == 200 and language.UNKNOWN == "und"
