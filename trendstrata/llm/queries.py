@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendstrata.llm import chat, jaccard, language, mixing, mtree, neighbours, pieces, suffixes, tokens, warc
+from trendstrata.llm import chat, fim, jaccard, language, mixing, mtree, neighbours, pieces, sharding, suffixes, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
@@ -19,10 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.op8_mixing,
     "op9_suffixes": suffixes.op9_suffixes,
     "op10_mtree": mtree.op10_mtree,
+    "op11_fim": fim.op11_fim,
+    "op12_sharding": sharding.op12_sharding,
 }
 ORACLES: dict[str, str] = {
     "op1_chat": chat.ORACLE,
     "op2_warc": warc.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op10_mtree": mtree.ORACLE,
+    "op11_fim": fim.ORACLE,
+    "op12_sharding": sharding.ORACLE,
 }
