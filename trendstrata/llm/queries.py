@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendstrata.llm import chat, fim, jaccard, language, mixing, mtree, neighbours, pieces, sharding, suffixes, tokens, warc
+from trendstrata.llm import chat, fim, jaccard, language, mixing, mtree, neighbours, phrases, pieces, sharding, suffixes, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mtree": mtree.op10_mtree,
     "op11_fim": fim.op11_fim,
     "op12_sharding": sharding.op12_sharding,
+    "op13_phrases": phrases.op13_phrases,
 }
 ORACLES: dict[str, str] = {
     "op1_chat": chat.ORACLE,
@@ -29,4 +30,5 @@ ORACLES: dict[str, str] = {
     "op10_mtree": mtree.ORACLE,
     "op11_fim": fim.ORACLE,
     "op12_sharding": sharding.ORACLE,
+    "op13_phrases": phrases.ORACLE,
 }
