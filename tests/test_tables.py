@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from trendstrata.operators.audit import expected_regions, landing_audit, missing_regions, present_regions
 from trendstrata.sinks import append_ledger, land_raw, ledger_row, write_table
+from trendstrata.sinks.evolution import common_type
 from trendstrata.sinks.landing import with_envelope
 from trendstrata.sinks.tables import read_files
 from trendstrata.sources import read_table, table_exists
@@ -48,8 +49,96 @@ def test_columns_are_added(spark, named, rows):
     assert rows(read_table(spark, name), "x", "tags", "region") == [(1, None, "us"), (2, ["a"], "gb"), (3, None, "fr")]
     # The same array with another nullability is the same type.
     write_table(small(spark, (4, "jp")).withColumn("tags", F.array(F.lit("b"))), name, path)
-    with pytest.raises(ValueError, match="type differs for x"):
-        write_table(small(spark, ("z", "us"), columns="x string, region string"), name, path)
+    # A text among numbers makes the column text, also in the rows that were there.
+    write_table(small(spark, ("z", "us"), columns="x string, region string"), name, path)
+    assert rows(read_table(spark, name), "x", "tags", "region") == [
+        ("2", ["a"], "gb"), ("3", None, "fr"), ("4", ["b"], "jp"), ("z", None, "us"),
+    ]
+
+
+def failing(df):
+    return df.withColumn("x", F.when(F.col("x") > 0, F.raise_error(F.lit("lost"))).otherwise(F.col("x")))
+
+
+def folders(path):
+    return sorted(p.name for p in path.glob("v-*"))
+
+
+def test_a_failed_replacement_leaves_the_rows(spark, named, tmp_path, rows):
+    name, path = named
+    with pytest.raises(Exception, match="lost"):
+        write_table(failing(small(spark, (1, "us"))), name, path, mode="replace")
+    assert not table_exists(spark, name) and folders(tmp_path / "table") == []
+    assert write_table(small(spark, (1, "us"), (2, "gb")), name, path, mode="replace") == {"rows": 2}
+    kept = folders(tmp_path / "table")
+    with pytest.raises(Exception, match="lost"):
+        write_table(failing(small(spark, (5, "us"), (0, "fr"))), name, path, mode="replace")
+    assert rows(read_table(spark, name)) == [(1, "us"), (2, "gb")] and folders(tmp_path / "table") == kept
+
+
+def test_replacing_moves_the_entry_and_keeps_one_version_more(spark, named, tmp_path, rows):
+    name, path = named
+    for n in range(4):
+        write_table(small(spark, (n, "us"), (n, f"r{n}")), name, path, mode="replace")
+        assert rows(read_table(spark, name)) == [(n, f"r{n}"), (n, "us")]
+    assert len(folders(tmp_path / "table")) == 2
+    # A reader that began on the version before can finish.
+    before = read_table(spark, name)
+    write_table(small(spark, (9, "us")), name, path, mode="replace")
+    assert before.count() == 2
+    # Partitions of the current version are replaced and added in place.
+    write_table(small(spark, (8, "gb")), name, path)
+    write_table(small(spark, (7, "gb")), name, path, mode="append")
+    assert rows(read_table(spark, name)) == [(7, "gb"), (8, "gb"), (9, "us")]
+    pruned = read_table(spark, name).filter("region = 'us'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(region" in pruned
+    # New columns come with the version, columns that it lacks stay.
+    write_table(small(spark, ("a", "us"), columns="y string, region string"), name, path, mode="replace")
+    assert rows(read_table(spark, name), "x", "y", "region") == [(None, "a", "us")]
+    write_table(small(spark, (1, "us")).limit(0), name, path, mode="replace")
+    assert read_table(spark, name).count() == 0
+
+
+def test_a_table_with_partitions_in_the_catalog_can_be_replaced(spark, named, rows):
+    name, path = named
+    write_table(small(spark, (1, "us"), (2, "gb")), name, path)
+    write_table(small(spark, (3, "fr")), name, path, mode="replace")
+    assert rows(read_table(spark, name)) == [(3, "fr")]
+    with pytest.raises(ValueError, match="a name and a path"):
+        write_table(small(spark, (1, "us")), name, mode="replace")
+
+
+@pytest.mark.parametrize(
+    ("have", "new", "want"),
+    [
+        ("int", "bigint", "bigint"), ("bigint", "double", "double"), ("bigint", "decimal(5,2)", "decimal(22,2)"),
+        ("decimal(38,0)", "decimal(38,10)", "double"), ("double", "string", "string"), ("boolean", "bigint", "string"),
+        ("date", "timestamp", "timestamp"), ("void", "int", "int"), ("array<int>", "array<double>", "array<double>"),
+        ("struct<a:int,b:string>", "struct<B:int,c:array<void>>", "struct<a:int,b:string,c:array<void>>"),
+        ("struct<a:int>", "bigint", "string"), ("map<string,int>", "map<string,double>", "map<string,double>"),
+    ],
+)
+def test_least_common_types(spark, have, new, want):
+    both = [spark.createDataFrame([], f"x {kind}").schema["x"].dataType for kind in (have, new)]
+    assert common_type(*both).simpleString() == want
+    assert common_type(both[1], both[0]).simpleString().lower() in (want, want.replace("b:string", "b:string").lower(), "struct<b:string,c:array<void>,a:int>")
+
+
+def test_nested_types_drift(spark, named, rows):
+    name, path = named
+    first = small(spark, (1, "us", (1, None, [1])), columns="x int, region string, s struct<a: int, n: void, l: array<int>>")
+    write_table(first, name, path)
+    assert "n" not in read_table(spark, name).schema["s"].dataType.names  # nothing is known of it yet
+    second = small(spark, (2, "gb", (2.5, 7, ["k"])), columns="x int, region string, s struct<a: double, n: bigint, l: array<string>>")
+    write_table(second, name, path)
+    third = small(spark, (3, "fr", "all text"), columns="x int, region string, s string")
+    assert [tuple(r) for r in read_table(spark, name).orderBy("x").select("x", "s.a", "s.n", "s.l", "region").collect()] == [
+        (1, 1.0, None, ["1"], "us"), (2, 2.5, 7, ["k"], "gb"),
+    ]
+    write_table(third, name, path, mode="append")
+    assert rows(read_table(spark, name), "x", "s") == [
+        (1, '{"a":1.0,"l":["1"]}'), (2, '{"a":2.5,"l":["k"],"n":7}'), (3, "all text"),
+    ]
 
 
 def test_empty_result(spark, named):
