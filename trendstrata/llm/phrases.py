@@ -38,8 +38,8 @@ WITHIN = 50  # per cent of a phrase's count that a longer one needs to replace i
 TOP = 2000
 SCALE = 1_000_000
 
-SLICE = 1 << 24  # bytes of text whose leaves are put together before they are sent
-MEMORY = 1 << 23  # suffixes of one group
+SLICE = 1 << 23  # bytes of text whose leaves are put together before they are sent
+MEMORY = 1 << 21  # suffixes of one group
 BUCKETS = 8  # for each group
 
 _LOWER = bytes(range(256)).lower()
