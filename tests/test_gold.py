@@ -131,9 +131,9 @@ def test_rank_of_one_large_group_over_many_tasks(spark):
 
 def test_rank_with_and_without_rows(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
-    ranked = rank_within(df, ["g"], [F.desc("v")], "r")
+    ranked = rank_within(df, ["g"], [("v", False)], "r")
     assert ranked.filter(F.col("r") != F.floor((F.lit(99) - F.col("v")) / 3) + 1).isEmpty()
-    assert rank_within(df.limit(0), ["g"], [F.desc("v")], "r").count() == 0
+    assert rank_within(df.limit(0), ["g"], [("v", False)], "r").count() == 0
 
 
 def test_serving(spark, stats, lookup, rows):

@@ -45,9 +45,10 @@ def test_summaries_read_only_their_columns(spark, silver, sf_dir):
         "trending_date_parsed", "like_ratio", "engagement_rate",
     }]
     assert "Join" not in trending
-    pairs = plan(metrics.channel_categories(silver, nation_lookup(spark, sf_dir)))
-    assert {"channel_title", "category_id"} in read_columns(pairs)
-    assert read_columns(plan(metrics.day_totals(silver))) == [{"trending_date_parsed", "views"}]
+    channels = read_columns(plan(metrics.channel_analytics(silver, nation_lookup(spark, sf_dir))))
+    # One wide scan; the names and the ranks read their own two columns.
+    assert {"channel_title", "category_id"} in channels and {"channel_title", "views"} in channels
+    assert sum(len(columns) > 2 for columns in channels) == 1
     checks = plan(quality.check_table(silver, "clean_statistics"))
     assert read_columns(checks) == [{"video_id", "title", "channel_title", "views", "_processed_at"}]
 
@@ -83,11 +84,37 @@ def test_names_are_joined_after_aggregating(silver, spark, sf_dir):
     assert text.index("BroadcastHashJoin") < text.index("HashAggregate")
 
 
-def test_ranks_do_not_gather_a_region(silver):
-    text = plan(metrics.rank_channels(metrics.channel_summary(silver)))
-    windows = re.findall(r"\) Window\nInput \[(\d+)\][^\n]*\n[^\n]*", text)
-    # Only the counters per partition pass through a window.
-    assert windows == ["4"] and "total_views" not in re.search(r"\) Window\n.*?\n\n", text, re.S).group(0)
+def test_categories_read_the_statistics_once(spark, silver, sf_dir):
+    columns = read_columns(plan(metrics.category_analytics(silver, nation_lookup(spark, sf_dir))))
+    assert sum("views" in c for c in columns) == 1
+
+
+def test_channel_names_join_where_they_are_aggregated(silver):
+    """Both sides of the join are dealt by the same plain keys; nothing stands between aggregate and join."""
+    before = silver.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    silver.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(metrics.channel_analytics(silver))
+    finally:
+        silver.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tree = text.split("\n\n")[0]
+    join = tree[tree.rindex("SortMergeJoin LeftOuter") :].splitlines()
+    below = [re.sub(r"[^A-Za-z]", "", line) for line in join[1:4]]
+    assert below[0] == "Sort" and "Aggregate" in below[1], join[:5]
+
+
+def test_ranks_run_nothing_before_they_are_asked_for(spark, silver):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranks", "planning only")
+    try:
+        ranked = metrics.rank_channels(metrics.channel_summary(silver))
+        text = plan(ranked)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tracker.getJobIdsForGroup("ranks") == []
+    # No window orders a whole region by views: each sees one bucket, or the bucket counts.
+    windows = re.findall(r"\) Window\n.*?\n\n", text, re.S)
+    assert len(windows) == 2 and all("_bucket" in w for w in windows)
 
 
 def test_silver_is_written_without_another_sort_or_shuffle(spark, sf_dir, tmp_path):

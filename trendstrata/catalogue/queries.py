@@ -450,7 +450,7 @@ def customer_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def view_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = _star_silver(spark, sf_dir)
-    shares = metrics.view_share(metrics.category_summary(stats), metrics.day_totals(stats))
+    shares = metrics.day_share(metrics.category_summary(stats))
     return _shown(shares, "category_id", "region", "trending_date_parsed", "total_views", "view_share_pct")
 
 

@@ -6,7 +6,9 @@ of the statistics feeds a partial aggregate directly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendstrata.functions import exact_sum, ratio_half_up
@@ -35,7 +37,8 @@ def _mean_views() -> Column:
     return ratio_half_up(F.sum("views").cast("decimal(20,0)"), F.count("views"), 2)
 
 
-def _aggregated_at(df: DataFrame, at: Column | None) -> DataFrame:
+def with_stamp(df: DataFrame, at: Column | None) -> DataFrame:
+    """When the summary was made."""
     return df.withColumn("_aggregated_at", F.current_timestamp() if at is None else at)
 
 
@@ -51,12 +54,12 @@ def trending_analytics(stats: DataFrame, at: Column | None = None) -> DataFrame:
         F.countDistinct("channel_title").alias("unique_channels"),
         F.countDistinct("category_id").alias("unique_categories"),
     )
-    return _aggregated_at(summary, at)
+    return with_stamp(summary, at)
 
 
-def channel_summary(stats: DataFrame) -> DataFrame:
+def channel_measures() -> list[Column]:
     """The numeric part of the channel table."""
-    return stats.groupBy("channel_title", "region").agg(
+    return [
         F.countDistinct("video_id").alias("total_videos"),
         *_totals("views", "likes", "comment_count"),
         _mean_views().alias("avg_views_per_video"),
@@ -65,33 +68,45 @@ def channel_summary(stats: DataFrame) -> DataFrame:
         F.count("trending_date_parsed").alias("times_trending"),
         F.min("trending_date_parsed").alias("first_trending"),
         F.max("trending_date_parsed").alias("last_trending"),
-    )
+    ]
 
 
-def channel_categories(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
-    """Sorted set of category names per channel and region.
+def channel_summary(stats: DataFrame) -> DataFrame:
+    """One row per channel and region, without names and ranks."""
+    return stats.groupBy("channel_title", "region").agg(*channel_measures())
 
-    Distinct ids first: names are joined to a few rows per channel, and the
-    set is collected from those.
-    """
-    pairs = stats.select("channel_title", "region", "category_id").distinct()
-    return (
-        name_categories(pairs, lookup)
-        .groupBy("channel_title", "region")
-        .agg(F.sort_array(F.collect_set("category_name")).alias("categories"))
-    )
 
+def rank_channels(channels: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Position by total views inside the region; ties go by title.
 
-def rank_channels(channels: DataFrame) -> DataFrame:
-    """Position by total views inside the region; ties go by title."""
+    ``totals`` may give ``region, channel_title, total_views`` of the same rows by a shorter way.
+    """
     return rank_within(
-        channels,
-        groups=["region"],
-        order=[F.desc("total_views"), F.asc_nulls_first("channel_title")],
-        name="rank_in_region",
+        channels, groups=["region"], order=[("total_views", False), ("channel_title", True)], name="rank_in_region", rows=totals
     )
 
 
+def with_plain_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key that may be NULL as two that are not, so that equal rows can be joined where they were aggregated."""
+    plain = {f"_is_{k}": F.col(k).isNotNull() for k in keys} | {f"_{k}": F.coalesce(k, F.lit("")) for k in keys}
+    return df.withColumns(plain)
+
+
+def plain_names(keys: Sequence[str]) -> list[str]:
+    return [name for k in keys for name in (f"_is_{k}", f"_{k}")]
+
+
+def _back(keys: Sequence[str]) -> list[Column]:
+    return [F.when(F.col(f"_is_{k}"), F.col(f"_{k}")).alias(k) for k in keys]
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left`` with the other columns of ``right`` beside equal keys, NULL being equal to NULL."""
+    plain = plain_names(keys)
+    joined = with_plain_keys(left, keys).join(with_plain_keys(right, keys).drop(*keys), plain, "left")
+    return joined.drop(*plain)
+
+
 def channel_analytics(
     stats: DataFrame, lookup: DataFrame | None = None, at: Column | None = None
 ) -> DataFrame:
@@ -99,15 +114,19 @@ def channel_analytics(
 
     Sums and sets are two scans with their own few columns: a set inside the
     first aggregate would take it out of code generation and, past a few keys
-    per task, into sorting all input.
+    per task, into sorting all input.  Both are aggregated by the same keys,
+    none of them NULL, so they are joined without another shuffle.
     """
-    summary = channel_summary(stats)
-    names = channel_categories(stats, lookup).select(
-        F.col("channel_title").alias("_channel"), F.col("region").alias("_region"), "categories"
-    )
-    same = F.col("channel_title").eqNullSafe(F.col("_channel")) & F.col("region").eqNullSafe(F.col("_region"))
-    channels = summary.join(names, same, "left").drop("_channel", "_region")
-    return _aggregated_at(rank_channels(channels), at)
+    grain = ["channel_title", "region"]
+    plain = plain_names(grain)
+    keyed = with_plain_keys(stats, grain)
+    summary = keyed.groupBy(*plain).agg(*channel_measures())
+    named = name_categories(keyed.select(*plain, "category_id").distinct(), lookup)
+    names = named.groupBy(*plain).agg(F.sort_array(F.collect_set("category_name")).alias("categories"))
+    joined = summary.join(names, plain, "left")
+    channels = joined.select(*_back(grain), *[c for c in joined.columns if c not in plain])
+    totals = keyed.groupBy(*plain).agg(*_totals("views")).select(*_back(grain), "total_views")
+    return with_stamp(rank_channels(channels, totals), at)
 
 
 def category_summary(stats: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
@@ -123,31 +142,19 @@ def category_summary(stats: DataFrame, lookup: DataFrame | None = None) -> DataF
     return named.select(*keys, *[c for c in summary.columns if c not in keys])
 
 
-def day_totals(stats: DataFrame) -> DataFrame:
-    """Views per region and day."""
-    return stats.groupBy("region", "trending_date_parsed").agg(F.sum("views").alias("_day_views"))
-
-
-def view_share(categories: DataFrame, totals: DataFrame) -> DataFrame:
+def day_share(categories: DataFrame) -> DataFrame:
     """Each category's share of its region-day's views, in per cent.
 
-    The totals are joined: a window would bring all categories of a region-day
-    into one task, and their number is up to the data.  Joined, a small totals
-    side is broadcast, and a hot region-day is split between tasks.
+    The day's views are the sum of the categories', so the statistics are read once.  What meets
+    in one task are the categories of one region-day, after they have been summed up.
     """
-    days = totals.select(
-        F.col("region").alias("_region"), F.col("trending_date_parsed").alias("_date"), "_day_views"
-    )
-    same = F.col("region").eqNullSafe(F.col("_region")) & F.col("trending_date_parsed").eqNullSafe(F.col("_date"))
+    day = Window.partitionBy("region", "trending_date_parsed")
     part = F.col("total_views").cast("decimal(20,0)") * 100
-    share = ratio_half_up(part, F.col("_day_views"), 2)
-    shared = categories.join(days, same, "left").withColumn("view_share_pct", share)
-    return shared.drop("_region", "_date", "_day_views")
+    return categories.withColumn("view_share_pct", ratio_half_up(part, F.sum("total_views").over(day), 2))
 
 
 def category_analytics(
     stats: DataFrame, lookup: DataFrame | None = None, at: Column | None = None
 ) -> DataFrame:
     """One row per category, region and day with the share of views."""
-    shares = view_share(category_summary(stats, lookup), day_totals(stats))
-    return _aggregated_at(shares, at)
+    return with_stamp(day_share(category_summary(stats, lookup)), at)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +73,46 @@ def _save(df: DataFrame, folder: str, keys: Sequence[str], mode: str) -> None:
     writer.option("partitionOverwriteMode", "dynamic").save(folder)
 
 
+def write_routed(
+    df: DataFrame,
+    tables: Mapping[str, tuple[str, Sequence[str]]],
+    path: str,
+    keys: Sequence[str] = ("region",),
+    mode: str = "replace",
+    measures: Sequence[Column] = (),
+) -> dict[str, int]:
+    """Write the rows of ``df`` to several tables in one pass, by its column ``kind``.
+
+    ``tables`` maps a kind to a table's name and columns.  The tables share the versions
+    below ``path``, each with a folder of its own in them.  Returns the rows of each kind,
+    and the ``measures``.  ``overwrite_partitions`` replaces, in each table, the partitions that get rows.
+    """
+    if mode not in ("replace", "overwrite_partitions"):
+        raise ValueError("mode must be replace or overwrite_partitions")
+    spark = df.sparkSession
+    counted = Observation()
+    counts = [F.count_if(F.col("kind") == kind).alias(kind) for kind in tables]
+    rows = df.observe(counted, *counts, *measures)
+    layout = ["kind", *keys]
+    if mode == "overwrite_partitions":
+        current = {location(spark, name).rsplit("/", 1)[0] for name, _ in tables.values()}
+        if len(current) != 1:
+            raise ValueError(f"{', '.join(name for name, _ in tables.values())} do not share a version")
+        _save(rows, current.pop(), layout, "overwrite")
+    else:
+        known = {name for name, _ in tables.values() if spark.catalog.tableExists(name)}
+        before = {_version_of(location(spark, name)) for name in known}
+        with _Version(spark, path) as folder:
+            _save(rows, folder, layout, "errorifexists")
+            for kind, (name, columns) in tables.items():
+                schema = T.StructType([df.schema[c] for c in columns])
+                _point(spark, name, schema, keys, f"{folder}/kind={kind}")
+        _forget(spark, path, {_version_of(folder), *before})
+    for name, _ in tables.values():
+        spark.catalog.refreshTable(name)
+    return dict(counted.get)
+
+
 class _New:
     """The first rows of a table."""
 
@@ -100,12 +140,6 @@ class _Stored:
         self.name, self.schema, self.keys = name, schema, keys
         self.mode = "append" if mode == "append" else "overwrite"
 
-    def _add_columns(self, spark: SparkSession) -> None:
-        known = {f.name.lower() for f in spark.table(self.name).schema.fields}
-        added = [f for f in self.schema.fields if f.name.lower() not in known]
-        if added:
-            columns = ", ".join(f"{quoted(f.name)} {_ddl(f.dataType)}" for f in added)
-            spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({columns})")
 
 
 class _Partitioned(_Stored):
@@ -113,7 +147,7 @@ class _Partitioned(_Stored):
 
     def __call__(self, df: DataFrame) -> None:
         spark = df.sparkSession
-        self._add_columns(spark)
+        _add_columns(spark, self.name, self.schema)
         ordered = df.select(*[F.col(quoted(f.name)) for f in spark.table(self.name).schema.fields])
         ordered.write.mode(self.mode).option("partitionOverwriteMode", "dynamic").insertInto(self.name)
 
@@ -123,7 +157,7 @@ class _Current(_Stored):
 
     def __call__(self, df: DataFrame) -> None:
         spark = df.sparkSession
-        self._add_columns(spark)
+        _add_columns(spark, self.name, self.schema)
         _save(df, location(spark, self.name), self.keys, self.mode)
         spark.catalog.refreshTable(self.name)
 
@@ -142,27 +176,8 @@ class _NextVersion(_Stored):
             if self.keep:
                 _save(fitted_rows(spark.table(self.name), self.schema), folder, self.keys, "errorifexists")
             _save(df, folder, self.keys, self.mode if self.keep else "errorifexists")
-            self._move(spark, folder)
-        kept = {f.rstrip("/").rsplit("/", 1)[-1] for f in (folder, before)}
-        for old in versions(spark, self.path):
-            if old not in kept:
-                _remove(spark, f"{self.path.rstrip('/')}/{old}")
-
-    def _move(self, spark: SparkSession, folder: str) -> None:
-        want = _keys_last(self.schema, self.keys)
-        have = {f.name.lower(): f.dataType for f in spark.table(self.name).schema.fields}
-        same = all(same_type(have.get(f.name.lower(), f.dataType), f.dataType) for f in want.fields)
-        if same and not _tracked(spark, self.name):
-            self._add_columns(spark)
-            spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{_text(folder)}'")
-        else:
-            # The catalog cannot change a type, nor forget that it knows the partitions: a new
-            # entry, once.  The files of an external table stay when its entry goes.
-            if _details(spark, self.name).get("Type") == "MANAGED":
-                raise ValueError(f"{self.name} is managed by the catalog: give it a path to change its types")
-            spark.sql(f"DROP TABLE {self.name}")
-            _create(spark, self.name, want, folder)
-        spark.catalog.refreshTable(self.name)
+            _point(spark, self.name, self.schema, self.keys, folder)
+        _forget(spark, self.path, {_version_of(folder), _version_of(before)})
 
 
 def _existing(spark: SparkSession, name: str, path: str | None, schema: T.StructType, keys: Sequence[str], mode: str) -> _Stored:
@@ -192,6 +207,46 @@ class _Version:
             _remove(self._spark, self._folder)
 
 
+def _version_of(folder: str) -> str:
+    """The version that a folder is, or lies in."""
+    return next((part for part in folder.split("/")[::-1] if part.startswith(_VERSION)), "")
+
+
+def _forget(spark: SparkSession, path: str, kept: set[str]) -> None:
+    for old in versions(spark, path):
+        if old not in kept:
+            _remove(spark, f"{path.rstrip('/')}/{old}")
+
+
+def _add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    known = {f.name.lower() for f in spark.table(name).schema.fields}
+    added = [f for f in schema.fields if f.name.lower() not in known]
+    if added:
+        columns = ", ".join(f"{quoted(f.name)} {_ddl(f.dataType)}" for f in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+
+
+def _point(spark: SparkSession, name: str, schema: T.StructType, keys: Sequence[str], folder: str) -> None:
+    """Let a table's entry name this folder."""
+    want = _keys_last(schema, keys)
+    if not spark.catalog.tableExists(name):
+        _create(spark, name, want, folder)
+        return
+    have = {f.name.lower(): f.dataType for f in spark.table(name).schema.fields}
+    same = all(same_type(have.get(f.name.lower(), f.dataType), f.dataType) for f in want.fields)
+    if same and not _tracked(spark, name):
+        _add_columns(spark, name, want)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_text(folder)}'")
+    else:
+        # The catalog cannot change a type, nor forget that it knows the partitions: a new
+        # entry, once.  The files of an external table stay when its entry goes.
+        if _details(spark, name).get("Type") == "MANAGED":
+            raise ValueError(f"{name} is managed by the catalog: give it a path to change its types")
+        spark.sql(f"DROP TABLE {name}")
+        _create(spark, name, want, folder)
+    spark.catalog.refreshTable(name)
+
+
 def _keys_last(schema: T.StructType, keys: Sequence[str]) -> T.StructType:
     """Columns that are folder names are read after the others."""
     return T.StructType([*[f for f in schema.fields if f.name not in keys], *[schema[k] for k in keys]])

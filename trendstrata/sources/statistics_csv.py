@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstrata.functions import region_from_path
+from trendstrata.functions import decode_path, region_from_path
 from trendstrata.schemas import CORRUPT, RAW_COLUMNS, RAW_STATISTICS
 from trendstrata.sources.missing import read_or
 
@@ -15,12 +17,12 @@ CSV_FORMAT = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
 
 def read_raw_statistics(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     encoding: str = "ISO-8859-1",
     multi_line: bool = True,
     files: str = "*.csv",
 ) -> DataFrame:
-    """All raw columns as text, ``region`` from the path, and the corrupt column.
+    """All raw columns as text, ``region`` from the path, the corrupt column, and the file.
 
     Sub-folders are searched at any depth for ``files``; rows that are too
     short, too long or broken are kept with their text in the corrupt column.
@@ -41,11 +43,16 @@ def read_raw_statistics(
     rows = read_or(
         lambda: spark.read.schema(RAW_STATISTICS)
         .options(**options)
-        .csv(path)
-        .withColumn("region", region_from_path(F.col("_metadata.file_path"))),
-        lambda: spark.createDataFrame([], RAW_STATISTICS).withColumn("region", F.lit("")),
+        .csv([path] if isinstance(path, str) else list(path))
+        .withColumns(
+            {
+                "region": region_from_path(F.col("_metadata.file_path")),
+                "_source_file": decode_path(F.col("_metadata.file_path")),
+            }
+        ),
+        lambda: spark.createDataFrame([], RAW_STATISTICS).withColumns({"region": F.lit(""), "_source_file": F.lit("")}),
     )
-    return rows.select(*RAW_COLUMNS, "region", CORRUPT)
+    return rows.select(*RAW_COLUMNS, "region", CORRUPT, "_source_file")
 
 
 def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
