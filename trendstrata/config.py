@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-# The checks and gold tables are defined by these.
+# The checks and gold tables are defined by these, and by the thresholds below.
 REGIONS = ("us", "gb", "ca", "de", "fr", "in", "jp", "kr", "mx", "ru")
 UNKNOWN_CATEGORY = "Unknown"
 CRITICAL_COLUMNS: Mapping[str, Sequence[str]] = {
@@ -22,9 +22,13 @@ class Settings:
     gold_db: str = "gold"
     statistics_table: str = "clean_statistics"
     reference_table: str = "clean_reference_data"
+    rejects_table: str = "rejected_statistics"
+    manifest_table: str = "statistics_files"
+    partials_table: str = "statistics_partials"
     job_name: str = "bronze_to_silver"
     regions: Sequence[str] = REGIONS
 
+    # The thresholds of the checks.
     min_rows: int = 10
     max_null_pct: float = 5.0
     max_views: int = 50_000_000_000

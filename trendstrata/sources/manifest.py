@@ -7,10 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstrata.functions import region_from_path
+from trendstrata.functions import decode_path, region_from_path
 from trendstrata.sources.missing import read_or
 
-MANIFEST = "path string, modified_at timestamp, length long, region string"
 _SAME = ["path", "modified_at", "length"]
 
 
@@ -23,8 +22,14 @@ def listed_files(spark: SparkSession, path: str, files: str = "*.csv") -> DataFr
             "_metadata", F.struct(F.lit("").alias("file_path"))
         ),
     )
-    region = F.lower(F.trim(region_from_path(F.col("_metadata.file_path"))))
-    return found.select("path", F.col("modificationTime").alias("modified_at"), "length", region.alias("region"))
+    key = F.col("_metadata.file_path")
+    return found.select(
+        "path",
+        F.col("modificationTime").alias("modified_at"),
+        "length",
+        F.lower(F.trim(region_from_path(key))).alias("region"),
+        decode_path(key).alias("_source_file"),
+    )
 
 
 @dataclass(frozen=True)
