@@ -35,7 +35,7 @@ def test_raw_statistics(spark, tmp_path, rows):
     write(tmp_path / "region=us/c.json", '{"not": "read"}')
     write(tmp_path / "loose.csv", HEADER, line("v4"))
     raw = read_raw_statistics(spark, str(tmp_path))
-    assert raw.columns == [*RAW_COLUMNS, "region", CORRUPT]
+    assert raw.columns == [*RAW_COLUMNS, "region", CORRUPT, "_source_file"]
     assert set(dict(raw.dtypes).values()) == {"string"}
     assert rows(raw, "video_id", "region", "description", CORRUPT) == [
         ("v1", "us", "text", None), ("v2", "us", 'two\nlines, "quoted"', None), ("v3", "GB", "text", None),
@@ -102,6 +102,25 @@ def documents(tmp_path):
     return root
 
 
+def test_repeated_names_and_odd_numbers(spark, tmp_path, rows):
+    """What a VARIANT refuses is read as JSON parsers commonly do: the last value of a name counts."""
+    land(tmp_path / "region=us/a.json", '{"etag": "x", "etag": "y", "items": [{"id": "1", "id": "2", "size": NaN, "snippet": {"title": "t"}}]}')
+    land(tmp_path / "region=gb/lines.json", '{"items": [{"id": "3", "size": 7}]}\n{"items": [{"id": "4", "id": "5"}]}\n')
+    land(tmp_path / "region=fr/bad.json", '{"id": "1", "id": "2"} and more')
+    land(tmp_path / "region=de/half.json", '{"id": "\\ud800", "id": "2"}')
+    docs = read_category_json(spark, str(tmp_path))
+    flat = reference_rows(docs)
+    assert rows(flat, "region", "id", "size") == [("de", "2", None), ("gb", "3", 7), ("gb", "5", None), ("us", "2", None)]
+    assert [Path(f).parent.name for f, _ in rows(empty_documents(docs))] == ["region=fr"]
+
+
+def test_fields_that_have_only_been_null_are_not_stored(spark, tmp_path):
+    land(tmp_path / "region=us/a.json", {"items": [item("1", note=None, deep={"a": None, "b": [None]}, list=[{"c": None}])]})
+    assert flatten_categories(read_category_json(spark, str(tmp_path))).columns[-6:] == [
+        "kind", "etag", "id", "snippet_title", "snippet_assignable", "snippet_channelId",
+    ]
+
+
 def test_flatten(spark, documents, rows):
     docs = read_category_json(spark, str(documents))
     flat = flatten_categories(docs)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from trendstrata.config import UNKNOWN_CATEGORY
 from trendstrata.functions import flatten_struct, iso_utc, region_from_key, to_long
 from trendstrata.operators.dedup import dedup_last
-from trendstrata.schemas import CORRUPT
+from trendstrata.schemas import CORRUPT, UNREADABLE, WITHOUT_ROWS
 
 _LINEAGE = ("_source_file", "_modified_at", "_document")
 
@@ -85,8 +85,8 @@ def flatten_categories(docs: DataFrame) -> DataFrame:
 
 def empty_documents(docs: DataFrame) -> DataFrame:
     """Documents that give no rows, with the reason."""
-    error = F.when(~_is_readable(docs), F.lit("not a readable document")).when(
-        ~gives_rows(docs), F.lit("no category rows in the document")
+    error = F.when(~_is_readable(docs), F.lit(UNREADABLE)).when(
+        ~gives_rows(docs), F.lit(WITHOUT_ROWS)
     )
     return docs.select("_source_file", error.alias("error")).filter(F.col("error").isNotNull())
 

@@ -184,11 +184,13 @@ class Run:
     def reference(self, at: Column | None = None, multi_line: bool = True) -> dict[str, int]:
         """Category documents to the silver reference table; bad files are noted and passed over.
 
-        The documents are not kept between the passes over them.
+        The texts are parsed once; the passes after that read the parsed documents.
         """
         name, path = self.settings.reference_table, f"{self.places.silver}/reference_data"
         with self._watched("silver_reference", name, path):
-            docs = read_category_json(self.spark, self.places.raw_reference, multi_line)
+            docs = read_category_json(
+                self.spark, self.places.raw_reference, multi_line, keep=lambda parsed: self._kept(parsed, "documents")
+            )
             if docs.isEmpty():
                 self._note("silver_reference", rows_written=0)
                 return {"rows": 0}

@@ -50,14 +50,10 @@ CATEGORY_ITEM = T.StructType(
     [*_strings("kind", "etag", "id"), T.StructField("snippet", SNIPPET)]
 )
 ENVELOPE = T.StructType(_strings("ingestion_id", "region", "ingestion_timestamp", "source"))
-# A document is either a list of items or, without the list, one item itself.
-CATEGORY_DOCUMENT = T.StructType(
-    [
-        *CATEGORY_ITEM.fields,
-        T.StructField("items", T.ArrayType(CATEGORY_ITEM)),
-        T.StructField("_pipeline_metadata", ENVELOPE),
-    ]
-)
+
+# Why a document gives no rows.
+UNREADABLE = "not a readable document"
+WITHOUT_ROWS = "no category rows in the document"
 
 QUALITY_RECORD = T.StructType(
     [

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendstrata.functions import decode_path
-from trendstrata.schemas import CATEGORY_ITEM, CORRUPT, ENVELOPE
+from trendstrata.schemas import CATEGORY_ITEM, CORRUPT, ENVELOPE, UNREADABLE, WITHOUT_ROWS
 from trendstrata.sources.missing import read_or
 
 # What Spark prints for a VARIANT's objects, apart from quoted names.
@@ -55,14 +57,18 @@ def _additive(declared: T.DataType, found: T.DataType) -> T.DataType:
     return declared
 
 
-def _storable(found: T.DataType) -> T.DataType:
-    """A found type as a column type: mixed or always-null fields are text, fractions are doubles."""
+def _storable(found: T.DataType) -> T.DataType | None:
+    """A found type as a column type: mixed fields are text, fractions are doubles; what has only been NULL has none."""
     if isinstance(found, T.StructType):
-        fields = [T.StructField(f.name, _storable(f.dataType)) for f in found.fields]
-        return T.StructType(fields) if fields else T.StringType()
+        fields = [(f.name, _storable(f.dataType)) for f in found.fields]
+        kept = [T.StructField(name, kind) for name, kind in fields if kind is not None]
+        return T.StructType(kept) if kept else None
     if isinstance(found, T.ArrayType):
-        return T.ArrayType(_storable(found.elementType))
-    if isinstance(found, (T.VariantType, T.NullType)):
+        element = _storable(found.elementType)
+        return None if element is None else T.ArrayType(element)
+    if isinstance(found, T.NullType):
+        return None
+    if isinstance(found, T.VariantType):
         return T.StringType()
     return T.DoubleType() if isinstance(found, (T.DecimalType, T.FloatType)) else found
 
@@ -106,33 +112,73 @@ def _line(text: Column) -> Column:
     return _entry(one, F.when(one.isNull(), _in_parts(text, _HEAD)))
 
 
-def _documents(texts: DataFrame) -> DataFrame:
-    """``_entry_list`` (VARIANTs), ``_whole``, envelope, lineage, and the text of what cannot be read.
+def _plain_json(text: str | None) -> str | None:
+    """A text, or each of its lines, as JSON without repeated names and odd numbers, or None if it is not JSON.
 
-    A text is one document, a list of documents, or one document per line; a
-    text with anything else in it is a single reject.  Where the text is more
-    than one VARIANT holds, its documents, or their items, are VARIANTs each.
+    Of a repeated name the last value counts; ``NaN`` and the infinities are null.
     """
-    marked = texts.withColumn("value", F.regexp_replace("value", r"^\uFEFF", "")).withColumn("_one", _one_document(F.col("value")))
-    lines = F.filter(F.split("value", "[\r\n]+"), lambda line: F.trim(line) != "")
-    value, one = F.col("value"), F.col("_one")
-    head = _in_parts(value, _HEAD)
+    if text is None:
+        return None
+
+    def plain(part: str) -> str:
+        return json.dumps(json.loads(part, parse_constant=lambda _: None), ensure_ascii=False)
+
+    lines = [line for line in re.split("[\r\n]+", text) if line.strip()]
+    for parts in ([text], lines):
+        try:
+            found = "\n".join(plain(part) for part in parts)
+            found.encode()  # half a surrogate pair is no text
+            return found
+        except (ValueError, RecursionError):
+            continue
+    return None
+
+
+@F.pandas_udf(T.StringType())
+def _second_reading(texts: pd.Series) -> pd.Series:
+    """For the few texts that a VARIANT refuses."""
+    return texts.map(_plain_json, na_action="ignore")
+
+
+def _read(texts: DataFrame) -> DataFrame:
+    """``_listed``, the documents of ``_text`` (itself, the entries of a list, or one for each line), and whether all of it is such."""
+    text, one = F.col("_text"), F.col("_one")
+    lines = F.filter(F.split(text, "[\r\n]+"), lambda line: F.trim(line) != "")
+    head = _in_parts(text, _HEAD)
     listed = F.coalesce(
         F.transform(_variant("_one", "array<variant>"), lambda d: _entry(d)),
         F.when(one.isNotNull(), F.array(_entry(one))),
-        F.transform(_in_parts(value, "array<variant>"), lambda d: _entry(d)),
-        F.transform(_in_parts(value, f"array<{_HEAD}>"), lambda h: _entry(head=h)),
+        F.transform(_in_parts(text, "array<variant>"), lambda d: _entry(d)),
+        F.transform(_in_parts(text, f"array<{_HEAD}>"), lambda h: _entry(head=h)),
         F.when(head.isNotNull(), F.array(_entry(head=head))),
         F.transform(lines, _line),
     )
     objects = F.forall("_listed", lambda e: F.try_variant_get(e["d"], "$", "map<string,variant>").isNotNull() | e["head"]["items"].isNotNull())
-    split = marked.withColumn("_listed", listed).withColumn("_readable", F.coalesce(objects & (F.size("_listed") > 0), F.lit(False)))
-    each = F.when(F.col("_readable"), F.col("_listed")).otherwise(F.array(_entry()))
-    exploded = split.select(
-        "_source_file", "_modified_at",
-        F.when(~F.col("_readable"), F.col("value")).alias(CORRUPT),
-        F.explode(each).alias("_e"),
-    ).select("_source_file", "_modified_at", CORRUPT, F.col("_e.d").alias("_d"), F.col("_e.head").alias("_head"))
+    split = texts.withColumn("_one", _one_document(text)).withColumn("_listed", listed)
+    return split.withColumn("_ok", F.coalesce(objects & (F.size("_listed") > 0), F.lit(False)))
+
+
+def _documents(texts: DataFrame) -> DataFrame:
+    """``_d`` (a VARIANT), ``_whole``, ``_items``, envelope, lineage, and the text of what cannot be read.
+
+    A text is one document, a list of documents, or one document per line; a
+    text with anything else in it is a single reject.  Where the text is more
+    than one VARIANT holds, its documents, or their items, are VARIANTs each.
+    A text of up to ``LARGE`` bytes that a VARIANT refuses, since a name is repeated in it or a number
+    is none, is read once more.
+    """
+    plain = texts.withColumn("value", F.regexp_replace("value", r"^\uFEFF", "")).withColumn("_text", F.col("value"))
+    large = F.octet_length("value") > LARGE
+    first = _read(plain)
+    # Apart from the others, so that only these pass through Python.
+    refused = _read(plain.filter(~large)).filter(~F.col("_ok")).select("_source_file", "_modified_at", "value")
+    second = _read(refused.withColumn("_text", _second_reading("value")))
+    each = F.when(F.col("_ok"), F.col("_listed")).otherwise(F.array(_entry()))
+    text = F.when(~F.col("_ok"), F.col("value")).alias(CORRUPT)
+    both = [x.select("_source_file", "_modified_at", text, F.explode(each).alias("_e")) for x in (first.filter(large | F.col("_ok")), second)]
+    exploded = both[0].unionAll(both[1]).select(
+        "_source_file", "_modified_at", CORRUPT, F.col("_e.d").alias("_d"), F.col("_e.head").alias("_head")
+    )
     items = F.coalesce(_variant("_d", "array<variant>", "$.items"), F.col("_head.items"))
     envelope = ENVELOPE.simpleString()
     return exploded.select(
@@ -145,6 +191,28 @@ def _documents(texts: DataFrame) -> DataFrame:
     )
 
 
+def _landed_at() -> Column:
+    return F.coalesce(F.col("_pipeline_metadata.ingestion_timestamp"), F.lit("")).alias("_landed_at")
+
+
+# A value of some type in what `schema_of_variant` prints, apart from quoted names.
+_QUOTED_NAME = "`(?:[^`]|``)*`"
+_TYPED = ": (?!VOID|OBJECT)[A-Z]"
+
+
+def document_heads(texts: DataFrame) -> DataFrame:
+    """One short row per document: lineage, ``_landed_at``, and why it gives no rows (NULL if it does).
+
+    No pass over the texts to find fields: a document gives rows if any of its items has a value.
+    """
+    entries = F.coalesce("_items", "_whole")
+    kind = F.transform(entries, lambda entry: F.regexp_replace(F.schema_of_variant(entry), _QUOTED_NAME, ""))
+    documents = _documents(texts).withColumn("_kinds", kind)
+    found = F.coalesce(F.exists("_kinds", lambda k: F.regexp_like(k, F.lit(_TYPED))), F.lit(False))
+    error = F.when(F.col(CORRUPT).isNotNull(), F.lit(UNREADABLE)).when(~found, F.lit(WITHOUT_ROWS))
+    return documents.select("_source_file", "_modified_at", _landed_at(), error.alias("error"))
+
+
 def _found_fields(documents: DataFrame) -> T.StructType:
     """Fields of all items and of all documents without a list of them, in one pass."""
     entries = documents.select(
@@ -158,22 +226,25 @@ def _found_fields(documents: DataFrame) -> T.StructType:
     return T.StructType([f for f in fields if f.name.lower() not in _TAKEN])
 
 
-def parse_documents(texts: DataFrame, evolve: bool = True) -> DataFrame:
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def parse_documents(texts: DataFrame, evolve: bool = True, keep: Keep | None = None) -> DataFrame:
     """Category documents of the texts ``value`` with ``_source_file`` and ``_modified_at``.
 
     ``items`` holds the items, or the document itself where it has no list of
     them; it is NULL, and the corrupt column holds the text, where the text is
     not JSON through and through.  A value that does not fit its field is NULL.
     ``evolve`` adds the fields found in the texts to the declared ones, at the
-    price of one more pass; without it they are left out.
+    price of one more pass; without it they are left out.  ``keep`` may store the parsed
+    documents, so that no later pass parses the texts again.
     """
-    documents = _documents(texts)
+    documents = _documents(texts) if keep is None else keep(_documents(texts))
     item = _additive(CATEGORY_ITEM, _found_fields(documents)) if evolve else CATEGORY_ITEM
     ddl = _ddl(item).replace("'", "\\'")
     typed = F.expr(f"transform(coalesce(_items, _whole), entry -> try_variant_get(entry, '$', '{ddl}'))")
     return documents.select(
-        typed.alias("items"), "_pipeline_metadata", CORRUPT, "_source_file", "_modified_at",
-        F.coalesce(F.col("_pipeline_metadata.ingestion_timestamp"), F.lit("")).alias("_landed_at"),
+        typed.alias("items"), "_pipeline_metadata", CORRUPT, "_source_file", "_modified_at", _landed_at()
     ).withColumn("_document", F.monotonically_increasing_id())
 
 
@@ -190,6 +261,7 @@ def read_category_json(
     multi_line: bool = True,
     files: str = "*.json",
     evolve: bool = True,
+    keep: Keep | None = None,
 ) -> DataFrame:
     """One row per document under ``path``: a folder of any depth, one file, or several.
 
@@ -205,7 +277,7 @@ def read_category_json(
     def empty() -> DataFrame:
         return spark.createDataFrame([], "value string, _source_file string, _modified_at timestamp")
 
-    return parse_documents(read_or(load, empty), evolve)
+    return parse_documents(read_or(load, empty), evolve, keep)
 
 
 def stream_category_texts(
