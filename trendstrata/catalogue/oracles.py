@@ -178,8 +178,8 @@ ORACLES["silver_warnings"] = f"{_EVENT} SELECT {_WARNINGS} FROM event_silver"
 
 _CSV_KEPT = """
 raw AS (
-  SELECT 'd' || (doc_id % 50) AS video_id, lang AS region,
-    make_date(2024, 1, CAST(doc_id % 7 + 1 AS integer)) AS trending_date_parsed,
+  SELECT 'd' || (doc_id // 3) AS video_id, lang AS region,
+    make_date(2024, 1, CAST(doc_id // 3 % 7 + 1 AS integer)) AS trending_date_parsed,
     'the "text", ' || doc_id AS title, source AS channel_title, n_chars % 30 AS category_id, n_chars AS views,
     n_chars % 100 AS likes, n_chars % 7 AS dislikes, n_chars % 13 AS comment_count, true AS ratings_disabled,
     md5(text) AS description_md5
@@ -195,6 +195,24 @@ ORACLES["csv_rejects"] = """
 SELECT lang AS region, count(*) FILTER (n_chars % 10 NOT IN (3, 7)) AS good_rows,
   count(*) FILTER (n_chars % 10 IN (3, 7)) AS rejected_rows
 FROM documents GROUP BY lang"""
+# The lines as they were written, of rows that lack their last column or have one more.
+_FIELDS = ["'d' || (doc_id // 3)", "'24.' || lpad(CAST(doc_id // 3 % 7 + 1 AS varchar), 2, '0') || '.01'",
+           "'the \"text\", ' || doc_id", "source", "n_chars % 30", "'2024-01-31 00:00:00'", "lang", "n_chars", "n_chars % 100",
+           "n_chars % 7", "n_chars % 13", "'img/' || doc_id", "'False'", "'True'", "'False'"]
+_QUOTED = [f"""'"' || replace(CAST({f} AS varchar), '"', '""') || '"'""" for f in [*_FIELDS, "text", "'x'"]]
+_LINE = f"""CASE n_chars % 10 WHEN 3 THEN {" || ',' || ".join(_QUOTED[:15])}
+  WHEN 7 THEN {" || ',' || ".join(_QUOTED)} END"""
+ORACLES["rejects_table"] = f"""
+SELECT lang AS region, md5({_LINE}) AS text_md5, count(*) AS rows FROM documents WHERE n_chars % 10 IN (3, 7) GROUP BY ALL"""
+ORACLES["run_accounts"] = f"""
+WITH read AS (
+  SELECT 'd' || (doc_id // 3) AS video_id, lang AS region, {_LINE} AS text FROM documents),
+good AS (SELECT DISTINCT video_id, region FROM read WHERE text IS NULL)
+SELECT count(*) AS rows_read, count(text) AS rows_corrupt, (SELECT count(*) FROM good) AS rows_clean,
+  count(*) - (SELECT count(*) FROM good) AS rows_removed, (SELECT count(*) FROM good) AS rows,
+  count(DISTINCT region || text) AS rejects FROM read"""
+ORACLES["split_round_trip"] = ORACLES["csv_round_trip"]
+ORACLES["incremental_silver"] = ORACLES["csv_round_trip"]
 ORACLES["path_region"] = "SELECT page_id, CAST(page_id % 7 AS varchar) AS region FROM pages"
 
 ORACLES["decoded_key"] = "SELECT page_id, url || ' a+b=ü%' AS key FROM pages"
@@ -233,10 +251,20 @@ SELECT {_KEY}, CASE WHEN doc_id % 3 = 0 THEN source END AS kind,
 ORACLES["empty_json_documents"] = f"""
 SELECT {_KEY}, CASE WHEN doc_id % 4 = 2 THEN 'not a readable document'
   ELSE 'no category rows in the document' END AS error FROM documents WHERE doc_id % 4 < 3"""
+ORACLES["duplicate_keys"] = f"""
+SELECT {_KEY}, CAST(doc_id AS varchar) AS id, CASE WHEN doc_id % 3 > 0 THEN CAST(n_chars AS bigint) END AS size,
+  text AS snippet_title FROM documents"""
+ORACLES["reference_type_drift"] = """
+SELECT lang AS region, CAST(doc_id AS varchar) AS id, CASE lang WHEN 'de' THEN n_chars || '.0' WHEN 'fr' THEN n_chars || '.5'
+  WHEN 'en' THEN NULL ELSE 'about ' || n_chars END AS size FROM documents"""
+ORACLES["one_named_file"] = "SELECT CAST(doc_id AS varchar) AS id, source AS kind, text AS snippet_title FROM documents"
 ORACLES["relanded_reference"] = """
 SELECT 'r' || c_nationkey AS region, CAST(c_nationkey AS varchar) AS id, 'new ' || count(*) AS snippet_title
 FROM customer GROUP BY c_nationkey"""
-ORACLES["stream_reference"] = "SELECT DISTINCT lang AS region, true AS same FROM documents"
+ORACLES["stream_reference"] = """
+SELECT 'r' || c_nationkey AS region, CAST(c_nationkey AS varchar) AS id,
+  CASE WHEN c_nationkey % 2 = 0 THEN 'again ' ELSE 'last ' END || count(*) AS snippet_title
+FROM customer GROUP BY c_nationkey"""
 
 # --- names and gold ------------------------------------------------------------
 
@@ -323,6 +351,19 @@ ORACLES["run_to_gold"] = f"""
 SELECT * REPLACE ('Unknown' AS categories)
 FROM ({_channel(f"WITH {_CSV_KEPT}, rated AS (SELECT *, {_RATIOS} FROM kept)", "rated")})"""
 
+_RATED = f"WITH {_CSV_KEPT}, rated AS (SELECT *, {_RATIOS} FROM kept)"
+ORACLES["gold_increment"] = ORACLES["run_to_gold"]
+ORACLES["whole_run"] = _category(_RATED, "rated")
+ORACLES["aggregated_at"] = f"""{_EVENT}
+SELECT region, {_CALENDAR} AS trending_date_parsed, '{NOW}' AS _aggregated_at FROM event_silver GROUP BY ALL"""
+ORACLES["region_leaves_the_feed"] = f"""{_RATED}, kept_regions AS (SELECT * FROM rated WHERE region <> 'de')
+SELECT 'clean_statistics' AS "table", region, count(*) AS rows FROM kept_regions GROUP BY ALL
+UNION ALL SELECT 'trending_analytics', region, count(DISTINCT trending_date_parsed) FROM kept_regions GROUP BY ALL
+UNION ALL SELECT 'channel_analytics', region, count(DISTINCT channel_title) FROM kept_regions GROUP BY ALL
+UNION ALL SELECT 'category_analytics', region, count(DISTINCT (category_id, trending_date_parsed)) FROM kept_regions GROUP BY ALL"""
+ORACLES["empty_feed"] = f"""WITH {_CSV_KEPT}
+SELECT CAST(0 AS bigint) AS rows_of_nothing, CAST(0 AS bigint) AS gold_of_nothing, count(*) AS rows FROM kept"""
+
 # --- data quality --------------------------------------------------------------
 
 
@@ -391,6 +432,7 @@ ORACLES["table_round_trip"] = f"""{_EVENT}
 ORACLES["partition_overwrite"] = """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
   o_orderstatus FROM orders"""
+ORACLES["replace_survives_failure"] = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders"
 ORACLES["written_rows"] = "SELECT count(*) AS rows_reported, count(*) AS rows_stored FROM lineitem"
 ORACLES["schema_evolution"] = """
 SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority, o_orderstatus

@@ -6,7 +6,10 @@ same way whatever the client does with those types.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,7 @@ from trendstrata.operators.cleanse import (
 )
 from trendstrata.operators.dedup import dedup_latest, latest_file_per_region
 from trendstrata.plans import views
+from trendstrata.plans.gold import GOLD_TABLES
 from trendstrata.plans.reference import reference_rows, silver_reference
 from trendstrata.plans.run import Places, Run
 from trendstrata.plans.silver import (
@@ -44,8 +48,11 @@ from trendstrata.schemas import COUNTERS, SILVER_KEY
 from trendstrata.session import fresh_folder
 from trendstrata.sinks.landing import land_raw, with_envelope
 from trendstrata.sinks.ledger import append_alerts, append_ledger, ledger_per_file
-from trendstrata.sinks.tables import write_table
+from trendstrata.errors import SPARK_ERRORS
+from trendstrata.sinks.tables import location, write_table
 from trendstrata.sources.category_json import parse_documents, read_category_json
+from trendstrata.sources.manifest import listed_files
+from trendstrata.sources.split_csv import read_split_statistics
 from trendstrata.sources.statistics_csv import CSV_FORMAT, read_raw_statistics, split_rejects
 from trendstrata.sources.tables import read_table
 from trendstrata.streaming import drain_reference
@@ -108,6 +115,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.text_documents(spark, sf_dir)
 
 
+def _taken_down(spark: SparkSession, *names: str) -> DataFrame:
+    """The rows of the first table, from its files; the catalog's entries go."""
+    rows = spark.read.schema(spark.table(names[0]).schema).parquet(location(spark, names[0]))
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def _without_stamp(df: DataFrame) -> DataFrame:
     return _shown(df.drop("_aggregated_at"))
 
@@ -187,27 +202,164 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts through CSV files in region folders into silver."""
     path = fresh_folder(spark, "csv")
     _write_csv(views.document_statistics(spark, sf_dir), path)
-    silver = silver_statistics(read_raw_statistics(spark, path, encoding="UTF-8"))
+    return _described(silver_statistics(read_raw_statistics(spark, path, encoding="UTF-8")))
+
+
+def _described(silver: DataFrame) -> DataFrame:
     described = silver.withColumn("description_md5", F.md5("description"))
     columns = (*SILVER_KEY, "title", "channel_title", "category_id", *COUNTERS, "ratings_disabled")
     return _shown(described, *columns, "like_ratio", "engagement_rate", "description_md5")
 
 
 @query
-def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good and rejected rows per region, where rows lack or add a column."""
-    path = fresh_folder(spark, "rejects")
+def split_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the reader that takes a file in many tasks."""
+    path = fresh_folder(spark, "csv")
+    _write_csv(views.document_statistics(spark, sf_dir), path)
+    return _described(silver_statistics(read_split_statistics(spark, path, encoding="UTF-8")))
+
+
+def _write_broken_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Rows of which some lack and some add a column."""
     rows = views.document_statistics(spark, sf_dir)
     kind = F.col("views").cast("long") % 10
     _write_csv(rows.filter(~kind.isin(3, 7)), path)
     _write_csv(rows.filter(kind == 3).drop("description"), path)
-    _write_csv(rows.filter(kind == 7).withColumn("surplus", F.lit("x")), path)
+    # The regions are the last column of what is written, and no column of the files.
+    surplus = rows.filter(kind == 7).withColumn("surplus", F.lit("x"))
+    _write_csv(surplus.select(*[c for c in surplus.columns if c != "region"], "region"), path)
+
+
+@query
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and rejected rows per region, where rows lack or add a column."""
+    path = fresh_folder(spark, "rejects")
+    _write_broken_csv(spark, sf_dir, path)
     good, rejects = split_rejects(read_raw_statistics(spark, path, encoding="UTF-8"))
     counted = good.groupBy("region").agg(F.count("video_id").alias("good_rows"))
     rejected = rejects.groupBy("region").agg(F.count("_corrupt_record").alias("rejected_rows"))
     return counted.join(rejected, "region", "full").na.fill(0)
 
 
+def _new_run(spark: SparkSession) -> Run:
+    """A run with databases and folders of its own; its tables are external, so their files stay."""
+    root = fresh_folder(spark, "run")
+    database = "run_" + root.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    places = Places(*[f"{root}/{p}" for p in ("raw", "reference", "silver", "gold", "ledger", "alerts")])
+    return Run(spark, places, Settings(silver_db=database, gold_db=database))
+
+
+@contextmanager
+def _own_run(spark: SparkSession) -> Iterator[Run]:
+    run = _new_run(spark)
+    try:
+        yield run
+    finally:
+        spark.sql(f"DROP DATABASE {run.settings.silver_db} CASCADE")
+
+
+def _files_of(run: Run, table: str) -> DataFrame:
+    """A table's rows, also when its entry has gone."""
+    name = f"{run.settings.silver_db}.{table}"
+    return run.spark.read.schema(run.spark.table(name).schema).parquet(location(run.spark, name))
+
+
+@query
+def rejects_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of rows that a run sets apart while it writes the others."""
+    with _own_run(spark) as run:
+        _write_broken_csv(spark, sf_dir, run.places.raw_statistics)
+        run.statistics(encoding="UTF-8")
+        rejects = _files_of(run, run.settings.rejects_table)
+    by_text = rejects.groupBy("region", F.md5("_corrupt_record").alias("text_md5"))
+    return by_text.agg(F.sum("rows").alias("rows"))
+
+
+@query
+def run_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run counts of rows that it reads, sets apart, removes and writes."""
+    with _own_run(spark) as run:
+        _write_broken_csv(spark, sf_dir, run.places.raw_statistics)
+        counts = run.statistics(encoding="UTF-8")
+    names = ("rows_read", "rows_corrupt", "rows_clean", "rows_removed", "rows", "rejects")
+    return spark.range(1).select(*[F.lit(counts[n]).cast("long").alias(n) for n in names])
+
+
+def _three_landings(spark: SparkSession, sf_dir: str, run: Run) -> Iterator[None]:
+    """All documents in three parts, one after the other; parts of a video come with different landings."""
+    rows = views.document_statistics(spark, sf_dir)
+    part = F.crc32("thumbnail_link") % 3
+    for n in range(3):
+        _write_csv(rows.filter(part == n), run.places.raw_statistics)
+        run.statistics_increment(encoding="UTF-8")
+        yield
+
+
+@query
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landings, each merged into what is there."""
+    with _own_run(spark) as run:
+        for _ in _three_landings(spark, sf_dir, run):
+            pass
+        silver = _files_of(run, run.settings.statistics_table)
+    return _described(silver)
+
+
+@query
+def gold_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The channels after three landings, from sums of which only the changed days are made anew."""
+    with _own_run(spark) as run:
+        for _ in _three_landings(spark, sf_dir, run):
+            run.gold_increment()
+        channels = _files_of(run, "channel_analytics")
+    return _without_stamp(channels)
+
+
+@query
+def region_leaves_the_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per region in all tables, after a region has gone from the feed."""
+    with _own_run(spark) as run:
+        rows = views.document_statistics(spark, sf_dir)
+        for feed in ("before", "after"):
+            run.places = replace(run.places, raw_statistics=f"{run.places.raw_statistics}/{feed}")
+            _write_csv(rows if feed == "before" else rows.filter("region <> 'de'"), run.places.raw_statistics)
+            run.statistics(encoding="UTF-8")
+            run.gold()
+        tables = (run.settings.statistics_table, *GOLD_TABLES)
+        counts = [_files_of(run, t).groupBy(F.lit(t).alias("table"), "region").agg(F.count(F.lit(1)).alias("rows")) for t in tables]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def empty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No files, then statistics without rows, write nothing; the first files write all."""
+    with _own_run(spark) as run:
+        nothing = run.statistics(encoding="UTF-8")["rows"] + run.reference()["rows"]
+        rows = views.document_statistics(spark, sf_dir)
+        write_table(_described(silver_statistics(rows)).limit(0), run._silver(run.settings.statistics_table), f"{run.places.silver}/statistics")
+        gold = len(run.gold())
+        spark.sql(f"DROP TABLE {run._silver(run.settings.statistics_table)}")
+        _write_csv(rows, run.places.raw_statistics)
+        written = run.statistics(encoding="UTF-8")["rows"]
+    found = {"rows_of_nothing": nothing, "gold_of_nothing": gold, "rows": written}
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in found.items()])
+
+
+@query
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference, statistics, checks, gate and gold in one go; the categories carry the reference's names."""
+    with _own_run(spark) as run:
+        _write_csv(views.document_statistics(spark, sf_dir), run.places.raw_statistics)
+        title = F.struct(F.col("n_name").alias("title")).alias("snippet")
+        items = F.collect_list(F.struct(F.col("n_nationkey").cast("string").alias("id"), title)).alias("items")
+        documents = views.table(spark, sf_dir, "nation").groupBy(F.concat(F.lit("r"), F.col("n_regionkey")).alias("region")).agg(items)
+        land_raw(documents, run.places.raw_reference, "test tables")
+        run.everything(encoding="UTF-8")
+        categories = _files_of(run, "category_analytics")
+    return _without_stamp(categories)
+
+
 @query
 def path_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     urls = views.table(spark, sf_dir, "pages")
@@ -299,9 +451,9 @@ def json_many_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reference_rows(read_category_json(spark, path)).select("region", "id", "snippet_title")
 
 
-def _texts(spark: SparkSession, sf_dir: str, value: Column) -> DataFrame:
+def _texts(spark: SparkSession, sf_dir: str, value: Column, chosen: str = "true") -> DataFrame:
     """One JSON text per document, as if read from a file named by its id."""
-    docs = views.table(spark, sf_dir, "documents")
+    docs = views.table(spark, sf_dir, "documents").filter(chosen)
     key = F.concat(F.lit("raw/"), "lang", F.lit("_category_id_"), "doc_id", F.lit(".json"))
     return docs.select(value.alias("value"), key.alias("_source_file"), F.lit(None).cast("timestamp").alias("_modified_at"))
 
@@ -355,25 +507,71 @@ def relanded_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_reference(read_category_json(spark, path)).select("region", "id", "snippet_title")
 
 
+@query
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that repeat, at the top and in an item, and numbers that are none."""
+    snippet = F.to_json(F.struct(F.col("text").alias("title")))
+    item = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("n_chars").alias("size")))
+    plain = F.concat(F.lit('{"items": ['), F.rtrim(item, F.lit("}")), F.lit(', "snippet": '), snippet, F.lit("}]}"))
+    twice = F.concat(
+        F.lit('{"etag": "a", "etag": "b", "items": [{"id": "first", "id": "'), "doc_id", F.lit('", "size": NaN, "snippet": '), snippet, F.lit("}]}")
+    )
+    value = F.when(F.col("doc_id") % 3 == 0, twice).otherwise(plain)
+    rows = flatten_categories(parse_documents(_texts(spark, sf_dir, value)))
+    return rows.select("_source_file", "id", "size", "snippet_title")
+
+
+@query
+def reference_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field that is null, a whole number, a fraction and a text, batch by batch into one table."""
+    path = fresh_folder(spark, "drift")
+    name = "drift_" + path.rsplit("-", 1)[1]
+    size = F.col("n_chars").cast("string")
+    shapes = {
+        "lang = 'en'": F.lit("null"),
+        "lang = 'de'": size,
+        "lang = 'fr'": F.concat(size, F.lit(".5")),
+        "coalesce(lang, '') NOT IN ('en', 'de', 'fr')": F.concat(F.lit('"about '), size, F.lit('"')),
+    }
+    for chosen, shape in shapes.items():
+        value = F.concat(F.lit('{"items": [{"id": "'), "doc_id", F.lit('", "size": '), shape, F.lit("}]}"))
+        texts = _texts(spark, sf_dir, value, chosen)
+        write_table(reference_rows(parse_documents(texts)).drop("_modified_at"), name, path)
+    return _taken_down(spark, name).select("region", "id", "size")
+
+
+@query
+def one_named_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in one file, read by its name."""
+    path = fresh_folder(spark, "named")
+    docs = views.table(spark, sf_dir, "documents")
+    item = F.struct(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("kind"), F.struct(F.col("text").alias("title")).alias("snippet"))
+    docs.select(F.array(item).alias("items")).coalesce(1).write.json(path)
+    file = listed_files(spark, path, "*.json").first()["path"]
+    return flatten_categories(read_category_json(spark, file, multi_line=False)).select("id", "kind", "snippet_title")
+
+
 @query
 def stream_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Draining the landed files in small batches gives the batch result."""
+    """Landings drained one by one: late ones, one for some regions, and one that lands again on its day."""
     landed, path = fresh_folder(spark, "landed"), fresh_folder(spark, "streamed")
-    docs = _documents(spark, sf_dir).drop("_source_file", "_document")
-    land_raw(docs, landed, "test tables", keys=["region"])
     name = "streamed_" + path.rsplit("-", 1)[1]
-    drain_reference(
-        spark, landed, name, path, fresh_folder(spark, "progress"), fresh_folder(spark, "stream-rejects"),
-        order="key", max_files_per_trigger=3,
+    places = [fresh_folder(spark, label) for label in ("progress", "stream-rejects")]
+    counts = views.table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    waves = (
+        ("first", "2024-01-03 10:00:00", F.lit(True)),
+        ("late", "2024-01-01 10:00:00", F.lit(True)),
+        ("last", "2024-01-05 10:00:00", F.lit(True)),
+        ("again", "2024-01-05 10:05:00", F.col("c_nationkey") % 2 == 0),
+        ("late", "2024-01-04 10:00:00", F.lit(True)),
     )
-    batch = silver_reference(read_category_json(spark, landed))
-
-    def digest(df: DataFrame, label: str) -> DataFrame:
-        row = F.xxhash64("id", "etag", "snippet_title", "_source_file").cast("decimal(20,0)")
-        return df.groupBy("region").agg(F.struct(F.count(F.lit(1)), F.sum(row)).alias(label))
-
-    both = digest(spark.table(name), "_streamed").join(digest(batch, "_batch"), "region", "full")
-    return both.select("region", F.col("_streamed").eqNullSafe(F.col("_batch")).alias("same"))
+    for label, at, which in waves:
+        title = F.struct(F.concat(F.lit(f"{label} "), "n").alias("title")).alias("snippet")
+        item = F.struct(F.col("c_nationkey").cast("string").alias("id"), title)
+        docs = counts.filter(which).select(F.concat(F.lit("r"), "c_nationkey").alias("region"), F.array(item).alias("items"))
+        land_raw(docs, landed, "test tables", F.lit(at).cast("timestamp"), keys=["region", "date"])
+        drain_reference(spark, landed, name, path, *places, order="key")
+    return _taken_down(spark, name).select("region", "id", "snippet_title")
 
 
 # --- names, gold, serving ------------------------------------------------------
@@ -474,17 +672,19 @@ def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files through the silver table into the gold table, without a reference table."""
-    root = fresh_folder(spark, "run")
-    database = "run_" + root.rsplit("-", 1)[1]
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
-    places = Places(*[f"{root}/{p}" for p in ("raw", "reference", "silver", "gold", "ledger", "alerts")])
-    _write_csv(views.document_statistics(spark, sf_dir), places.raw_statistics)
-    run = Run(spark, places, Settings(silver_db=database, gold_db=database))
-    run.statistics(encoding="UTF-8")
-    run.gold()
-    # The tables are external: their files stay.
-    spark.sql(f"DROP DATABASE {database} CASCADE")
-    return _without_stamp(spark.read.parquet(f"{places.gold}/channel_analytics"))
+    with _own_run(spark) as run:
+        _write_csv(views.document_statistics(spark, sf_dir), run.places.raw_statistics)
+        run.statistics(encoding="UTF-8")
+        run.gold()
+        channels = _files_of(run, "channel_analytics")
+    return _without_stamp(channels)
+
+
+@query
+def aggregated_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time of aggregation beside the keys of a summary."""
+    trending = metrics.trending_analytics(_event_silver(spark, sf_dir), _landed_at())
+    return _shown(trending, "region", "trending_date_parsed", "_aggregated_at")
 
 
 # --- data quality --------------------------------------------------------------
@@ -559,7 +759,7 @@ def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "table")
     name = "statistics_" + path.rsplit("-", 1)[1]
     write_table(_event_silver(spark, sf_dir).drop("_processed_at"), name, path)
-    return _shown(read_table(spark, name), "seq", *SILVER_KEY, "views", "like_ratio")
+    return _shown(_taken_down(spark, name), "seq", *SILVER_KEY, "views", "like_ratio")
 
 
 @query
@@ -571,7 +771,22 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(orders, name, path, keys=["o_orderstatus"])
     again = orders.filter("o_orderstatus = 'O'").withColumn("o_totalprice", -F.col("o_totalprice"))
     write_table(again, name, path, keys=["o_orderstatus"])
-    return spark.table(name)
+    return _taken_down(spark, name)
+
+
+@query
+def replace_survives_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replacement fails half way, and the rows that were there stay."""
+    path = fresh_folder(spark, "replaced")
+    name = "replaced_" + path.rsplit("-", 1)[1]
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    write_table(orders, name, path, keys=["o_orderstatus"], mode="replace")
+    broken = F.when(F.col("o_orderstatus") == "P", F.raise_error(F.lit("lost")).cast("double")).otherwise(-F.col("o_totalprice"))
+    try:
+        write_table(orders.withColumn("o_totalprice", broken), name, path, keys=["o_orderstatus"], mode="replace")
+    except SPARK_ERRORS:
+        return _taken_down(spark, name)
+    raise AssertionError("the replacement did not fail")
 
 
 @query
@@ -594,7 +809,7 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(orders.filter(done).select("o_orderkey", "o_orderstatus"), name, path, ["o_orderstatus"])
     wider = orders.filter(~done).select("o_orderkey", "o_orderpriority", "o_orderstatus")
     write_table(wider, name, path, ["o_orderstatus"])
-    return spark.table(name).select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    return _taken_down(spark, name).select("o_orderkey", "o_orderpriority", "o_orderstatus")
 
 
 @query

@@ -92,12 +92,16 @@ def star_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as raw statistics; descriptions are the whole texts."""
+    """``documents`` as raw statistics; descriptions are the whole texts.
+
+    Three documents in a row, where they are of one language, are the same video on the same day.
+    """
     d = table(spark, sf_dir, "documents")
     key, size = F.col("doc_id"), F.col("n_chars")
+    video = F.floor(key / 3)
     filled = {
-        "video_id": F.concat(F.lit("d"), key % 50),
-        "trending_date": F.concat(F.lit("24."), F.lpad((key % 7 + 1).cast("string"), 2, "0"), F.lit(".01")),
+        "video_id": F.concat(F.lit("d"), video),
+        "trending_date": F.concat(F.lit("24."), F.lpad((video % 7 + 1).cast("string"), 2, "0"), F.lit(".01")),
         "title": F.concat_ws(", ", F.lit('the "text"'), key),
         "channel_title": F.col("source"),
         "category_id": size % 30,
