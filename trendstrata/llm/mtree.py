@@ -12,12 +12,13 @@ each is a subtree of its own, built in one task from the vectors nearest to it
 objects with covering radius and distance to their parent, and leaf pages of
 vectors with distance to their parent.
 
-Search.  A query goes to the subtrees whose ball its current k-th distance
-reaches, starting from the k-th among the routing objects, which are rows
-themselves.  In a subtree pages are visited best-first by the lower bound of
-their distance.  ``|d(q, parent) - d(o, parent)| - radius`` bounds the distance of
-an entry without computing it.  Distances have a slack for rounding and only decide
-what is visited; scores are integers, so results are exact.
+Search.  A query first goes to its nearest subtree alone; the k-th distance found there,
+or that to the k-th routing object (routing objects are rows themselves), then decides which other subtrees'
+balls it reaches.  The queries of a subtree go down its pages together, best-first:
+next comes the page with the least lower bound of any query that still needs it.
+``|d(q, parent) - d(o, parent)| - radius`` bounds the distance of an entry without computing it;
+the distances that are computed are one matrix product per page.  Distances have a
+slack for rounding and only decide what is visited; scores are integers, so results are exact.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendstrata.llm.common import shuffle_parts, stored, table
+from trendstrata.llm.common import runs, shuffle_parts, stored, table
 from trendstrata.llm.vectors import best, matrices, valid
 
 SCALE = 256
@@ -41,7 +42,9 @@ FANOUT_ROWS = 512  # rows per routing object while there are fewer
 SPLIT = 2048  # rows of one subtree
 PAGE = 64  # entries of a page
 LARGEST = 1 << 62  # products of lengths from here on are scored with Python's integers
-SLACK = 1e-9
+SLACK = 1e-7  # of the lengths; distances come from squares
+BLOCK = 512  # queries that go down a subtree together
+EXACT = 1 << 53  # whole numbers below are exact as doubles
 
 
 @dataclass
@@ -90,6 +93,73 @@ class MTree:
         self._longest = math.sqrt((self.values.astype(np.float64) ** 2).sum(1).max())
         self.root = _build(points, np.arange(len(points)), self.centre, np.random.default_rng(len(points)))
 
+    def search_all(self, own: np.ndarray, queries: np.ndarray, limits: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query number, id and score of up to ``k`` best rows of each query within its distance limit, best-first."""
+        lengths = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
+        repeated = len(np.unique(self.ids)) < len(self.ids)
+        if repeated or self._longest * lengths.max(initial=0.0) >= EXACT:
+            found = [(i, one, score) for i, q in enumerate(queries) for score, one in self.search(int(own[i]), q, limits[i], k)]
+            return tuple(np.array(c, np.int64) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        q = queries.astype(np.float64)
+        square = lengths**2
+        slack = SLACK * (1 + lengths + math.sqrt(self._square))
+        limit = limits.astype(np.float64)
+        tops = np.full((len(q), k), -np.inf)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def away(points: np.ndarray, which: np.ndarray) -> np.ndarray:
+            """Distances of queries, whose last coordinate is 0, and points."""
+            d = square[which][:, None] - 2 * q[which] @ points[:, :-1].T + (points**2).sum(1)[None]
+            return np.sqrt(np.maximum(d, 0.0))
+
+        everyone = np.arange(len(q))
+        queue = [(0.0, 0, self.root, everyone, away(self.centre[None], everyone)[:, 0], np.zeros(len(q)))]
+        number = 0
+        while queue:
+            _, _, page, which, to_parent, lower = heapq.heappop(queue)
+            still = lower <= limit[which] + slack[which]
+            which, to_parent = which[still], to_parent[still]
+            if len(which) == 0:
+                continue
+            reach = (limit + slack)[which][:, None]
+            radius = 0.0 if page.radius is None else page.radius[None]
+            near = np.abs(to_parent[:, None] - page.parent[None]) - radius <= reach
+            self.computed += int(near.sum())
+            if page.rows is None:
+                d = away(page.centres, which)
+                bound = np.maximum(d - page.radius[None], 0.0)
+                near &= bound <= reach
+                for i in np.flatnonzero(near.any(0)):
+                    some = near[:, i]
+                    number += 1
+                    heapq.heappush(queue, (bound[some, i].min(), number, page.below[i], which[some], d[some, i], bound[some, i]))
+                continue
+            scores = q[which] @ self.values[page.rows].astype(np.float64).T
+            ids = self.ids[page.rows]
+            good = near & (scores >= tops[which][:, -1:]) & (ids[None] != own[which][:, None])
+            rows, columns = np.nonzero(good)
+            if len(rows) == 0:
+                continue
+            found.append((which[rows], ids[columns], scores[rows, columns]))
+            # Ids are distinct here, so the k-th of all scores so far is a limit.
+            changed = np.unique(rows)
+            both = np.concatenate([tops[which[changed]], np.where(good[changed], scores[changed], -np.inf)], axis=1)
+            tops[which[changed]] = -np.sort(-both, axis=1)[:, :k]
+            kth = tops[which[changed], -1]
+            full = np.isfinite(kth)
+            now = which[changed][full]
+            limit[now] = np.minimum(limit[now], np.sqrt(np.maximum(square[now] + self._square - 2 * kth[full], 0.0)))
+        if not found:
+            return (np.zeros(0, np.int64),) * 3
+        which, ids, scores = (np.concatenate(c) for c in zip(*found, strict=True))
+        kept = scores >= tops[which, -1]
+        which, ids, scores = which[kept], ids[kept], scores[kept].astype(np.int64)
+        order = np.lexsort((ids, -scores, which))
+        which, ids, scores = which[order], ids[order], scores[order]
+        starts, ends = runs(which)
+        first = np.arange(len(which)) - np.repeat(starts, ends - starts) < k
+        return which[first], ids[first], scores[first]
+
     def search(self, own: int, query: np.ndarray, limit: float, k: int) -> list[tuple[int, int]]:
         """Up to ``k`` best ``(score, id)`` within distance ``limit``, best-first."""
         point = np.append(query.astype(np.float64), 0.0)
@@ -200,43 +270,55 @@ def _assigner(root):
     return run
 
 
-def _router(root, radii, k: int):
-    """For each query the subtrees that may hold one of its best, with the limit the routing objects give."""
+ROUTED = "node long, part int, kind int, limit double, q long, vec_id long, vec array<bigint>"
+
+
+def _router(root, radii, k: int, nearest: bool):
+    """For each query its nearest subtree, or all others that may hold one of its best.
+
+    Queries are ``q, vec_id, limit, vec``; the k-th routing object may lower the limit.
+    """
+    names = [part.split()[0] for part in ROUTED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         page = root.value
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, given = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for rows, x in matrices(batch):
                 dim = x.shape[1]
-                out_rows, out_node, out_part, out_limit = [], [], [], []
+                limit = given[rows].copy()
                 if dim in page.values:
                     pivots = on_sphere(page.values[dim], page.square)
                     nodes = page.first[dim] + np.arange(len(pivots))
-                for i, row in enumerate(rows):
-                    limit, reached = math.inf, [-dim]
-                    if dim in page.values:
-                        point = np.append(x[i].astype(np.float64), 0.0)
-                        away = _distance(pivots, point)
-                        others = np.sort(away[page.ids[dim] != ids[row]])
-                        # Distinct ids only: a repeated row must not stand for two candidates.
-                        if len(others) >= k and len(np.unique(page.ids[dim])) == len(pivots):
-                            limit = float(others[k - 1])
-                        slack = SLACK * (1 + float(away.max()))
+                    points = x.astype(np.float64)
+                    square = (points**2).sum(1)
+                    away = np.sqrt(np.maximum(square[:, None] - 2 * points @ pivots[:, :-1].T + (pivots**2).sum(1)[None], 0.0))
+                    # Distinct ids only: a repeated row must not stand for two candidates.
+                    if len(np.unique(page.ids[dim])) == len(pivots) > k:
+                        others = np.where(page.ids[dim][None] == ids[rows][:, None], np.inf, away)
+                        limit = np.minimum(limit, np.partition(others, k - 1, axis=1)[:, k - 1])
+                    own = away.argmin(1)
+                    if nearest:
+                        which, reached = np.arange(len(rows)), nodes[own]
+                    else:
+                        slack = SLACK * (1 + np.sqrt(square) + math.sqrt(page.square))
                         ball = np.array([radii.value.get(int(n), (0.0, 0))[0] for n in nodes])
-                        reached = nodes[away - ball <= limit + slack].tolist()
-                    for node in reached:
-                        for part in range(radii.value.get(int(node), (0.0, 0))[1]):
-                            out_rows.append(row)
-                            out_node.append(node)
-                            out_part.append(part)
-                            out_limit.append(limit)
-                some = batch.take(pa.array(np.array(out_rows, np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(out_node, np.int64)), pa.array(np.array(out_part, np.int32)),
-                     pa.array(np.ones(len(out_rows), np.int32)), pa.array(np.array(out_limit, np.float64)), some.column(0), some.column(1)],
-                    ["node", "part", "kind", "limit", "vec_id", "vec"],
-                )
+                        near = away - ball[None] <= (limit + slack)[:, None]
+                        near[np.arange(len(rows)), own] = False
+                        which, columns = np.nonzero(near)
+                        reached = nodes[columns]
+                else:
+                    which = np.arange(len(rows)) if nearest else np.zeros(0, np.int64)
+                    reached = np.full(len(which), -dim)
+                parts = np.array([radii.value.get(int(n), (0.0, 0))[1] for n in reached], np.int64)
+                which, reached = np.repeat(which, parts), np.repeat(reached, parts)
+                part = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
+                some = batch.take(pa.array(rows[which]))
+                columns = [
+                    pa.array(reached.astype(np.int64)), pa.array(part.astype(np.int32)), pa.array(np.ones(len(which), np.int32)),
+                    pa.array(limit[which]), some.column(0), some.column(1), some.column(3),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -245,26 +327,44 @@ def _searcher(k: int, square: float):
     """Stream over rows sorted by subtree, its vectors before the queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held, tree = None, [], None
+        current, tree = None, None
+        held: list[pa.RecordBatch] = []  # the rows of one kind of the current subtree
+
+        def vectors() -> tuple[np.ndarray, pa.Table]:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            vec = rows.column(6)
+            return vec.flatten().to_numpy().reshape(len(rows), -1), rows
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            nonlocal tree
+            if not held:
+                return
+            x, rows = vectors()
+            if current[2] == 0:
+                tree = MTree(rows.column(5).to_numpy(), x, square, None)
+            elif tree is not None:
+                own, q = rows.column(5).to_numpy(), rows.column(4).to_numpy()
+                which, ids, scores = tree.search_all(own, x, rows.column(3).to_numpy(), k)
+                columns = [pa.array(c.astype(np.int64)) for c in (q[which], own[which], ids, scores)]
+                yield pa.RecordBatch.from_arrays(columns, ["q", "query_id", "vec_id", "score"])
+            held.clear()
+
         for batch in batches:
-            out: list[tuple[int, int, int]] = []
-            node, part, kind, limit, ids = (batch.column(i).to_numpy() for i in range(5))
-            vec = batch.column(5)
-            for i in range(batch.num_rows):
-                at = (node[i], part[i])
-                if at != current:
-                    current, held, tree = at, [], None
-                value = vec[i].values.to_numpy()
-                if kind[i] == 0:
-                    held.append((ids[i], value))
+            keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], 1)
+            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            for lo, hi in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+                if hi == lo:
                     continue
-                if not held:
-                    continue
-                if tree is None:
-                    tree = MTree(np.array([h[0] for h in held]), np.array([h[1] for h in held], np.int64), square, None)
-                out += [(int(ids[i]), one, score) for score, one in tree.search(int(ids[i]), value.astype(np.int64), limit[i], k)]
-            columns = list(zip(*out, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+                at = tuple(keys[lo].tolist())
+                if at != current:
+                    yield from flushed()
+                    if current is None or at[:2] != current[:2]:
+                        tree = None
+                    current = at
+                held.append(batch.slice(lo, hi - lo))
+                if current[2] == 1 and sum(len(h) for h in held) >= BLOCK:
+                    yield from flushed()
+        yield from flushed()
 
     return run
 
@@ -281,9 +381,11 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: int = SC
     """
     spark = vectors.sparkSession
     rows, asked = scaled(vectors, scale), scaled(queries, scale)
+    asked = stored(asked.select(F.monotonically_increasing_id().alias("q"), "vec_id", "vec"), "queries")
     norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     count, square = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
-    root = root_page(rows, count, square or 0.0)
+    square = square or 0.0
+    root = root_page(rows, count, square)
     page = spark.sparkContext.broadcast(root)
     placed = stored(rows.mapInArrow(_assigner(page), "node long, away double, vec_id long, vec array<bigint>"), "mtree")
     # At most PIVOTS nodes and one per length without a routing object.
@@ -296,16 +398,26 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int, scale: int = SC
         F.pmod(F.xxhash64("vec_id"), F.col("_parts")).cast("int").alias("part"),
         F.lit(0).alias("kind"),
         F.lit(0.0).alias("limit"),
+        F.lit(0).cast("long").alias("q"),
         "vec_id",
         "vec",
     )
-    routed = asked.mapInArrow(
-        _router(page, radii, k), "node long, part int, kind int, limit double, vec_id long, vec array<bigint>"
-    )
-    met = data.unionByName(routed)
-    met = met.repartition(shuffle_parts(spark), "node", "part").sortWithinPartitions("node", "part", "kind")
-    found = met.mapInArrow(_searcher(k, square or 0.0), "query_id long, vec_id long, score long")
-    return best(found, k, ascending=False)
+
+    def searched(limited: DataFrame, nearest: bool) -> DataFrame:
+        routed = limited.select("q", "vec_id", "limit", "vec").mapInArrow(_router(page, radii, k, nearest), ROUTED)
+        met = data.unionByName(routed).repartition(shuffle_parts(spark), "node", "part")
+        found = met.sortWithinPartitions("node", "part", "kind").mapInArrow(
+            _searcher(k, square), "q long, query_id long, vec_id long, score long"
+        )
+        return stored(found, "found")
+
+    first = searched(asked.withColumn("limit", F.lit(float("inf"))), nearest=True)
+    kth = best(first.withColumn("query_id", F.col("q")), k, ascending=False)
+    kth = kth.filter(F.col("rank") == k).select(F.col("query_id").alias("q"), "score")
+    far = F.sqrt(F.greatest(norm + F.lit(square) - 2 * F.col("score").cast("double"), F.lit(0.0)))
+    limited = asked.join(kth, "q", "left").withColumn("limit", F.coalesce(far, F.lit(float("inf"))))
+    second = searched(limited, nearest=False)
+    return best(first.unionByName(second), k, ascending=False)
 
 
 def op10_mtree(spark, sf_dir: str) -> DataFrame:
