@@ -10,10 +10,12 @@ its shard key, and equal windows always meet in one shard.
 2. Shards left with different runs (or one run that repeats a gram) get
    the bytes of one run per content.  A suffix array by Larsson-Sadakane
    refinement, and Kasai's common prefixes of neighbours, show the windows that occur twice.
-3. A shard of more than ``SHARD`` bytes is cut into parts of their own.  The parts' distinct windows are merged in order of their digests,
-   where equal ones of different parts lie side by side.
+3. A shard of more than ``SHARD`` bytes is cut into parts of their own.  Each part passes on its distinct
+   windows as sorted arrays, cut at the same digests in all parts.  Arrays of the same range
+   are merged two by two, each looking up its entries in the other by binary search.
 
-Nothing is compared pair by pair, and the work is in proportion to the bytes.
+Nothing is compared pair by pair, and the work is in proportion to the bytes.  Equal
+windows are told by two 64-bit hashes, their shard's and their own.
 """
 
 from __future__ import annotations
@@ -115,15 +117,36 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 # kind 0: bytes lo..hi of a document repeat; 1: a run whose bytes are needed
-# (settled: all its windows are known to repeat); 2: a window to merge, with its digest in c.
-FOUND = "kind int, v long, c long, did long, h long, lo int, hi int, settled boolean"
-_NAMES = ["kind", "v", "c", "did", "h", "lo", "hi", "settled"]
+# (settled: all its windows are known to repeat; crowded: its shard is in several parts, which do not know of
+# each other); 2: a part's windows of the range of digests in c, sorted and packed.
+FOUND = "kind int, v long, c long, did long, h long, lo int, hi int, settled boolean, crowded boolean, packed binary"
+_NAMES = ["kind", "v", "c", "did", "h", "lo", "hi", "settled", "crowded", "packed"]
 
 
-def _rows(kind: int, v, c, did, h, lo, hi, settled) -> pa.RecordBatch:
+def _rows(kind: int, v, c, did, h, lo, hi, settled, crowded=None, packed: list[bytes] | None = None) -> pa.RecordBatch:
     n = len(did)
-    columns = [np.full(n, kind, np.int32), v, c, did, h, np.asarray(lo, np.int32), np.asarray(hi, np.int32), np.asarray(settled, bool)]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _NAMES)
+    crowded = np.zeros(n, bool) if crowded is None else np.asarray(crowded, bool)
+    columns = [np.full(n, kind, np.int32), v, c, did, h, np.asarray(lo, np.int32), np.asarray(hi, np.int32), np.asarray(settled, bool), crowded]
+    packed_ = pa.nulls(n, pa.binary()) if packed is None else pa.array(packed, pa.binary())
+    return pa.RecordBatch.from_arrays([*[pa.array(x) for x in columns], packed_], _NAMES)
+
+
+# A window of a part: its digest, which of the part's stretches it lies in, its first byte there, whether it is known to repeat.
+_WINDOW = np.dtype([("c", "<u8"), ("of", "<u4"), ("at", "<u4"), ("settled", "?")])
+_STRETCH = np.dtype([("did", "<i8"), ("h", "<i8")])
+
+
+def _packed(windows: np.ndarray, did: np.ndarray, h: np.ndarray) -> bytes:
+    used, windows["of"] = np.unique(windows["of"], return_inverse=True)
+    stretches = np.zeros(len(used), _STRETCH)
+    stretches["did"], stretches["h"] = did[used], h[used]
+    return np.array([len(used)], "<i8").tobytes() + stretches.tobytes() + windows.tobytes()
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    stretches = np.frombuffer(data, _STRETCH, n, 8)
+    return stretches, np.frombuffer(data, _WINDOW, offset=8 + n * _STRETCH.itemsize)
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
@@ -158,7 +181,20 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_twice = np.repeat(twice, count)
         yield _rows(0, *(x[all_twice] for x in (v, c, did, h, lo, hi)), np.ones(all_twice.sum()))
         one = first[needed]
-        yield _rows(1, *(x[one] for x in (v, c, did, h, lo, hi)), twice[needed])
+        yield _rows(1, *(x[one] for x in (v, c, did, h, lo, hi)), twice[needed], parts[one] > 1)
+
+
+def _settle_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contents that several parts of a shard hold, over rows sorted by shard and content: one of each goes on."""
+    for batch in _whole_groups(batches, 2):
+        v, c, did, h, lo, hi, settled = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
+        first = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (c[1:] != c[:-1])]))
+        count = np.diff([*first, len(v)])
+        twice = np.repeat(count >= 2, count)
+        told = twice & ~settled
+        yield _rows(0, *(x[told] for x in (v, c, did, h, lo, hi)), np.ones(told.sum()))
+        known = np.logical_or.reduceat(settled, first) | (count >= 2) if len(first) else np.zeros(0, bool)
+        yield _rows(1, *(x[first] for x in (v, c, did, h, lo, hi)), known)
 
 
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -278,10 +314,19 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowded = np.flatnonzero((parts[of] > 1) & ~later & (np.arange(len(text)) + LENGTH <= (begin + sizes)[of]))
         if len(crowded):
             view, digest = memoryview(np.ascontiguousarray(text)), xxhash.xxh3_64_intdigest
-            c = np.array([digest(view[p : p + LENGTH]) for p in crowded.tolist()], np.uint64).view(np.int64)
             k = of[crowded]
-            at = crowded + lo[k] - begin[k]
-            yield _rows(2, v[k], c, did[k], h[k], at, at + LENGTH, settled[k] | again[crowded])
+            windows = np.zeros(len(crowded), _WINDOW)
+            windows["c"] = [digest(view[p : p + LENGTH]) for p in crowded.tolist()]
+            windows["of"], windows["at"], windows["settled"] = k, crowded + lo[k] - begin[k], settled[k] | again[crowded]
+            # As many ranges as the shard has parts, so that a merge sees about as much as a part.
+            spread = (windows["c"] >> np.uint64(32)) * parts[k].astype(np.uint64) >> np.uint64(32)
+            order = np.lexsort((windows["c"], spread, v[k]))
+            windows, shard, spread = windows[order], v[k][order], spread[order].astype(np.int64)
+            starts = np.flatnonzero(np.concatenate([[True], (shard[1:] != shard[:-1]) | (spread[1:] != spread[:-1])]))
+            ends = np.append(starts[1:], len(windows))
+            packed = [_packed(windows[a:b].copy(), did, h) for a, b in zip(starts, ends, strict=True)]
+            none = np.zeros(len(starts), np.int64)
+            yield _rows(2, shard[starts], spread[starts], none, none, none, none, none, packed=packed)
 
     held, size = [], 0
     for batch in _whole_groups(batches, 2):
@@ -302,13 +347,45 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from solve(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
 
+def _both(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted digests of two arrays, and those of them that occur twice: the entries of one are looked up in the other."""
+    (a, a_twice), (b, b_twice) = (one, other) if len(one[0]) >= len(other[0]) else (other, one)
+    at = np.searchsorted(a, b)
+    common = a[np.minimum(at, len(a) - 1)] == b
+    fresh = ~common
+    return np.insert(a, at[fresh], b[fresh]), np.unique(np.concatenate([a_twice, b_twice, b[common]]))
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3 over windows sorted by shard and digest: those that lie side by side repeat."""
-    for batch in _whole_groups(batches, 2):
-        v, c, did, h, lo, hi, settled = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
-        equal = (v[1:] == v[:-1]) & (c[1:] == c[:-1])
-        twice = (np.append(equal, False) | np.concatenate([[False], equal])) & ~settled
-        yield _rows(0, *(x[twice] for x in (v, c, did, h, lo, hi)), np.ones(twice.sum()))
+    """Step 3 over packed arrays, sorted by shard and range: windows that other parts hold too."""
+
+    def solve(v: int, packed: list[bytes]) -> pa.RecordBatch:
+        parts = [_unpacked(p) for p in packed]
+        arrays = [(windows["c"], windows["c"][:0]) for _, windows in parts]
+        while len(arrays) > 1:
+            arrays = [_both(*arrays[i : i + 2]) if i + 1 < len(arrays) else arrays[i] for i in range(0, len(arrays), 2)]
+        twice = arrays[0][1]
+        found = []
+        for stretches, windows in parts:
+            at = np.searchsorted(twice, windows["c"])
+            hit = windows[(at < len(twice)) & ~windows["settled"]]
+            at = np.searchsorted(twice, hit["c"])
+            hit = hit[twice[at] == hit["c"]] if len(twice) else hit[:0]
+            found.append((stretches["did"][hit["of"]], stretches["h"][hit["of"]], hit["at"].astype(np.int64)))
+        did, h, lo = (np.concatenate(c) for c in zip(*found, strict=True))
+        same = np.full(len(did), v, np.int64)
+        return _rows(0, same, same, did, h, lo, lo + LENGTH, np.ones(len(did)))
+
+    current, held = None, []
+    for batch in batches:
+        for v, c, packed in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if (v, c) != current:
+                if len(held) > 1:
+                    yield solve(current[0], held)
+                current, held = (v, c), []
+            held.append(packed)
+    if len(held) > 1:
+        yield solve(current[0], held)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -342,7 +419,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     dealt = dealt.select("v", "part", "parts", "c", "did", "h", "lo", "hi", "multi")
     first = stored(_dealt(dealt, ["v", "part"], ["c"]).mapInArrow(_settle, FOUND), "settled")
 
-    needed = first.filter("kind = 1").drop("kind", "c")
+    columns = ["v", "c", "did", "h", "lo", "hi", "settled"]
+    chosen = first.filter("kind = 1")
+    across = stored(_dealt(chosen.filter("crowded").select(*columns), ["v", "c"], []).mapInArrow(_settle_parts, FOUND), "across")
+    needed = chosen.filter("NOT crowded").select(*columns).unionAll(across.filter("kind = 1").select(*columns)).drop("c")
     sizes = needed.groupBy("v").agg(F.sum((F.col("hi") - F.col("lo")).cast("long")).alias("_bytes"))
     crowded = stored(
         sizes.filter(F.col("_bytes") > SHARD).select("v", F.ceil(F.col("_bytes") / SHARD).cast("int").alias("_parts")),
@@ -351,12 +431,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     needed = needed.join(crowded, "v", "left").withColumn("parts", F.coalesce("_parts", F.lit(1)))
     needed = needed.withColumn("part", F.pmod(F.xxhash64("did", "h", "lo", F.lit(3)), F.col("parts")).cast("int"))
     bytes_ = F.substring(F.col("text").cast("binary"), F.col("lo") + 1, F.col("hi") - F.col("lo"))
-    pieces = needed.join(texts, ["did", "h"]).select("v", "part", "parts", "did", "h", "lo", "settled", bytes_.alias("bytes"))
+    # One text per id and digest, so that repeated rows do not bring their bytes once each.
+    pieces = needed.join(texts.dropDuplicates(["did", "h"]), ["did", "h"])
+    pieces = pieces.select("v", "part", "parts", "did", "h", "lo", "settled", bytes_.alias("bytes"))
     second = stored(_dealt(pieces, ["v", "part"], []).mapInArrow(_arrays, FOUND), "arrays")
-    windows = second.filter("kind = 2").select("v", "c", "did", "h", "lo", "hi", "settled")
+    windows = second.filter("kind = 2").select("v", "c", "packed")
     third = _dealt(windows, ["v", "c"], []).mapInArrow(_merge, FOUND)
-    parts = [x.filter("kind = 0").select("did", "h", "lo", "hi") for x in (first, second, third)]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    parts = [x.filter("kind = 0").select("did", "h", "lo", "hi") for x in (first, across, second, third)]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
