@@ -13,7 +13,7 @@ import public_tokenizers
 from brute import covered, jaccard_classes
 from oracle import connect, differences
 
-from trendstrata.llm import jaccard, language, mixing, suffixes
+from trendstrata.llm import jaccard, language, mixing, pieces, suffixes
 from trendstrata.llm.queries import ORACLES, QUERIES
 
 
@@ -51,6 +51,46 @@ def test_sentencepiece(spark, sf_dir, documents):
             assert row["ids"] == library.encode(text)
 
 
+def _plain_viterbi(model, text):
+    """Best segmentation of a whole text with all positions at hand."""
+    text = model.prefix + text.replace(" ", pieces.SPACE)
+    best, back = [0.0] + [-np.inf] * len(text), [0] * (len(text) + 1)
+    for at in range(len(text)):
+        for end in range(at + 1, min(at + model.longest, len(text)) + 1):
+            known = model.scores.get(text[at:end])
+            score = known[0] if known else model.worst if end == at + 1 else None
+            if score is not None and best[at] + score > best[end]:
+                best[end], back[end] = best[at] + score, at
+    cuts = [len(text)]
+    while cuts[-1]:
+        cuts.append(back[cuts[-1]])
+    cuts.reverse()
+    return [i for a, b in zip(cuts, cuts[1:], strict=False) for i in model._ids(text[a:b])]
+
+
+def test_sentencepiece_of_long_texts(documents):
+    """The streaming encoder against a plain one, fed in parts of any size."""
+    model = pieces.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = sorted((d["text"] or "" for d in documents), key=len)[-5:]
+    odd = ["x" * 5000, "aaaaab" * 900, "é😀" * 700, "   " * 999, "in" + "ter" * 2000 + " nation", "", " "]
+    for text in [*texts, *odd]:
+        want = _plain_viterbi(model, text) if text else []
+        assert model.encode(text).tolist() == want
+        whole = model.prefix + text.replace(" ", pieces.SPACE) if text else ""
+        for step in (1, 7, 5000):
+            assert list(model.stream(whole[k : k + step] for k in range(0, len(whole), step))) == want
+
+
+def test_the_encoder_holds_little(documents):
+    model = pieces.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    for text in ("ab" * 20_000, max((d["text"] or "" for d in documents), key=len), "x" * 20_000):
+        machine, most = pieces.Viterbi(model), 0
+        for char in text:
+            machine.push(char)
+            most = max(most, len(machine._text))
+        assert most < 20 * model.longest
+
+
 def test_token_files(spark, sf_dir, documents):
     from tokenizers import Tokenizer
 

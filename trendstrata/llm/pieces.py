@@ -7,10 +7,13 @@ spaces as U+2581, nothing else), characters without a piece fall back to bytes.
 
 The encoder reads characters one by one and keeps the scores of one window of
 the longest piece's length.  Back pointers live until all surviving paths run
-through one boundary; ids before it are then final and leave.  Where no piece
-can cross a boundary - before a space that follows another character, for
-vocabularies without inner spaces - all paths meet by construction, so the
-stretches between are encoded on their own and remembered.
+through one boundary; ids before it are then final and leave.  That is so at every
+position which no open piece reaches beyond, which is looked at before each step; where none comes
+for a while, the back pointers of all open positions are followed to where they meet.
+
+Where no piece can cross a boundary - before a space that follows another character, for
+vocabularies without inner spaces - all paths meet by construction.  What the
+encoder has committed for a stretch between two such places is remembered.
 """
 
 from __future__ import annotations
@@ -29,12 +32,99 @@ from trendstrata.llm.common import slices, small_batches, table, text_sizes
 
 SPACE = "▁"  # fixed value of the format
 UNKNOWN_PENALTY = 10.0  # fixed value: what an unknown character costs below the worst piece
-CACHE = 200_000  # stretches whose ids a task remembers
+CACHE = 200_000  # stretches whose ids a worker remembers, some 40 MB
+REMEMBERED = 64  # characters of such a stretch at most
+PART = 4096  # characters of a stream that are looked at together
 SLICE = 1 << 21  # bytes of text between two batches of output
 
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
+class Viterbi:
+    """The streaming encoder: scores of a window, and back pointers since the last boundary that all surviving paths share."""
+
+    def __init__(self, model: Pieces):
+        self._model = model
+        self._clear()
+
+    def _clear(self) -> None:
+        # Position 0 is the last committed boundary; `_best` and `_back` are scores and starts of the best piece up to a position.
+        self._text, self._at, self._reach = "", 0, 0
+        self._best, self._back = [0.0], [0]
+
+    def push(self, chars: str, last: bool = False) -> list[int]:
+        """Ids that are certain once these characters are known, all of them if they are the last."""
+        model = self._model
+        get, worst, longest = model._table.get, model.worst, model.longest
+        text = self._text + chars
+        size = len(text)
+        stop = size if last else size - longest + 1  # a step needs to see the longest piece
+        at, reach, done = self._at, self._reach, 0
+        room = size + 1 - len(self._best)
+        best, back = self._best + [-math.inf] * room, self._back + [0] * room
+        ids: list[int] = []
+        while at < stop:
+            if at == reach and at > done:  # no open piece reaches beyond: all paths run through here
+                self._commit(text, back, done, at, ids)
+                done = at
+            score = best[at]
+            value = get(text[at])
+            value = score + (worst if value is None else value)
+            at += 1
+            if value > best[at]:
+                best[at], back[at] = value, at - 1
+            end = at
+            for end in range(at + 1, min(at - 1 + longest, size) + 1):
+                value = get(text[at - 1 : end], 1.0)
+                if value is None:
+                    continue
+                if value == 1.0:
+                    break
+                value += score
+                if value > best[end]:
+                    best[end], back[end] = value, at - 1
+                if end > reach:
+                    reach = end
+            if at > reach:
+                reach = at
+        if last:
+            if size > done:
+                self._commit(text, back, done, size, ids)
+            self._clear()
+            return ids
+        if at - done > 4 * longest:
+            meet = self._shared(back, [p for p in range(at, reach + 1) if best[p] > -math.inf], done)
+            if meet > done:
+                self._commit(text, back, done, meet, ids)
+                done = meet
+        self._text, self._at, self._reach = text[done:], at - done, reach - done
+        self._best, self._back = best[done : reach + 1], [start - done for start in back[done : reach + 1]]
+        return ids
+
+    def _commit(self, text: str, back: list[int], lo: int, hi: int, ids: list[int]) -> None:
+        scores, cuts = self._model.scores, []
+        while hi > lo:
+            start = back[hi]
+            cuts.append(text[start:hi])
+            hi = start
+        for piece in reversed(cuts):
+            known = scores.get(piece)
+            if known:
+                ids.append(known[1])
+            else:
+                ids += self._model._ids(piece)
+
+    @staticmethod
+    def _shared(back: list[int], open_: list[int], done: int) -> int:
+        """The last boundary that the paths to all open positions run through."""
+        nodes = set(open_)
+        while len(nodes) > 1:
+            last = max(nodes)
+            nodes.remove(last)
+            nodes.add(back[last] if last > done else done)
+        return nodes.pop()
+
+
 class Pieces:
     """Vocabulary, scores and both directions for one model file."""
 
@@ -74,6 +164,7 @@ class Pieces:
             raise ValueError("a score of 1 is no log probability")
         self.divisible = not any(SPACE in p.lstrip(SPACE) for p in self.scores)
         self._known: dict[str, bytes] = {}
+        self._machine = Viterbi(self)
         self._text = [s.replace(SPACE, " ") for s in self.surface]
 
     def _ids(self, piece: str) -> list[int]:
@@ -85,112 +176,21 @@ class Pieces:
         return [self.unknown]
 
     def stream(self, chars: Iterable[str]) -> Iterator[int]:
-        """Ids of a stream of text in parts of any size, each given as soon as it is certain.
-
-        Held: the last ``longest`` characters and scores, and the back pointers
-        since the last boundary that all surviving paths share.
-        """
-        table, worst, longest = self._table, self.worst, self.longest
-        source, text, base, ended = iter(chars), "", 0, False  # `text` starts at position `base`
-        best: dict[int, float] = {0: 0.0}
-        back: dict[int, int] = {}
-        done = at = 0
-        while True:
-            while not ended and len(text) - (at - base) < longest:
-                more = next(source, None)
-                if more is None:
-                    ended = True
-                else:
-                    text += more
-            here = at - base
-            if here >= len(text):
-                break
-            score = best.pop(at)
-            single = table.get(text[here])
-            value = score + (worst if single is None else single)
-            if best.get(at + 1, value - 1) < value:
-                best[at + 1] = value
-                back[at + 1] = at
-            for end in range(here + 2, min(here + longest, len(text)) + 1):
-                known = table.get(text[here:end], 1.0)
-                if known == 1.0:
-                    break
-                if known is not None:
-                    value = score + known
-                    to = base + end
-                    if best.get(to, value - 1) < value:
-                        best[to] = value
-                        back[to] = at
-            at += 1
-            if at % longest == 0:
-                meet = self._shared(back, best, done)
-                if meet > done:
-                    yield from self._path(back, text, base, done, meet)
-                    back = {end: start for end, start in back.items() if end > meet}
-                    text, base, done = text[meet - base :], meet, meet
-        if at > done:
-            yield from self._path(back, text, base, done, at)
-
-    @staticmethod
-    def _shared(back: dict[int, int], best: dict[int, float], done: int) -> int:
-        """The last boundary that the paths to all open positions run through."""
-        nodes = set(best)
-        while len(nodes) > 1:
-            last = max(nodes)
-            nodes.remove(last)
-            nodes.add(back[last] if last > done else done)
-        return nodes.pop()
-
-    def _path(self, back: dict[int, int], text: str, base: int, lo: int, hi: int) -> Iterator[int]:
-        cuts = [hi]
-        while cuts[-1] > lo:
-            cuts.append(back[cuts[-1]])
-        cuts.reverse()
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield from self._ids(text[a - base : b - base])
-
-    def _short(self, text: str) -> list[int]:
-        """What ``stream`` gives for a text of a few windows, with all of it at hand."""
-        get, longest, size = self._table.get, self.longest, len(text)
-        best, back = [-math.inf] * (size + 1), [0] * (size + 1)
-        best[0] = 0.0
-        for at in range(size):
-            score = best[at]
-            value = get(text[at])
-            value = score + (self.worst if value is None else value)
-            if value > best[at + 1]:
-                best[at + 1], back[at + 1] = value, at
-            for end in range(at + 2, min(at + longest, size) + 1):
-                value = get(text[at:end], 1.0)
-                if value is None:
-                    continue
-                if value == 1.0:
-                    break
-                value += score
-                if value > best[end]:
-                    best[end], back[end] = value, at
-        ids, end = [], size
-        while end:
-            ids.append(text[back[end] : end])
-            end = back[end]
-        scores, out = self.scores, []
-        for piece in reversed(ids):
-            known = scores.get(piece)
-            if known:
-                out.append(known[1])
-            else:
-                out += self._ids(piece)
-        return out
+        """Ids of a stream of text in parts of any size, each given as soon as it is certain."""
+        machine = Viterbi(self)
+        for part in chars:
+            for lo in range(0, len(part), PART):
+                yield from machine.push(part[lo : lo + PART])
+        yield from machine.push("", last=True)
 
     def _stretch(self, stretch: str) -> bytes:
-        ids = self._short(stretch) if len(stretch) <= 64 else np.fromiter(self.stream((stretch,)), "<i4")
-        coded = np.array(ids, "<i4").tobytes()
-        if len(self._known) < CACHE and len(stretch) <= 64:
-            self._known[stretch] = coded
-        return coded
-
-    def forget(self) -> None:
-        self._known.clear()
+        """Ids of a stretch, committed by the machine; those of a short one are remembered."""
+        if len(stretch) <= REMEMBERED:
+            coded = np.array(self._machine.push(stretch, last=True), "<i4").tobytes()
+            if len(self._known) < CACHE:
+                self._known[stretch] = coded
+            return coded
+        return np.fromiter(self.stream((stretch,)), "<i4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
@@ -239,7 +239,6 @@ def _encoder(path: str):
                 ends = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(coded)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
-        model.forget()  # the worker lives on and serves other stages
 
     return run
 
