@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendstrata.llm import jaccard, language, mixing, pieces, suffixes
@@ -49,12 +49,34 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Rows that repeat an id, source and size share their takes evenly, the first ones getting the rest.
     keys = ["doc_id", "source", "size"]
     share = taken.withColumn("_times", times).groupBy(*keys).agg(F.sum("_times").alias("_times"), F.count(F.lit(1)).alias("_rows"))
-    share = share.select(*[F.col(k).alias(f"_{k}") for k in keys], "_times", "_rows")
+    names = _unused(docs.columns, "id", "source", "size", "times", "rows", "words", "copies")
+    share = share.select(*[F.col(k).alias(names[k.removeprefix("doc_")]) for k in keys], *[F.col(f"_{k}").alias(names[k]) for k in ("times", "rows")])
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
-    joined = docs.withColumn("_words", words).join(share, same)
-    each = F.ceil(F.col("_times") / F.col("_rows")).cast("int")
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), each))).select(*docs.columns)
+    same = F.col("doc_id").eqNullSafe(F.col(names["id"])) & F.col("source").eqNullSafe(F.col(names["source"]))
+    same &= F.col(names["words"]) == F.col(names["size"])
+    measured = docs.withColumn(names["words"], words)
+    once = measured.join(share.filter(F.col(names["rows"]) == 1), same).withColumn(names["copies"], F.col(names["times"]).cast("long"))
+    # Equal rows are one with a number, so that a row that many repeat does not meet itself in one task.
+    shared = measured.join(share.filter(F.col(names["rows"]) > 1), same)
+    shared = shared.groupBy(*shared.columns).agg(F.count(F.lit(1)).alias(names["copies"]))
+    before = Window.partitionBy(*[names[k.removeprefix("doc_")] for k in keys]).orderBy(*docs.columns).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum(names["copies"]).over(before), F.lit(0))
+    rest = F.greatest(F.least(F.col(names["times"]) % F.col(names["rows"]) - earlier, F.col(names["copies"])), F.lit(0))
+    each = F.floor(F.col(names["times"]) / F.col(names["rows"])) * F.col(names["copies"]) + rest
+    every = once.unionByName(shared.withColumn(names["copies"], each.cast("long")))
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col(names["copies"]).cast("int")))
+    return every.withColumn(names["copies"], repeated).select(*docs.columns)
+
+
+def _unused(columns: list[str], *wanted: str) -> dict[str, str]:
+    """A name for each of ``wanted`` that no column has."""
+    taken, names = {c.lower() for c in columns}, {}
+    for name in wanted:
+        own = f"_{name}"
+        while own in taken:
+            own = f"_{own}"
+        names[name] = own
+    return names
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
