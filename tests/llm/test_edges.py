@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import corpus_pipeline
@@ -230,3 +231,79 @@ def test_large_alike_group(spark):
     rows = [(i, " ".join([*base[:150], f"w{i}", *base[150:]])) for i in range(700)]
     found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["class_id"] for r in found} == {0} and {r["n_links"] for r in found} == {699}
+
+
+def test_source_mix_shares_the_rest_among_repeated_rows(spark):
+    """Sixty equal rows of a small source, and a large one that the mix takes less of; columns with names of our own."""
+    columns = "doc_id long, text string, lang string, source string, n_chars long, _words long, _times string, _copies int, _rows int, _doc_id int"
+    small = [(7, "ten words " * 5, "en", "a", 50, 1, "x", 2, 3, 4)] * 60
+    large = [(100 + k, "some other words here " * 20, "en", "b", 440, 1, "x", 2, 3, 4) for k in range(20)]
+    odd = [(7, "ten other " * 5, "en", "a", 50, 1, "x", 2, 3, 4), (None, None, None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(small + large + odd, columns)
+    taken = {}
+    for r in mixing.taken_per_document(mixing.mix(docs)).collect():
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    kept = corpus_pipeline.source_mix(spark, docs, "")
+    assert kept.columns == docs.columns
+    words = {}
+    for r in kept.collect():
+        words[r["source"]] = words.get(r["source"], 0) + len((r["text"] or "").split())
+    assert abs(words["a"] - taken["a"]) <= 10 and words[None] == 0
+    assert corpus_pipeline.source_mix(spark, docs.limit(0), "").count() == 0
+
+
+def test_archives_of_large_records(spark):
+    """Records of 5 MB: files are cut by bytes, and an offset that its address cannot hold is an error."""
+    assert warc.files_for(512, 512 * 5_000_000) == 10 and warc.files_for(0, 0) == 1 and warc.files_for(5000, 10**6) == 10
+    sizes = [(k, 5_000_000, f"{k:064x}", f"{k * 8_388_608:08x}0000") for k in range(512)]
+    records = spark.createDataFrame(sizes, "page_id long, length long, digest string, _place string")
+    placed = warc.addressed(records, warc.files_for(512, 512 * 5_000_000)).collect()
+    assert max(r["offset"] for r in placed) < 1 << 28 and len({r["address"] for r in placed}) == 512
+    with pytest.raises(Exception, match="ask for more files"):
+        warc.addressed(records, 1).collect()
+
+
+def test_archives_of_odd_pages(spark):
+    rows = [(1, "u", "é" * 300_000, 0), (1, "u", "é" * 300_000, 1), (None, None, None, 2), (2, "", "", 3), (3, "u", "x" * 3_000_000, 4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, address int")
+    record = warc.warc_record(F.col("url"), F.col("html"))
+    place = F.md5(F.concat_ws("|", F.col("page_id").cast("string"), "url"))
+    records = pages.select("page_id", F.octet_length(record).cast("long").alias("length"), warc.digest(record).alias("digest"), place.alias("_place"))
+    leaves = warc.addressed(records, 2).select("address", "digest")
+    assert leaves.count() == 5 and warc.audit(leaves, leaves).count() == 0
+    changed = leaves.withColumn("digest", F.when(F.col("digest") == leaves.first()["digest"], F.lit("0")).otherwise(F.col("digest")))
+    assert {r["kind"] for r in warc.audit(leaves, changed).collect()} == {"altered"}
+
+
+def test_queries_that_hashing_does_not_serve_are_bounded(spark):
+    rows = [(k, [float(k % 3), float(k)]) for k in range(9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert neighbours.nearest_neighbours(df, df.limit(2), 20).count() == 7  # the zero vector takes no part
+    with pytest.raises(ValueError, match="pass pairs="):
+        neighbours.nearest_neighbours(df, df.limit(2), 20, pairs=5)
+
+
+def test_language_equals_plain_compression(spark):
+    """Each text against each language's dictionary, one at a time."""
+    import zstandard
+
+    rows = [(k, _text(40, k) if k % 2 else "the quick brown fox jumps over it " * 6, "xx" if k % 2 else "en", "s") for k in range(60)]
+    rows += [(100, None, "en", "s"), (101, "1234 !", "xx", "s"), (102, "", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    known = language.trained(df)
+    found = {r["doc_id"]: (r["lang_pred"], r["score"], r["rejected"]) for r in language.predict(df, known).collect()}
+    for doc_id, text, _, _ in rows:
+        plain = language.cleaned(text or "").strip()
+        if not plain:
+            assert found[doc_id] == (language.UNKNOWN, 0.0, True)
+            continue
+        data, sizes = plain.encode(), {}
+        for name, content in sorted(known.items()):
+            words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            coder = zstandard.ZstdCompressor(
+                dict_data=words, level=language.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False
+            )
+            sizes[name] = sum(len(coder.compress(data[i : i + language.CHUNK])) for i in range(0, len(data), language.CHUNK))
+        best, second = sorted(sizes.values())[:2]
+        margin = (second - best) / second
+        assert found[doc_id] == (min(sizes, key=sizes.get), margin, margin < language.NARROW)

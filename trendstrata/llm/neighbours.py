@@ -43,6 +43,7 @@ WIDTH = 2.0  # cell width in units of the sample's spread
 SAMPLE = 4096  # rows that set the spread, those with the smallest hash
 TRIED = 64  # queries that set the number of projections, those with the smallest hash
 WANTED = 0.95  # share of their nearest in visited buckets, above the 0.9 required since it is a sample's
+PAIRS = 10**11  # of a query and a row that may be compared where hashing does not serve
 SPLIT = 8192  # vectors of a bucket in one task
 CHUNK = 2048  # vectors compared at once
 HELD = 50_000  # queries whose nearest a task holds before it emits them
@@ -325,7 +326,14 @@ def exact_neighbours(data: DataFrame, asked: DataFrame, k: int, rows: int) -> Da
     return _met(placed(data, 1, blocks, groups), placed(asked, 0, groups, blocks), k)
 
 
-def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def _few(asked: DataFrame, rows: int, pairs: int) -> DataFrame:
+    """``asked``, if it can be compared with all rows."""
+    if (queries := asked.count()) * rows > pairs:
+        raise ValueError(f"{queries} queries need to be compared with all {rows} rows: pass pairs={queries * rows} to have that done")
+    return asked
+
+
+def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int, pairs: int = PAIRS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found, or all candidates if fewer, by exact Euclidean distance.
 
     Both sides have ``vec_id, embedding``.  Rows without an id, and vectors that
@@ -333,6 +341,10 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFr
     Only vectors of a query's own length are candidates, never those with its
     id; rows that repeat an id count once, by the nearest.  Equal distances go
     by id.  An empty table gives no rows.
+
+    Where no number of projections finds enough of a sample's neighbours, and for queries
+    whose buckets hold fewer than ``k`` rows, queries are compared with all rows.  That is work of queries
+    times rows: above ``pairs`` of them it is an error.
     """
     kind = element(vectors)
     data, asked = valid(vectors), valid(queries)
@@ -341,7 +353,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFr
     rows = data.count()
     m = projections_for(data, asked, k, cells(rows), width)
     if m == 0:
-        return exact_neighbours(data, asked, k, rows)
+        return exact_neighbours(data, _few(asked, rows, pairs), k, rows)
     schema = f"key long, kind int, id long, vec {array}"
     crowded = (
         data.mapInArrow(_keys(m, width), "key long, n long")
@@ -359,7 +371,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFr
     short = stored(asked.join(full, asked["vec_id"] == full["query_id"], "left_anti"), "short")
     if short.isEmpty():
         return found
-    return found.join(full, "query_id", "left_semi").select(*found.columns).unionByName(exact_neighbours(data, short, k, rows))
+    return found.join(full, "query_id", "left_semi").select(*found.columns).unionByName(exact_neighbours(data, _few(short, rows, pairs), k, rows))
 
 
 def op7_neighbours(spark, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from trendstrata.llm.common import stored, table
 SHIFTS = (16, 24, 31, 39, 47, 55, 63)
 FILE_BITS = 31
 RECORDS = 512  # of a file, about
+FILE_BYTES = 1 << 28  # of a file, about, where that is fewer records
 CRLF = "\r\n"
 
 
@@ -47,7 +48,7 @@ def addressed(records: DataFrame, files: int) -> DataFrame:
     """``file, offset, address`` for records with ``page_id, length, digest, _place`` (12 hex digits).
 
     Files are ranges of places; a record begins where the one before it in its
-    file ends.  Sorted by place, id and digest, so equal rows may change places freely.
+    file ends; one that begins past the ``2**FILE_BITS`` bytes that addresses have for a file is an error.  Sorted by place, id and digest, so equal rows may change places freely.
     """
     from pyspark.sql import Window
 
@@ -56,9 +57,16 @@ def addressed(records: DataFrame, files: int) -> DataFrame:
     before = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     placed = records.withColumn("file", F.floor(place * files / F.lit(2.0**32)))
     placed = placed.withColumn("offset", F.coalesce(before, F.lit(0)))
+    too_far = F.raise_error(F.lit(f"a file of more than 2**{FILE_BITS} bytes: ask for more files")).cast("long")
+    placed = placed.withColumn("offset", F.when(F.col("offset") + 1 < 1 << FILE_BITS, F.col("offset")).otherwise(too_far))
     return placed.withColumn("address", F.shiftleft(F.col("file").cast("long"), FILE_BITS) + F.col("offset"))
 
 
+def files_for(records: int, size: int) -> int:
+    """So many files that none has much more than ``RECORDS`` records or ``FILE_BYTES`` bytes."""
+    return max(1, -(-records // RECORDS), -(-size // FILE_BYTES))
+
+
 def level(nodes: DataFrame, shift: int) -> DataFrame:
     """Parents of ``node, digest`` rows per ``side``; a node has few hundred children at most."""
     children = F.sort_array(F.collect_list(F.struct("node", "digest")))
@@ -122,7 +130,8 @@ def op2_warc(spark, sf_dir: str) -> DataFrame:
     copy one byte further on.
     """
     pages = table(spark, sf_dir, "pages")
-    files = -(-pages.count() // RECORDS) or 1
+    size = F.octet_length(F.coalesce("html", F.lit("")))
+    files = files_for(*pages.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first())
     mark = F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), 1, 2)
     body = F.coalesce("html", F.lit(""))
     hurt = F.when(mark == "00", F.concat(F.lit("#"), F.substring(body, 2, 2**31 - 1))).otherwise(body)
@@ -162,7 +171,7 @@ hashed AS (
   SELECT page_id, place, mark, strlen(record) AS length, sha256(record) AS digest,
     sha256('WARC/1.1' || n || 'WARC-Type: resource' || n || 'WARC-Target-URI: ' || url || n || 'WARC-Date: 2024-01-01T00:00:00Z' || n
     || 'Content-Type: text/html' || n || 'Content-Length: ' || strlen(hurt) || n || n || hurt || n || n) AS digest_b,
-    CAST(floor(CAST('0x' || substr(place, 1, 8) AS BIGINT) * (SELECT ceil(count(*) / 512.0) FROM pages) / 4294967296.0) AS BIGINT) AS file
+    CAST(floor(CAST('0x' || substr(place, 1, 8) AS BIGINT) * (SELECT greatest(ceil(count(*) / 512.0), ceil(sum(strlen(coalesce(html, ''))) / 268435456.0)) FROM pages) / 4294967296.0) AS BIGINT) AS file
   FROM written, crlf),
 placed AS (
   SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY place, page_id, digest
