@@ -410,6 +410,25 @@ ORACLES["dq_verdict"] = f"""{_CHECKED} SELECT bool_and(passed) AS quality_passed
   count(*) FILTER (passed) AS checks_passed, count(*) AS checks_total FROM checked"""
 ORACLES["dq_alerts"] = f"""{_CHECKED} SELECT 'run' AS run_id, "check", "table", "column", value
   FROM checked WHERE NOT passed"""
+_SHARE = "count(*) FILTER ({0} IS NULL) / count(*) * 100"
+_BROKEN_NULLS = " UNION ALL ".join(
+    f"SELECT 'null_pct' AS \"check\", '{c}' AS \"column\", round_even({_SHARE.format(c)}, 2) AS value, NULL AS negative_count,"
+    f" NULL AS extreme_count, NULL AS missing_columns, {_SHARE.format(c)} <= 1.0 AS passed FROM broken"
+    for c in ("video_id", "channel_title", "views", "region")
+)
+ORACLES["dq_failures"] = f"""{_EVENT}, broken AS (
+  SELECT * EXCLUDE (title) REPLACE (CASE seq % 10 WHEN 0 THEN -views - 1 WHEN 1 THEN views + 50000000001 ELSE views END AS views)
+  FROM event_silver),
+failed AS ({_BROKEN_NULLS}
+  UNION ALL SELECT 'null_pct', 'title', NULL, NULL, NULL, NULL, false
+  UNION ALL SELECT 'row_count', NULL, CAST(count(*) AS double), NULL, NULL, NULL, count(*) >= 1000000000 FROM broken
+  UNION ALL SELECT 'schema', NULL, NULL, NULL, NULL, 'title', false
+  UNION ALL SELECT 'value_range', 'views', NULL, count(*) FILTER (views < 0), count(*) FILTER (views > 50000000000), NULL,
+    count(*) FILTER (views < 0 OR views > 50000000000) = 0 FROM broken
+  UNION ALL SELECT 'freshness', NULL, NULL, NULL, NULL, NULL,
+    max(publish_time) >= strftime(TIMESTAMP '{NOW}' + INTERVAL 8 DAY, '%Y-%m-%d %H:%M:%S') FROM broken)
+SELECT "check", "column", value, CAST(negative_count AS bigint) AS negative_count, CAST(extreme_count AS bigint) AS extreme_count,
+  CAST(missing_columns AS varchar) AS missing_columns, passed FROM failed"""
 _STAR_CHECKS = [
     *_statistics_checks("star_silver", 5.0),
     "SELECT 'freshness', 'clean_statistics', NULL, NULL, NULL, NULL, NULL, NULL, true",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendstrata.config import Settings
+from trendstrata.errors import SPARK_ERRORS
 from trendstrata.functions import decode_key, flatten_struct, region_from_key, region_from_path
 from trendstrata.operators import metrics, quality, serving
 from trendstrata.operators.audit import landing_audit, missing_regions, present_regions
@@ -48,7 +49,6 @@ from trendstrata.schemas import COUNTERS, SILVER_KEY
 from trendstrata.session import fresh_folder
 from trendstrata.sinks.landing import land_raw, with_envelope
 from trendstrata.sinks.ledger import append_alerts, append_ledger, ledger_per_file
-from trendstrata.errors import SPARK_ERRORS
 from trendstrata.sinks.tables import location, write_table
 from trendstrata.sources.category_json import parse_documents, read_category_json
 from trendstrata.sources.manifest import listed_files
@@ -723,6 +723,17 @@ def dq_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("run_id", "check", "table", "column", "value")
 
 
+@query
+def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check of the statistics fails: a column is gone, views leave their range, rows are few and old."""
+    seq, views = F.col("seq") % 10, F.col("views")
+    odd = F.when(seq == 0, -views - 1).when(seq == 1, views + Settings().max_views + 1).otherwise(views)
+    broken = _event_silver(spark, sf_dir).withColumn("views", odd).drop("title")
+    settings = Settings(max_null_pct=1.0, min_rows=1_000_000_000)
+    results = quality.check_tables({"clean_statistics": broken}, settings, _now() + F.expr("INTERVAL 10 DAYS"))
+    return _shown(results, "check", "column", "value", "negative_count", "extreme_count", "missing_columns", "passed")
+
+
 @query
 def star_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = quality.check_table(_star_silver(spark, sf_dir), "clean_statistics", Settings())

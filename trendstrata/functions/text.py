@@ -42,3 +42,8 @@ def to_boolean(col: Column) -> Column:
     """Text to boolean; an unknown word is NULL."""
     word = strip(F.lower(col))
     return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
+
+
+def quoted(name: str) -> str:
+    """A column's name as SQL text."""
+    return f"`{name.replace('`', '``')}`"

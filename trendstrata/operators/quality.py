@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from trendstrata.config import Settings
 from trendstrata.errors import SPARK_ERRORS, reason
 from trendstrata.functions import text_to_instant, zoneless_to_instant
+from trendstrata.functions.text import quoted
 from trendstrata.schemas import QUALITY_RECORD
 from trendstrata.sources.tables import dq_input
 
@@ -69,7 +70,7 @@ def check_null_pct(df: DataFrame, table: str, column: str, settings: Settings) -
     if column not in df.columns:
         return Check(_record("null_pct", _text(table), "false", f"concat('no column ', {name})", column=name))
     most = f"CAST({settings.max_null_pct} AS double)"
-    measured = f"`_null_{column}`"
+    measured, given = quoted(f"_null_{column}"), quoted(column)
     share = f"if(_rows > 0, {measured} / _rows * 100, 0D)"
     message = f"format_string('%s is %.2f %% NULL, at most %s %% allowed', {name}, bround({share}, 2), {most})"
     record = _record(
@@ -77,7 +78,7 @@ def check_null_pct(df: DataFrame, table: str, column: str, settings: Settings) -
         column=name, value=f"bround({share}, 2)", threshold=most,
     )
     floating = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
-    missing = f"`{column}` IS NULL" + (f" OR isnan(`{column}`)" if floating else "")
+    missing = f"{given} IS NULL" + (f" OR isnan({given})" if floating else "")
     return Check(record, {f"_null_{column}": f"count_if({missing})"})
 
 

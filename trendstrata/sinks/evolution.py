@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendstrata.functions.text import quoted
+
 _INTEGERS = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 # Decimal digits that hold every value of an integer type.
 _DIGITS = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 20}
@@ -112,10 +114,6 @@ def fitted(column: Column, have: T.DataType, want: T.DataType) -> Column:
     return column.cast(want)
 
 
-def quoted(name: str) -> str:
-    return f"`{name.replace('`', '``')}`"
-
-
 def fitted_rows(df: DataFrame, want: T.StructType) -> DataFrame:
     """``df`` in the shape of ``want``; columns it lacks are NULL, others it has are left out."""
     known = {f.name.lower(): f for f in df.schema.fields}

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendstrata.sinks.evolution import common_schema, fitted_rows, known_type, quoted, same_type
+from trendstrata.functions.text import quoted
+from trendstrata.sinks.evolution import common_schema, fitted_rows, known_type, same_type
 
 MODES = ("overwrite_partitions", "replace", "append")
 _VERSION = "v-"
