@@ -32,7 +32,7 @@ from trendstrata.llm.common import slices, small_batches, table, text_sizes
 
 SPACE = "▁"  # fixed value of the format
 UNKNOWN_PENALTY = 10.0  # fixed value: what an unknown character costs below the worst piece
-CACHE = 200_000  # stretches whose ids a worker remembers, some 40 MB
+CACHE = 600_000  # stretches whose ids a worker remembers, some 120 MB
 REMEMBERED = 64  # characters of such a stretch at most
 PART = 4096  # characters of a stream that are looked at together
 SLICE = 1 << 21  # bytes of text between two batches of output
@@ -164,6 +164,7 @@ class Pieces:
             raise ValueError("a score of 1 is no log probability")
         self.divisible = not any(SPACE in p.lstrip(SPACE) for p in self.scores)
         self._known: dict[str, bytes] = {}
+        self.room = CACHE
         self._machine = Viterbi(self)
         self._text = [s.replace(SPACE, " ") for s in self.surface]
 
@@ -187,7 +188,7 @@ class Pieces:
         """Ids of a stretch, committed by the machine; those of a short one are remembered."""
         if len(stretch) <= REMEMBERED:
             coded = np.array(self._machine.push(stretch, last=True), "<i4").tobytes()
-            if len(self._known) < CACHE:
+            if len(self._known) < self.room:
                 self._known[stretch] = coded
             return coded
         return np.fromiter(self.stream((stretch,)), "<i4").tobytes()
@@ -230,9 +231,10 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _encoder(path: str):
+def _encoder(path: str, cache: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
+        model.room = cache
         for whole in batches:
             for batch in slices(whole, text_sizes(whole.column(1)), SLICE):
                 coded = [model.encode(t.as_py() or "") for t in batch.column(1)]
@@ -257,10 +259,13 @@ def _decoder(path: str):
     return run
 
 
-def encode_documents(docs: DataFrame, model: str) -> DataFrame:
-    """``doc_id, ids`` of every whole text; a NULL or empty text has no ids.  No shuffle."""
+def encode_documents(docs: DataFrame, model: str, cache: int = CACHE) -> DataFrame:
+    """``doc_id, ids`` of every whole text; a NULL or empty text has no ids.  No shuffle.
+
+    ``cache`` is the number of stretches that a worker remembers, at 200 bytes each; it changes no result.
+    """
     small_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_encoder(model), "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(_encoder(model, cache), "doc_id long, ids array<int>")
 
 
 def decode_ids(coded: DataFrame, model: str) -> DataFrame:
@@ -271,9 +276,9 @@ def decode_ids(coded: DataFrame, model: str) -> DataFrame:
     return coded.select("doc_id", "ids").mapInArrow(_decoder(model), "doc_id long, ids array<int>, decoded string")
 
 
-def encoded_and_checked(docs: DataFrame, model: str) -> DataFrame:
+def encoded_and_checked(docs: DataFrame, model: str, cache: int = CACHE) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded_sha256``: what decoding gives, by digest."""
-    both = decode_ids(encode_documents(docs, model), model)
+    both = decode_ids(encode_documents(docs, model, cache), model)
     return both.select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
