@@ -83,7 +83,8 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded_sha256``."""
     import public_tokenizers
 
-    return pieces.encoded_and_checked(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    # Fewer remembered stretches than the operator's own choice: the workers have served four stages before.
+    return pieces.encoded_and_checked(docs, public_tokenizers.path("piece_bpe_32k.model"), cache=200_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
