@@ -193,6 +193,9 @@ class Pieces:
             return coded
         return np.fromiter(self.stream((stretch,)), "<i4").tobytes()
 
+    def forget(self) -> None:
+        self._known.clear()
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, "<i4")
@@ -231,7 +234,7 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _encoder(path: str, cache: int):
+def _encoder(path: str, cache: int, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         model.room = cache
@@ -241,6 +244,8 @@ def _encoder(path: str, cache: int):
                 ends = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(coded)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+        if not keep:
+            model.forget()
 
     return run
 
@@ -259,13 +264,14 @@ def _decoder(path: str):
     return run
 
 
-def encode_documents(docs: DataFrame, model: str, cache: int = CACHE) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, cache: int = CACHE, keep: bool = True) -> DataFrame:
     """``doc_id, ids`` of every whole text; a NULL or empty text has no ids.  No shuffle.
 
-    ``cache`` is the number of stretches that a worker remembers, at 200 bytes each; it changes no result.
+    ``cache`` is the number of stretches that a worker remembers, at 200 bytes each, for the task or, with
+    ``keep``, as long as it lives; neither changes a result.
     """
     small_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_encoder(model, cache), "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(_encoder(model, cache, keep), "doc_id long, ids array<int>")
 
 
 def decode_ids(coded: DataFrame, model: str) -> DataFrame:
@@ -276,9 +282,9 @@ def decode_ids(coded: DataFrame, model: str) -> DataFrame:
     return coded.select("doc_id", "ids").mapInArrow(_decoder(model), "doc_id long, ids array<int>, decoded string")
 
 
-def encoded_and_checked(docs: DataFrame, model: str, cache: int = CACHE) -> DataFrame:
+def encoded_and_checked(docs: DataFrame, model: str, cache: int = CACHE, keep: bool = True) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded_sha256``: what decoding gives, by digest."""
-    both = decode_ids(encode_documents(docs, model, cache), model)
+    both = decode_ids(encode_documents(docs, model, cache, keep), model)
     return both.select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -294,7 +294,7 @@ def _spans(where: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2 over rows sorted by shard and part: ``v, part, parts, did, h, lo, settled, bytes``."""
+    """Step 2 over rows sorted by shard, part and place: ``v, part, parts, did, h, lo, settled, bytes``."""
     import xxhash
 
     def solve(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -328,8 +328,19 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             none = np.zeros(len(starts), np.int64)
             yield _rows(2, shard[starts], spread[starts], none, none, none, none, none, packed=packed)
 
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of the input that repeat an id and a text bring their bytes once each: one of them is enough."""
+        last = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in (0, 1, 3, 4, 5)], 1)
+            fresh = np.concatenate([[last is None or (keys[0] != last).any()], (keys[1:] != keys[:-1]).any(1)])
+            last = keys[-1]
+            yield batch if fresh.all() else batch.filter(pa.array(fresh))
+
     held, size = [], 0
-    for batch in _whole_groups(batches, 2):
+    for batch in _whole_groups(once(batches), 2):
         v, part = (batch.column(k).to_numpy() for k in range(2))
         sizes = text_sizes(batch.column(7))
         starts = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (part[1:] != part[:-1])]))
@@ -431,10 +442,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     needed = needed.join(crowded, "v", "left").withColumn("parts", F.coalesce("_parts", F.lit(1)))
     needed = needed.withColumn("part", F.pmod(F.xxhash64("did", "h", "lo", F.lit(3)), F.col("parts")).cast("int"))
     bytes_ = F.substring(F.col("text").cast("binary"), F.col("lo") + 1, F.col("hi") - F.col("lo"))
-    # One text per id and digest, so that repeated rows do not bring their bytes once each.
-    pieces = needed.join(texts.dropDuplicates(["did", "h"]), ["did", "h"])
-    pieces = pieces.select("v", "part", "parts", "did", "h", "lo", "settled", bytes_.alias("bytes"))
-    second = stored(_dealt(pieces, ["v", "part"], []).mapInArrow(_arrays, FOUND), "arrays")
+    pieces = needed.join(texts, ["did", "h"]).select("v", "part", "parts", "did", "h", "lo", "settled", bytes_.alias("bytes"))
+    second = stored(_dealt(pieces, ["v", "part"], ["did", "h", "lo"]).mapInArrow(_arrays, FOUND), "arrays")
     windows = second.filter("kind = 2").select("v", "c", "packed")
     third = _dealt(windows, ["v", "c"], []).mapInArrow(_merge, FOUND)
     parts = [x.filter("kind = 0").select("did", "h", "lo", "hi") for x in (first, across, second, third)]
