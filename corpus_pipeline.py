@@ -83,8 +83,8 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded_sha256``."""
     import public_tokenizers
 
-    # Fewer remembered stretches than the operator's own choice: the workers have served four stages before.
-    return pieces.encoded_and_checked(docs, public_tokenizers.path("piece_bpe_32k.model"), cache=200_000)
+    # Nothing is remembered between tasks: the workers serve the other stages too.
+    return pieces.encoded_and_checked(docs, public_tokenizers.path("piece_bpe_32k.model"), cache=200_000, keep=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
