@@ -18,8 +18,10 @@ encoder has committed for a stretch between two such places is remembered.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from trendstrata.llm.common import slices, small_batches, table, text_sizes
 
 SPACE = "▁"  # fixed value of the format
+NONE = -1  # in place of an id: a character without a piece
 UNKNOWN_PENALTY = 10.0  # fixed value: what an unknown character costs below the worst piece
 CACHE = 600_000  # stretches whose ids a worker remembers, some 120 MB
 REMEMBERED = 64  # characters of such a stretch at most
@@ -48,71 +51,74 @@ class Viterbi:
         self._clear()
 
     def _clear(self) -> None:
-        # Position 0 is the last committed boundary; `_best` and `_back` are scores and starts of the best piece up to a position.
+        # Position 0 is the last committed boundary; `_best`, `_back` and `_piece` are the score, start and id of the best piece up to a position.
         self._text, self._at, self._reach = "", 0, 0
-        self._best, self._back = [0.0], [0]
+        self._best, self._back, self._piece = [0.0], [0], [NONE]
 
     def push(self, chars: str, last: bool = False) -> list[int]:
         """Ids that are certain once these characters are known, all of them if they are the last."""
         model = self._model
-        get, worst, longest = model._table.get, model.worst, model.longest
+        begin, worst, longest = model.trie.get, model.worst, model.longest
         text = self._text + chars
         size = len(text)
         stop = size if last else size - longest + 1  # a step needs to see the longest piece
         at, reach, done = self._at, self._reach, 0
         room = size + 1 - len(self._best)
-        best, back = self._best + [-math.inf] * room, self._back + [0] * room
+        best, back, piece = self._best + [-math.inf] * room, self._back + [0] * room, self._piece + [NONE] * room
+        letters = list(text)
         ids: list[int] = []
         while at < stop:
             if at == reach and at > done:  # no open piece reaches beyond: all paths run through here
-                self._commit(text, back, done, at, ids)
+                self._commit(text, back, piece, done, at, ids)
                 done = at
-            score = best[at]
-            value = get(text[at])
-            value = score + (worst if value is None else value)
+            start, score = at, best[at]
+            node = begin(letters[at])
             at += 1
+            found = node and node.get("")
+            value = score + (found[0] if found else worst)
             if value > best[at]:
-                best[at], back[at] = value, at - 1
-            end = at
-            for end in range(at + 1, min(at - 1 + longest, size) + 1):
-                value = get(text[at - 1 : end], 1.0)
-                if value is None:
-                    continue
-                if value == 1.0:
-                    break
-                value += score
-                if value > best[end]:
-                    best[end], back[end] = value, at - 1
-                if end > reach:
-                    reach = end
+                best[at], back[at], piece[at] = value, start, found[1] if found else NONE
+            if node:
+                for end in range(at, size):
+                    node = node.get(letters[end])
+                    if node is None:
+                        break
+                    if "" in node:
+                        value, id_ = node[""]
+                        value += score
+                        end += 1
+                        if value > best[end]:
+                            best[end], back[end], piece[end] = value, start, id_
+                        if end > reach:
+                            reach = end
             if at > reach:
                 reach = at
         if last:
             if size > done:
-                self._commit(text, back, done, size, ids)
+                self._commit(text, back, piece, done, size, ids)
             self._clear()
             return ids
         if at - done > 4 * longest:
             meet = self._shared(back, [p for p in range(at, reach + 1) if best[p] > -math.inf], done)
             if meet > done:
-                self._commit(text, back, done, meet, ids)
+                self._commit(text, back, piece, done, meet, ids)
                 done = meet
         self._text, self._at, self._reach = text[done:], at - done, reach - done
-        self._best, self._back = best[done : reach + 1], [start - done for start in back[done : reach + 1]]
+        self._best, self._piece = best[done : reach + 1], piece[done : reach + 1]
+        self._back = [start - done for start in back[done : reach + 1]]
         return ids
 
-    def _commit(self, text: str, back: list[int], lo: int, hi: int, ids: list[int]) -> None:
-        scores, cuts = self._model.scores, []
+    def _commit(self, text: str, back: list[int], piece: list[int], lo: int, hi: int, ids: list[int]) -> None:
+        path: list[int] = []
         while hi > lo:
-            start = back[hi]
-            cuts.append(text[start:hi])
-            hi = start
-        for piece in reversed(cuts):
-            known = scores.get(piece)
-            if known:
-                ids.append(known[1])
+            start, id_ = back[hi], piece[hi]
+            if id_ == NONE:
+                path += self._model._ids(text[start:hi])[::-1]
             else:
-                ids += self._model._ids(piece)
+                path.append(id_)
+            hi = start
+        path.reverse()
+        ids += path
 
     @staticmethod
     def _shared(back: list[int], open_: list[int], done: int) -> int:
@@ -157,11 +163,13 @@ class Pieces:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.worst = min(s for s, _ in self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.scores))
-        # Score of each piece, None for what only begins pieces; scores are never 1.
-        self._table: dict[str, float | None] = {p[:k]: None for p in self.scores for k in range(1, len(p) + 1)}
-        self._table |= {p: score for p, (score, _) in self.scores.items()}
-        if 1.0 in self._table.values():
-            raise ValueError("a score of 1 is no log probability")
+        # A dictionary of next characters for each beginning of a piece; that of a whole piece holds its score and id under "".
+        self.trie: dict = {}
+        for piece, known in self.scores.items():
+            node = self.trie
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[""] = known
         self.divisible = not any(SPACE in p.lstrip(SPACE) for p in self.scores)
         self._known: dict[str, bytes] = {}
         self.room = CACHE
@@ -187,7 +195,8 @@ class Pieces:
     def _stretch(self, stretch: str) -> bytes:
         """Ids of a stretch, committed by the machine; those of a short one are remembered."""
         if len(stretch) <= REMEMBERED:
-            coded = np.array(self._machine.push(stretch, last=True), "<i4").tobytes()
+            ids = self._machine.push(stretch, last=True)
+            coded = struct.pack(f"<{len(ids)}i", *ids)
             if len(self._known) < self.room:
                 self._known[stretch] = coded
             return coded
@@ -234,7 +243,7 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _encoder(path: str, cache: int, keep: bool):
+def _encoder(path: str, cache: int, keep: bool, check: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         model.room = cache
@@ -242,8 +251,12 @@ def _encoder(path: str, cache: int, keep: bool):
             for batch in slices(whole, text_sizes(whole.column(1)), SLICE):
                 coded = [model.encode(t.as_py() or "") for t in batch.column(1)]
                 ends = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(coded)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+                flat = np.concatenate(coded)
+                columns = {"doc_id": batch.column(0), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}
+                if check:
+                    texts = (model.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True))
+                    columns["decoded_sha256"] = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
         if not keep:
             model.forget()
 
@@ -283,9 +296,15 @@ def decode_ids(coded: DataFrame, model: str) -> DataFrame:
 
 
 def encoded_and_checked(docs: DataFrame, model: str, cache: int = CACHE, keep: bool = True) -> DataFrame:
-    """``doc_id, n_tokens, ids, decoded_sha256``: what decoding gives, by digest."""
-    both = decode_ids(encode_documents(docs, model, cache, keep), model)
-    return both.select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """``doc_id, n_tokens, ids, decoded_sha256``: what decoding the ids gives, by digest.
+
+    The worker that encodes a document decodes its ids too, so neither ids nor texts pass through the JVM in between.
+    """
+    small_batches(docs.sparkSession)
+    both = docs.select("doc_id", "text").mapInArrow(
+        _encoder(model, cache, keep, check=True), "doc_id long, ids array<int>, decoded_sha256 string"
+    )
+    return both.select("doc_id", F.size("ids").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:
