@@ -36,6 +36,7 @@ RUN = 1 << 15  # windows of one run at most; longer ones are cut
 SLICE = 1 << 20  # bytes handled at once; hashing holds some ten times 8 bytes for each
 SHARD = 1 << 18  # bytes of a shard above which it is cut into parts
 ARRAY = 1 << 20  # bytes of one suffix array, about; it serves several small shards
+CHAINS = 1 << 13  # common prefixes that are measured together; each takes some 2 KB
 SAMPLED = 32  # one of so many documents shows which shards are large (for balance only)
 CROWD = 512  # runs of a large shard that go to one task
 END = 0xFF  # between stretches; no UTF-8 byte
@@ -258,12 +259,16 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, shared: np.ndarray) ->
     open_ = np.arange(len(first))
     reach = np.arange(step)
     while len(open_):
-        left = np.minimum(a[open_] + common[open_], len(text))[:, None] + reach
-        right = np.minimum(b[open_] + common[open_], len(text))[:, None] + reach
-        equal = padded[np.minimum(left, len(padded) - 1)] == padded[np.minimum(right, len(padded) - 1)]
-        length = np.where(equal.all(1), step, np.argmin(equal, axis=1))
-        common[open_] += length
-        open_ = open_[length == step]
+        longer = []
+        for lo in range(0, len(open_), CHAINS):
+            some = open_[lo : lo + CHAINS]
+            left = np.minimum(a[some] + common[some], len(text))[:, None] + reach
+            right = np.minimum(b[some] + common[some], len(text))[:, None] + reach
+            equal = padded[np.minimum(left, len(padded) - 1)] == padded[np.minimum(right, len(padded) - 1)]
+            length = np.where(equal.all(1), step, np.argmin(equal, axis=1))
+            common[some] += length
+            longer.append(some[length == step])
+        open_ = np.concatenate(longer)
     chain = np.cumsum(begins) - 1
     return i, j, common[chain] - (np.arange(len(i)) - first[chain])
 
