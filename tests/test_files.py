@@ -4,6 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
+from oracle import plan
 from pyspark.sql import functions as F
 
 from trendstrata.operators.categories import empty_documents, flatten_categories
@@ -215,3 +216,12 @@ def test_more_than_a_variant_holds(spark, tmp_path, rows, shape):
     want = [(True, "2024-01-01T00:00:00", str(i), 10 << 20, i) for i in range(14)]
     got = rows(found.select("whole", "_landed_at", "i.id", F.length("i.snippet.title"), "i.more"))
     assert sorted(got, key=str) == sorted(want + ([(True, "2024-01-01T00:00:00", "z", 1, None)] if shape == "line" else []), key=str)
+
+
+def test_texts_are_parsed_once_and_their_documents_read_after_that(spark, tmp_path):
+    write(tmp_path / "us_category_id.json", '{"items": [{"id": "1"}]}', '{"items": [{"id": "2"}]}')
+    write(tmp_path / "de_category_id.json", '{"items": [{"id": "3", "id": "4"}]}')
+    rows = flatten_categories(read_category_json(spark, str(tmp_path)))
+    steps = plan(rows).lower()
+    assert "parsejson" not in steps and "parse_json" not in steps and "evalpython" not in steps
+    assert sorted(r["id"] for r in rows.collect()) == ["1", "2", "4"]

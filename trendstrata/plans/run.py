@@ -19,7 +19,7 @@ from trendstrata.plans.gold import GOLD_TABLES, changed_days, gold_from_partials
 from trendstrata.plans.reference import reference_rows, silver_reference
 from trendstrata.plans.silver import GOOD, REJECT_COLUMNS, REJECTS, routed, settle, stage_measures, tallied_statistics
 from trendstrata.schemas import CORRUPT
-from trendstrata.session import fresh_folder
+from trendstrata.session import fresh_folder, kept
 from trendstrata.sinks.ledger import append_alerts, append_ledger, ledger_per_file, ledger_row
 from trendstrata.sinks.tables import write_routed, write_table
 from trendstrata.sources.category_json import read_category_json
@@ -285,9 +285,7 @@ class Run:
         return written
 
     def _kept(self, df: DataFrame, label: str) -> DataFrame:
-        folder = fresh_folder(self.spark, label)
-        df.write.parquet(folder)
-        return self.spark.read.schema(df.schema).parquet(folder)
+        return kept(df, label)
 
     def everything(self, now: Column | None = None, incremental: bool = False, **reading) -> dict[str, int]:
         """Silver, checks, gate, gold.  Raises when the checks do not pass.

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from trendstrata.functions import decode_path
 from trendstrata.schemas import CATEGORY_ITEM, CORRUPT, ENVELOPE, UNREADABLE, WITHOUT_ROWS
+from trendstrata.session import kept
 from trendstrata.sources.missing import read_or
 
 # What Spark prints for a VARIANT's objects, apart from quoted names.
@@ -31,6 +32,8 @@ def _with_lineage(texts: DataFrame) -> DataFrame:
     )
 
 
+_LINEAGE = ("_source_file", "_modified_at")
+
 # Names that the tables use themselves.
 _TAKEN = frozenset(
     {"_source_file", "_modified_at", "_document", "_landed_at", "_pipeline_metadata", "_ingestion_timestamp", "region", CORRUPT}
@@ -158,39 +161,56 @@ def _read(texts: DataFrame) -> DataFrame:
     return split.withColumn("_ok", F.coalesce(objects & (F.size("_listed") > 0), F.lit(False)))
 
 
-def _documents(texts: DataFrame) -> DataFrame:
-    """``_d`` (a VARIANT), ``_whole``, ``_items``, envelope, lineage, and the text of what cannot be read.
+def _first_reading(texts: DataFrame, again: bool = True) -> DataFrame:
+    """One row per document: ``_entries``, envelope, lineage, and the text of what cannot be read.
 
     A text is one document, a list of documents, or one document per line; a
     text with anything else in it is a single reject.  Where the text is more
     than one VARIANT holds, its documents, or their items, are VARIANTs each.
-    A text of up to ``LARGE`` bytes that a VARIANT refuses, since a name is repeated in it or a number
-    is none, is read once more.
+    ``_entries`` are the items, or the document itself where it has no list of them.
+    With ``again`` a text of up to ``LARGE`` bytes that a VARIANT refuses is in ``_again`` instead.
+
+    A generator that drops nothing hands the documents on: no later filter moves below it, so each text is parsed once.
     """
-    plain = texts.withColumn("value", F.regexp_replace("value", r"^\uFEFF", "")).withColumn("_text", F.col("value"))
-    large = F.octet_length("value") > LARGE
-    first = _read(plain)
-    # Apart from the others, so that only these pass through Python.
-    refused = _read(plain.filter(~large)).filter(~F.col("_ok")).select("_source_file", "_modified_at", "value")
-    second = _read(refused.withColumn("_text", _second_reading("value")))
+    read = _read(texts)
     each = F.when(F.col("_ok"), F.col("_listed")).otherwise(F.array(_entry()))
-    text = F.when(~F.col("_ok"), F.col("value")).alias(CORRUPT)
-    both = [x.select("_source_file", "_modified_at", text, F.explode(each).alias("_e")) for x in (first.filter(large | F.col("_ok")), second)]
-    exploded = both[0].unionAll(both[1]).select(
-        "_source_file", "_modified_at", CORRUPT, F.col("_e.d").alias("_d"), F.col("_e.head").alias("_head")
+    refused = F.when(~F.col("_ok"), F.col("value"))
+    once_more = refused.isNotNull() & (F.octet_length("value") <= LARGE) if again else F.lit(False)
+    exploded = read.withColumns({CORRUPT: F.when(~once_more, refused), "_again": F.when(once_more, refused)}).select(
+        *_LINEAGE, CORRUPT, "_again", F.explode_outer(each).alias("_e")
     )
+    exploded = exploded.select(*_LINEAGE, CORRUPT, "_again", F.col("_e.d").alias("_d"), F.col("_e.head").alias("_head"))
     items = F.coalesce(_variant("_d", "array<variant>", "$.items"), F.col("_head.items"))
     envelope = ENVELOPE.simpleString()
-    return exploded.select(
-        "_source_file", "_modified_at", CORRUPT, "_d",
-        F.when(F.col("_d").isNotNull() & items.isNull(), F.array("_d")).alias("_whole"),
-        items.alias("_items"),
+    return exploded.withColumn("_items", items).select(
+        *_LINEAGE, CORRUPT, "_again",
+        F.coalesce("_items", F.when(F.col("_d").isNotNull(), F.array("_d"))).alias("_entries"),
         F.coalesce(
             _variant("_d", envelope, "$._pipeline_metadata"), _variant("_head._pipeline_metadata", envelope)
         ).alias("_pipeline_metadata"),
     )
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def _documents(texts: DataFrame, keep: Keep | None = None) -> DataFrame:
+    """``_first_reading``, and a second one of the texts that a VARIANT refuses, since a name is repeated in them or a number is none.
+
+    ``keep`` may store either, so that neither is done twice.
+    """
+    plain = texts.filter(F.col("value").isNotNull()).withColumn("value", F.regexp_replace("value", r"^\uFEFF", ""))
+    plain = plain.withColumn("_text", F.col("value"))
+    first = _first_reading(plain) if keep is None else keep(_first_reading(plain))
+    # Apart from the others, so that only these pass through Python.
+    refused = first.filter(F.col("_again").isNotNull()).select(*_LINEAGE, F.col("_again").alias("value"))
+    good = first.filter(F.col("_again").isNull())
+    if keep is not None and refused.isEmpty():
+        return good
+    second = _first_reading(refused.withColumn("_text", _second_reading("value")), again=False)
+    return good.unionAll(second if keep is None else keep(second))
+
+
 def _landed_at() -> Column:
     return F.coalesce(F.col("_pipeline_metadata.ingestion_timestamp"), F.lit("")).alias("_landed_at")
 
@@ -205,8 +225,7 @@ def document_heads(texts: DataFrame) -> DataFrame:
 
     No pass over the texts to find fields: a document gives rows if any of its items has a value.
     """
-    entries = F.coalesce("_items", "_whole")
-    kind = F.transform(entries, lambda entry: F.regexp_replace(F.schema_of_variant(entry), _QUOTED_NAME, ""))
+    kind = F.transform("_entries", lambda entry: F.regexp_replace(F.schema_of_variant(entry), _QUOTED_NAME, ""))
     documents = _documents(texts).withColumn("_kinds", kind)
     found = F.coalesce(F.exists("_kinds", lambda k: F.regexp_like(k, F.lit(_TYPED))), F.lit(False))
     error = F.when(F.col(CORRUPT).isNotNull(), F.lit(UNREADABLE)).when(~found, F.lit(WITHOUT_ROWS))
@@ -216,7 +235,7 @@ def document_heads(texts: DataFrame) -> DataFrame:
 def _found_fields(documents: DataFrame) -> T.StructType:
     """Fields of all items and of all documents without a list of them, in one pass."""
     entries = documents.select(
-        F.explode(F.coalesce("_items", "_whole")).alias("_entry")
+        F.explode("_entries").alias("_entry")
     ).filter(_variant("_entry", "map<string,variant>").isNotNull())
     ddl = entries.agg(F.expr("schema_of_variant_agg(_entry)").alias("ddl")).first()["ddl"]
     ddl = _OBJECT.sub(lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], ddl)
@@ -226,7 +245,8 @@ def _found_fields(documents: DataFrame) -> T.StructType:
     return T.StructType([f for f in fields if f.name.lower() not in _TAKEN])
 
 
-Keep = Callable[[DataFrame], DataFrame]
+def _stored(documents: DataFrame) -> DataFrame:
+    return kept(documents, "parsed")
 
 
 def parse_documents(texts: DataFrame, evolve: bool = True, keep: Keep | None = None) -> DataFrame:
@@ -236,13 +256,13 @@ def parse_documents(texts: DataFrame, evolve: bool = True, keep: Keep | None = N
     them; it is NULL, and the corrupt column holds the text, where the text is
     not JSON through and through.  A value that does not fit its field is NULL.
     ``evolve`` adds the fields found in the texts to the declared ones, at the
-    price of one more pass; without it they are left out.  ``keep`` may store the parsed
-    documents, so that no later pass parses the texts again.
+    price of one more pass; without it they are left out.  The parsed documents are stored for
+    that pass, by ``keep`` or in a folder of their own, so that none parses the texts again.
     """
-    documents = _documents(texts) if keep is None else keep(_documents(texts))
+    documents = _documents(texts, keep or (_stored if evolve else None))
     item = _additive(CATEGORY_ITEM, _found_fields(documents)) if evolve else CATEGORY_ITEM
     ddl = _ddl(item).replace("'", "\\'")
-    typed = F.expr(f"transform(coalesce(_items, _whole), entry -> try_variant_get(entry, '$', '{ddl}'))")
+    typed = F.expr(f"transform(_entries, entry -> try_variant_get(entry, '$', '{ddl}'))")
     return documents.select(
         typed.alias("items"), "_pipeline_metadata", CORRUPT, "_source_file", "_modified_at", _landed_at()
     ).withColumn("_document", F.monotonically_increasing_id())
