@@ -12,6 +12,7 @@ from trendstrata.plans.reference import BY_ARRIVAL, reference_rows, silver_refer
 from trendstrata.plans.silver import silver_statistics
 from trendstrata.schemas import CORRUPT, RAW_COLUMNS
 from trendstrata.sources import read_category_json, read_raw_statistics, split_rejects
+from trendstrata.sources.category_json import _read
 
 HEADER = ",".join(RAW_COLUMNS)
 
@@ -225,3 +226,11 @@ def test_texts_are_parsed_once_and_their_documents_read_after_that(spark, tmp_pa
     steps = plan(rows).lower()
     assert "parsejson" not in steps and "parse_json" not in steps and "evalpython" not in steps
     assert sorted(r["id"] for r in rows.collect()) == ["1", "2", "4"]
+
+
+def test_each_line_is_parsed_once(spark):
+    texts = spark.createDataFrame([('{"a": 1}\n{"a": 2}',)], "value string").withColumn("_text", F.col("value"))
+    listed = _read(texts).select("_listed")
+    assert listed.selectExpr("size(_listed)").first()[0] == 2
+    # The text and each line, both inside an array and inside an object.
+    assert plan(listed).count("parseJson") == 4

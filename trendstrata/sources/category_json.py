@@ -110,9 +110,11 @@ def _entry(variant: Column | None = None, head: Column | None = None) -> Column:
     return F.struct(variant.alias("d"), (F.lit(None).cast(_HEAD) if head is None else head).alias("head"))
 
 
-def _line(text: Column) -> Column:
-    one = _one_document(text)
-    return _entry(one, F.when(one.isNull(), _in_parts(text, _HEAD)))
+def _each_line(text: Column) -> Column:
+    """Each line as a document.  What a line is parsed to is kept beside it, since an expression used twice in a lambda is evaluated twice."""
+    lines = F.filter(F.split(text, "[\r\n]+"), lambda line: F.trim(line) != "")
+    parsed = F.transform(lines, lambda line: F.struct(line.alias("text"), _one_document(line).alias("one")))
+    return F.transform(parsed, lambda p: _entry(p["one"], F.when(p["one"].isNull(), _in_parts(p["text"], _HEAD))))
 
 
 def _plain_json(text: str | None) -> str | None:
@@ -146,7 +148,6 @@ def _second_reading(texts: pd.Series) -> pd.Series:
 def _read(texts: DataFrame) -> DataFrame:
     """``_listed``, the documents of ``_text`` (itself, the entries of a list, or one for each line), and whether all of it is such."""
     text, one = F.col("_text"), F.col("_one")
-    lines = F.filter(F.split(text, "[\r\n]+"), lambda line: F.trim(line) != "")
     head = _in_parts(text, _HEAD)
     listed = F.coalesce(
         F.transform(_variant("_one", "array<variant>"), lambda d: _entry(d)),
@@ -154,7 +155,7 @@ def _read(texts: DataFrame) -> DataFrame:
         F.transform(_in_parts(text, "array<variant>"), lambda d: _entry(d)),
         F.transform(_in_parts(text, f"array<{_HEAD}>"), lambda h: _entry(head=h)),
         F.when(head.isNotNull(), F.array(_entry(head=head))),
-        F.transform(lines, _line),
+        _each_line(text),
     )
     objects = F.forall("_listed", lambda e: F.try_variant_get(e["d"], "$", "map<string,variant>").isNotNull() | e["head"]["items"].isNotNull())
     split = texts.withColumn("_one", _one_document(text)).withColumn("_listed", listed)
