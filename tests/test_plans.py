@@ -6,6 +6,7 @@ import pytest
 from oracle import plan
 from pyspark.sql import Observation
 
+from trendstrata.catalogue import QUERIES
 from trendstrata.operators import metrics, quality, serving
 from trendstrata.operators.categories import join_categories
 from trendstrata.plans.silver import settle, silver_statistics, stage_measures, tallied_statistics
@@ -130,3 +131,11 @@ def test_silver_is_written_without_another_sort_or_shuffle(spark, sf_dir, tmp_pa
     before_aggregate = text.split("SortAggregate")[0]
     assert "WriteFiles" in before_aggregate and "CollectMetrics" in before_aggregate
     assert "Sort [" not in before_aggregate and "Exchange" not in before_aggregate
+
+
+@pytest.mark.parametrize("name", ["star_channel", "channel_analytics"])
+def test_a_channel_query_makes_its_statistics_once(spark, sf_dir, name):
+    """What the channel table reads several times are stored statistics, not the tables they are made from."""
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert "lineitem.parquet" not in text and "events.parquet" not in text
+    assert "/silver-" in text

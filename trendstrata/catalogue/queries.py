@@ -46,7 +46,7 @@ from trendstrata.plans.silver import (
     typed_statistics,
 )
 from trendstrata.schemas import COUNTERS, SILVER_KEY
-from trendstrata.session import fresh_folder
+from trendstrata.session import fresh_folder, kept
 from trendstrata.sinks.landing import land_raw, with_envelope
 from trendstrata.sinks.ledger import append_alerts, append_ledger, ledger_per_file
 from trendstrata.sinks.tables import location, write_table
@@ -111,6 +111,12 @@ def _star_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_statistics(views.star_statistics(spark, sf_dir), "orders", views.STAR_ORDER)
 
 
+def _silver_table(silver: DataFrame) -> DataFrame:
+    """What the channel table reads, stored as a silver table is, since it reads them several times."""
+    columns = ("video_id", "channel_title", "category_id", "views", "likes", "comment_count", "engagement_rate")
+    return kept(silver.select(*columns, "region", "trending_date_parsed"), "silver")
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.text_documents(spark, sf_dir)
 
@@ -601,7 +607,7 @@ def trending_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def channel_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup = views.nation_lookup(spark, sf_dir)
-    return _without_stamp(metrics.channel_analytics(_event_silver(spark, sf_dir), lookup))
+    return _without_stamp(metrics.channel_analytics(_silver_table(_event_silver(spark, sf_dir)), lookup))
 
 
 @query
@@ -618,7 +624,7 @@ def star_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def star_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup = views.nation_lookup(spark, sf_dir)
-    return _without_stamp(metrics.channel_analytics(_star_silver(spark, sf_dir), lookup))
+    return _without_stamp(metrics.channel_analytics(_silver_table(_star_silver(spark, sf_dir)), lookup))
 
 
 @query
