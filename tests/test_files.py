@@ -11,6 +11,7 @@ from trendstrata.operators.categories import empty_documents, flatten_categories
 from trendstrata.plans.reference import BY_ARRIVAL, reference_rows, silver_reference
 from trendstrata.plans.silver import silver_statistics
 from trendstrata.schemas import CORRUPT, RAW_COLUMNS
+from trendstrata.sinks import one_file
 from trendstrata.sources import read_category_json, read_raw_statistics, split_rejects
 from trendstrata.sources.category_json import _read
 
@@ -234,3 +235,15 @@ def test_each_line_is_parsed_once(spark):
     assert listed.selectExpr("size(_listed)").first()[0] == 2
     # The text and each line, both inside an array and inside an object.
     assert plan(listed).count("parseJson") == 4
+
+
+def test_one_file_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(one_file, "PIECE", 100)
+    rows = spark.range(1000, numPartitions=7).withColumn("text", F.concat(F.lit("ü\n"), "id"))
+    file = one_file.write_one_file(rows, f"file://{tmp_path}/one")
+    assert len(list((tmp_path / "one/parts").glob("*.json"))) == 7
+    lines = Path(file.removeprefix("file://")).read_text().splitlines()
+    assert sorted(json.loads(x)["id"] for x in lines) == list(range(1000))
+    assert spark.read.json(file).exceptAll(rows.select("id", "text")).isEmpty()
+    docs = read_category_json(spark, file, multi_line=False)
+    assert flatten_categories(docs).count() == 1000

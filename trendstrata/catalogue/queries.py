@@ -49,9 +49,9 @@ from trendstrata.schemas import COUNTERS, SILVER_KEY
 from trendstrata.session import fresh_folder, kept
 from trendstrata.sinks.landing import land_raw, with_envelope
 from trendstrata.sinks.ledger import append_alerts, append_ledger, ledger_per_file
+from trendstrata.sinks.one_file import write_one_file
 from trendstrata.sinks.tables import location, write_table
 from trendstrata.sources.category_json import parse_documents, read_category_json
-from trendstrata.sources.manifest import listed_files
 from trendstrata.sources.split_csv import read_split_statistics
 from trendstrata.sources.statistics_csv import CSV_FORMAT, read_raw_statistics, split_rejects
 from trendstrata.sources.tables import read_table
@@ -552,8 +552,7 @@ def one_named_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "named")
     docs = views.table(spark, sf_dir, "documents")
     item = F.struct(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("kind"), F.struct(F.col("text").alias("title")).alias("snippet"))
-    docs.select(F.array(item).alias("items")).coalesce(1).write.json(path)
-    file = listed_files(spark, path, "*.json").first()["path"]
+    file = write_one_file(docs.select(F.array(item).alias("items")), path)
     return flatten_categories(read_category_json(spark, file, multi_line=False)).select("id", "kind", "snippet_title")
 
 
