@@ -11,6 +11,7 @@ from trendstrata.operators.categories import empty_documents, flatten_categories
 from trendstrata.plans.reference import BY_ARRIVAL, reference_rows, silver_reference
 from trendstrata.plans.silver import silver_statistics
 from trendstrata.schemas import CORRUPT, RAW_COLUMNS
+from trendstrata.session import kept
 from trendstrata.sinks import one_file
 from trendstrata.sources import read_category_json, read_raw_statistics, split_rejects
 from trendstrata.sources.category_json import _read
@@ -247,3 +248,18 @@ def test_one_file_by_many_tasks(spark, tmp_path, monkeypatch):
     assert spark.read.json(file).exceptAll(rows.select("id", "text")).isEmpty()
     docs = read_category_json(spark, file, multi_line=False)
     assert flatten_categories(docs).count() == 1000
+
+
+def test_only_refused_texts_are_read_again(spark, tmp_path):
+    write(tmp_path / "us_category_id.json", '{"items": [{"id": "1"}]}')
+    write(tmp_path / "de_category_id.json", '{"items": [{"id": "3", "id": "4"}]}')
+    readings = []
+
+    def keep(documents):
+        readings.append(kept(documents, "reading"))
+        return readings[-1]
+
+    rows = flatten_categories(read_category_json(spark, str(tmp_path), keep=keep))
+    # The second reading starts from what the first has stored: one text, and no document of the other.
+    assert [r.count() for r in readings] == [2, 1]
+    assert sorted(r["id"] for r in rows.collect()) == ["1", "4"]
